@@ -148,7 +148,8 @@ def _prepare(incoming: DataFrame, existing: DataFrame | None) -> tuple[DataFrame
     tt = incoming.schema[VALID_FROM].dataType
     if existing is not None and VALID_FROM in existing.columns:
         tt = existing.schema[VALID_FROM].dataType
-    inc = incoming.withColumns({VALID_FROM: F.col(VALID_FROM).cast(tt), VALID_TO: open_end(tt), IS_CURRENT: F.lit(True)})
+    to = F.coalesce(F.col(VALID_TO).cast(tt), open_end(tt)) if VALID_TO in incoming.columns else open_end(tt)
+    inc = incoming.withColumns({VALID_FROM: F.col(VALID_FROM).cast(tt), VALID_TO: to, IS_CURRENT: F.lit(True)})
     if existing is not None and not existing.columns:
         existing = None
     if existing is not None:
@@ -309,6 +310,30 @@ def merge_scd2(
     return merged.unionByName(rest.select(*out_cols))
 
 
+# --------------------------------------------------------------------------- key sets
+
+
+def new_keys(incoming_df: DataFrame, existing_df: DataFrame, scd2_key: str | Sequence[str]) -> DataFrame:
+    """Batch rows whose key has no open version (anti join)."""
+    keys = _as_list(scd2_key)
+    return incoming_df.join(current_view(existing_df).select(*keys), keys, "left_anti")
+
+
+def changed_versions(
+    incoming_df: DataFrame, existing_df: DataFrame, scd2_key: str | Sequence[str], track_columns: Sequence[str]
+) -> DataFrame:
+    """Open versions that a batch row changes (NULL-safe), each once (semi join:
+    no fan-out when a key repeats in the batch)."""
+    keys = _as_list(scd2_key)
+    cur = current_view(existing_df)
+    b = incoming_df.select(
+        *[F.col(k).alias(f"__lt_bk_{k}") for k in keys], *[F.col(t).alias(f"__lt_b_{t}") for t in track_columns]
+    )
+    cond = [F.col(k) == F.col(f"__lt_bk_{k}") for k in keys]
+    diff = ~reduce(lambda x, y: x & y, [F.col(t).eqNullSafe(F.col(f"__lt_b_{t}")) for t in track_columns])
+    return cur.join(b, reduce(lambda x, y: x & y, cond) & diff, "left_semi")
+
+
 # --------------------------------------------------------------------------- change classes
 
 CHANGE_TYPE = "change_type"
