@@ -13,8 +13,9 @@ one rule:
 
 * batch rows are first reduced to one per (key, effective_from) by a
   declared tie-break;
-* a batch row whose (key, effective_from, tracked values) is already stored
-  is a replay and is dropped;
+* a surviving batch row whose (key, effective_from, tracked values) is
+  already stored is a replay and is dropped (after the tie-break, so a
+  rerun picks the same row and changes nothing);
 * order each key by (effective_from, source, effective_to, tracked) and keep
   a batch row when it is the first of its key, differs from its
   predecessor, or follows a gap;
@@ -191,10 +192,6 @@ def _window_merge(
         u = u.withColumn(_PRESENT, F.max(F.when(src >= 1, 1).otherwise(0)).over(Window.partitionBy(*keys)))
         u = u.filter(src < 2)
 
-    # Replay: the same (key, effective_from, tracked values) is already stored.
-    u = u.withColumn(_REPLAY, (src == 1) & (F.min(_SRC).over(Window.partitionBy(*keys, VALID_FROM, *tracked)) == 0))
-    u = u.filter(~F.col(_REPLAY))
-
     # One total order per key; the per-(key, date) tie-break shares it, so a
     # single sort serves the dedup, the lag and the lead windows.
     order = [F.col(VALID_FROM).asc(), src.asc(), F.col(VALID_TO).asc(), *tie]
@@ -202,6 +199,11 @@ def _window_merge(
     w = Window.partitionBy(*keys).orderBy(*order)
     u = u.withColumn(_RN, F.row_number().over(w_dup)).filter((src == 0) | (F.col(_RN) == 1))
 
+    # Replay: the batch's pick for (key, effective_from) is already stored.
+    # After the tie-break, so a rerun of the same batch picks the same row.
+    u = u.withColumn(_REPLAY, (src == 1) & (F.min(_SRC).over(Window.partitionBy(*keys, VALID_FROM, *tracked)) == 0))
+    u = u.filter(~F.col(_REPLAY))
+
     # Collapse: a batch row survives only if it starts a new run of values.
     vals = F.struct(*[F.col(t) for t in tracked])
     u = u.withColumns(
@@ -364,21 +366,17 @@ def classify_changes(
         parts.insert(0, hist.select(*[c for c in hist.columns]).withColumn(_SRC, F.lit(0)))
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).repartition(*keys)
     src = F.col(_SRC)
-    u = u.withColumns(
-        {
-            _PRESENT: F.min(_SRC).over(Window.partitionBy(*keys)) == 0,
-            _REPLAY: (src == 1) & (F.min(_SRC).over(Window.partitionBy(*keys, VALID_FROM, *tracked)) == 0),
-        }
-    )
     in_cols = list(incoming_df.columns)
-    replays = u.filter(F.col(_REPLAY)).select(*in_cols, F.lit(UNCHANGED).alias(CHANGE_TYPE))
     order = [F.col(VALID_FROM).asc(), src.asc(), F.col(VALID_TO).asc(), *tie]
     w_dup = Window.partitionBy(*keys, VALID_FROM, _SRC).orderBy(*order[2:])
     w = Window.partitionBy(*keys).orderBy(*order)
-    u = u.filter(~F.col(_REPLAY)).withColumn(_RN, F.row_number().over(w_dup))
+    u = u.withColumns({_PRESENT: F.min(_SRC).over(Window.partitionBy(*keys)) == 0, _RN: F.row_number().over(w_dup)})
     dups = u.filter((src == 1) & (F.col(_RN) > 1)).select(*in_cols, F.lit(DUPLICATE).alias(CHANGE_TYPE))
+    u = u.filter((src == 0) | (F.col(_RN) == 1))
+    u = u.withColumn(_REPLAY, (src == 1) & (F.min(_SRC).over(Window.partitionBy(*keys, VALID_FROM, *tracked)) == 0))
+    replays = u.filter(F.col(_REPLAY)).select(*in_cols, F.lit(UNCHANGED).alias(CHANGE_TYPE))
     vals = F.struct(*[F.col(t) for t in tracked])
-    alive = u.filter((src == 0) | (F.col(_RN) == 1)).withColumns(
+    alive = u.filter(~F.col(_REPLAY)).withColumns(
         {_PREV: F.lag(F.lit(1)).over(w), _PREV_T: F.lag(vals).over(w), _PREV_TO: F.lag(VALID_TO).over(w)}
     )
     opens = F.col(_PREV).isNull() | ~vals.eqNullSafe(F.col(_PREV_T)) | (F.col(_PREV_TO) < F.col(VALID_FROM))

@@ -49,9 +49,9 @@ def merge_sql(
     to = f"least(effective_to, coalesce(lead(effective_from) OVER {w}, {end}))"
     ctes = [
         f"{name}_u AS ({u})",
-        f"{name}_r AS (SELECT * FROM {name}_u QUALIFY NOT (src = 1 AND min(src) OVER (PARTITION BY {kp}, effective_from, {tp}) = 0))",
-        f"{name}_d AS (SELECT * FROM {name}_r QUALIFY src = 0 OR row_number() OVER (PARTITION BY {kp}, effective_from, src ORDER BY effective_to, {tie}) = 1)",
-        f"{name}_l AS (SELECT *, lag(1) OVER {w} AS p_marker, lag(effective_to) OVER {w} AS p_to, {lags} FROM {name}_d)",
+        f"{name}_d AS (SELECT * FROM {name}_u QUALIFY src = 0 OR row_number() OVER (PARTITION BY {kp}, effective_from, src ORDER BY effective_to, {tie}) = 1)",
+        f"{name}_r AS (SELECT * FROM {name}_d QUALIFY NOT (src = 1 AND min(src) OVER (PARTITION BY {kp}, effective_from, {tp}) = 0))",
+        f"{name}_l AS (SELECT *, lag(1) OVER {w} AS p_marker, lag(effective_to) OVER {w} AS p_to, {lags} FROM {name}_r)",
         f"{name}_k AS (SELECT * FROM {name}_l WHERE src = 0 OR p_marker IS NULL OR {diff} OR p_to < effective_from)",
         f"{name}_e AS (SELECT {c}, effective_from, {to} AS effective_to FROM {name}_k)",
     ]
