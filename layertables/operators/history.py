@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 from layertables.functions.predicates import any_null
 from layertables.functions.time import open_end, parse_time, time_type_of
 from layertables.operators.quarantine import Split, separate_quarantine_records
+from layertables.operators.skew import BUCKET, SkewSpec, hot_key_bounds, tag_buckets
 
 VALID_FROM = "effective_from"
 VALID_TO = "effective_to"
@@ -165,6 +166,121 @@ def _prepare(incoming: DataFrame, existing: DataFrame | None) -> tuple[DataFrame
     return inc, existing, base + list(VALIDITY), tt
 
 
+_RNW = "__lt_rnw"
+_LAST = "__lt_last"
+_LEAD = "__lt_lead"
+_HASB = "__lt_hasb"
+_KEEP1 = "__lt_keep1"
+_NEXT = "__lt_next"
+_PRES_K = "__lt_pres_k"
+
+
+def _local_pass(
+    u: DataFrame, part: list[str], tracked: list[str], tie: list[Column], missing_keys: str, single: bool = False
+) -> DataFrame:
+    """The merge inside one partition group ``part`` (the key, or key and
+    time bucket): tie-break, replay drop, collapse, next start. Every window
+    partitions by ``part`` plus more, so the one exchange on ``part`` serves
+    all of them. Adds ``_RNW`` (position), ``_LAST`` (last row before the
+    collapse), ``_LEAD`` (next kept start) and ``_HASB`` (group has batch rows).
+    ``single``: batch rows only (first load), so no source order and no replays."""
+    src = F.col(_SRC)
+    vals = F.struct(*[F.col(t) for t in tracked])
+    # One total order per key. Every window below partitions by a prefix of
+    # (part, effective_from, src) and orders by the rest of it, so all of them
+    # are served by one sort after the one exchange. (With one source the
+    # constant src is left out: Catalyst would fold it out of some orders only.)
+    srcs = [] if single else [_SRC]
+    order = [F.col(VALID_FROM).asc(), *[F.col(c).asc() for c in srcs], F.col(VALID_TO).asc(), *tie]
+    w_dup = Window.partitionBy(*part, VALID_FROM, *srcs).orderBy(*order[1 + len(srcs):])
+    w_day = Window.partitionBy(*part, VALID_FROM).orderBy(*order[1:])
+    w = Window.partitionBy(*part).orderBy(*order)
+
+    # Tie-break: one batch row per (key, effective_from).
+    u = u.withColumn(_RN, F.row_number().over(w_dup))
+    keep_row = (src == 0) | (F.col(_RN) == 1)
+    if missing_keys != "keep":
+        u = u.withColumn(_HASB, F.max(F.when(src >= 1, 1).otherwise(0)).over(Window.partitionBy(*part)))
+        keep_row = keep_row & (src < 2)
+    u = u.filter(keep_row)
+
+    # Replay: the batch's pick for (key, effective_from) is already stored
+    # (stored rows of that day sort before it). After the tie-break, so a
+    # rerun of the same batch picks the same row and changes nothing.
+    if not single:
+        stored = F.collect_list(F.when(src == 0, vals)).over(w_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        u = u.withColumn(_REPLAY, (src == 1) & F.exists(stored, lambda x: x.eqNullSafe(vals)))
+        u = u.filter(~F.col(_REPLAY))
+
+    # Collapse: a batch row survives only if it starts a new run of values.
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    u = u.withColumns(
+        {
+            _PREV: F.lag(F.lit(1)).over(w),
+            _PREV_T: F.lag(vals).over(w),
+            _PREV_TO: F.lag(VALID_TO).over(w),
+            _RNW: F.row_number().over(w),
+            _LAST: F.last(F.struct(vals.alias("v"), F.col(VALID_TO).alias("t"))).over(whole),
+        }
+    )
+    keep = (src == 0) | F.col(_PREV).isNull() | ~vals.eqNullSafe(F.col(_PREV_T)) | (F.col(_PREV_TO) < F.col(VALID_FROM))
+    return u.filter(keep).withColumn(_LEAD, F.lead(VALID_FROM).over(w))
+
+
+def _finish(u: DataFrame, next_start: Column, present: Column | None, end: Column, missing_keys: str, close_at: Column | None) -> DataFrame:
+    """Close each version where its successor starts; existing gaps stay."""
+    u = u.withColumn(VALID_TO, F.least(F.col(VALID_TO), F.coalesce(F.col(_LEAD), next_start, end)))
+    if missing_keys == "close":
+        absent_open = (present == 0) & (F.col(VALID_TO) == end)
+        u = u.withColumn(VALID_TO, F.when(absent_open, F.greatest(F.col(VALID_FROM), close_at)).otherwise(F.col(VALID_TO)))
+    elif missing_keys == "drop":
+        u = u.filter(~((present == 0) & (F.col(VALID_TO) == end)))
+    return u.withColumn(IS_CURRENT, F.col(VALID_TO) == end)
+
+
+def _hot_pass(
+    u: DataFrame,
+    keys: list[str],
+    tracked: list[str],
+    tie: list[Column],
+    end: Column,
+    missing_keys: str,
+    close_at: Column | None,
+    single: bool = False,
+) -> DataFrame:
+    """Hot keys, partitioned by (key, time bucket). Only the first row of a
+    bucket (whose predecessor is the last row of the previous non-empty
+    bucket) and the last kept row (whose successor starts in a later bucket)
+    need outside information; a one-row-per-bucket summary, windowed per key
+    and broadcast back, provides it."""
+    part = [*keys, BUCKET]
+    loc = _local_pass(u.repartition(*part), part, tracked, tie, missing_keys, single)
+    vals = F.struct(*[F.col(t) for t in tracked])
+    has_batch = [F.col(_HASB)] if missing_keys != "keep" else []
+    first_rows = loc.filter(F.col(_RNW) == 1).select(
+        *part, VALID_FROM, _SRC, vals.alias("__lt_v1"), _LAST, F.col(_LEAD).alias("__lt_f2"), *has_batch
+    )
+    wk = Window.partitionBy(*keys).orderBy(BUCKET)
+    prev = F.lag(_LAST).over(wk)
+    keep1 = (
+        (F.col(_SRC) == 0)
+        | prev.isNull()
+        | ~F.col("__lt_v1").eqNullSafe(prev.getField("v"))
+        | (prev.getField("t") < F.col(VALID_FROM))
+    )
+    summary = first_rows.withColumn(_KEEP1, keep1).select(
+        *part,
+        _KEEP1,
+        F.first(F.when(F.col(_KEEP1), F.col(VALID_FROM)).otherwise(F.col("__lt_f2")), ignorenulls=True)
+        .over(wk.rowsBetween(1, Window.unboundedFollowing))
+        .alias(_NEXT),
+        *([F.max(_HASB).over(Window.partitionBy(*keys)).alias(_PRES_K)] if has_batch else []),
+    )
+    # One row per hot (key, bucket): at most max_hot_keys x buckets rows.
+    out = loc.join(F.broadcast(summary), part, "left").filter((F.col(_RNW) != 1) | F.col(_KEEP1))
+    return _finish(out, F.col(_NEXT), F.col(_PRES_K) if has_batch else None, end, missing_keys, close_at)
+
+
 def _window_merge(
     hist: DataFrame | None,
     inc: DataFrame,
@@ -176,6 +292,7 @@ def _window_merge(
     missing_keys: str,
     close_at: Column | None,
     present: DataFrame | None,
+    skew: SkewSpec | None = None,
 ) -> DataFrame:
     end = open_end(tt)
     parts = [inc.withColumn(_SRC, F.lit(1))]
@@ -184,48 +301,20 @@ def _window_merge(
     if present is not None and missing_keys != "keep":
         parts.append(present.select(*keys).withColumn(_SRC, F.lit(2)))
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    # The one exchange: every window below partitions by the key (plus more).
-    u = u.repartition(*keys)
-
-    src = F.col(_SRC)
-    if missing_keys != "keep":
-        u = u.withColumn(_PRESENT, F.max(F.when(src >= 1, 1).otherwise(0)).over(Window.partitionBy(*keys)))
-        u = u.filter(src < 2)
-
-    # One total order per key; the per-(key, date) tie-break shares it, so a
-    # single sort serves the dedup, the lag and the lead windows.
-    order = [F.col(VALID_FROM).asc(), src.asc(), F.col(VALID_TO).asc(), *tie]
-    w_dup = Window.partitionBy(*keys, VALID_FROM, _SRC).orderBy(*order[2:])
-    w = Window.partitionBy(*keys).orderBy(*order)
-    u = u.withColumn(_RN, F.row_number().over(w_dup)).filter((src == 0) | (F.col(_RN) == 1))
-
-    # Replay: the batch's pick for (key, effective_from) is already stored.
-    # After the tie-break, so a rerun of the same batch picks the same row.
-    u = u.withColumn(_REPLAY, (src == 1) & (F.min(_SRC).over(Window.partitionBy(*keys, VALID_FROM, *tracked)) == 0))
-    u = u.filter(~F.col(_REPLAY))
-
-    # Collapse: a batch row survives only if it starts a new run of values.
-    vals = F.struct(*[F.col(t) for t in tracked])
-    u = u.withColumns(
-        {
-            _PREV: F.lag(F.lit(1)).over(w),
-            _PREV_T: F.lag(vals).over(w),
-            _PREV_TO: F.lag(VALID_TO).over(w),
-        }
-    )
-    keep = (src == 0) | F.col(_PREV).isNull() | ~vals.eqNullSafe(F.col(_PREV_T)) | (F.col(_PREV_TO) < F.col(VALID_FROM))
-    u = u.filter(keep)
 
-    # Close each version where its successor starts; existing gaps stay.
-    new_to = F.least(F.col(VALID_TO), F.coalesce(F.lead(VALID_FROM).over(w), end))
-    u = u.withColumn(VALID_TO, new_to)
-    if missing_keys == "close":
-        absent_open = (F.col(_PRESENT) == 0) & (F.col(VALID_TO) == end)
-        u = u.withColumn(VALID_TO, F.when(absent_open, F.greatest(F.col(VALID_FROM), close_at)).otherwise(F.col(VALID_TO)))
-    elif missing_keys == "drop":
-        u = u.filter(~((F.col(_PRESENT) == 0) & (F.col(VALID_TO) == end)))
-    u = u.withColumn(IS_CURRENT, F.col(VALID_TO) == end)
-    return u.select(*out_cols)
+    present_col = F.col(_HASB) if missing_keys != "keep" else None
+    single = len(parts) == 1
+    bounds = hot_key_bounds(u, keys, VALID_FROM, skew)
+    if bounds is None:
+        # The one exchange: every window partitions by the key (plus more).
+        loc = _local_pass(u.repartition(*keys), keys, tracked, tie, missing_keys, single)
+        return _finish(loc, F.lit(None).cast(tt), present_col, end, missing_keys, close_at).select(*out_cols)
+    tagged = tag_buckets(u, bounds, keys, VALID_FROM)
+    cold = tagged.filter(F.col(BUCKET).isNull()).drop(BUCKET)
+    loc = _local_pass(cold.repartition(*keys), keys, tracked, tie, missing_keys, single)
+    normal = _finish(loc, F.lit(None).cast(tt), present_col, end, missing_keys, close_at).select(*out_cols)
+    hot = _hot_pass(tagged.filter(F.col(BUCKET).isNotNull()), keys, tracked, tie, end, missing_keys, close_at, single)
+    return normal.unionByName(hot.select(*out_cols))
 
 
 def _untouched(hist: DataFrame, tt: T.DataType, missing_keys: str, close_at: Column | None) -> DataFrame:
@@ -257,6 +346,7 @@ def merge_scd2(
     tie_break: Sequence[Column] | None = None,
     strategy: str = "auto",
     broadcast_key_limit: int = BROADCAST_KEY_LIMIT,
+    skew: SkewSpec | None = SkewSpec(),
 ) -> DataFrame:
     """Merge a batch (with ``effective_from``) into a history; return the full history.
 
@@ -272,6 +362,9 @@ def merge_scd2(
     * ``existing_df`` may be ``None`` or empty (first load): same code path.
 
     Schema evolution: columns on one side only are filled with NULL.
+
+    ``skew`` sets when a key is hot enough to be split into time buckets
+    (see :mod:`layertables.operators.skew`); ``None`` turns detection off.
     """
     keys = _as_list(scd2_key)
     tracked = list(track_columns or [])
@@ -300,7 +393,7 @@ def merge_scd2(
             batch = batch.unionByName(present_keys.select(*keys))
         use_split = fits_broadcast(batch, broadcast_key_limit)
     if not use_split:
-        return _window_merge(hist, inc, keys, tracked, tie, out_cols, tt, missing_keys, close_col, present_keys)
+        return _window_merge(hist, inc, keys, tracked, tie, out_cols, tt, missing_keys, close_col, present_keys, skew)
 
     batch_keys = inc.select(*keys)
     if present_keys is not None:
@@ -308,7 +401,7 @@ def merge_scd2(
     batch_keys = F.broadcast(batch_keys.distinct())
     touched = hist.join(batch_keys, keys, "left_semi")
     rest = _untouched(hist.join(batch_keys, keys, "left_anti"), tt, missing_keys, close_col)
-    merged = _window_merge(touched, inc, keys, tracked, tie, out_cols, tt, "keep", None, None)
+    merged = _window_merge(touched, inc, keys, tracked, tie, out_cols, tt, "keep", None, None, skew)
     return merged.unionByName(rest.select(*out_cols))
 
 
@@ -367,15 +460,18 @@ def classify_changes(
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).repartition(*keys)
     src = F.col(_SRC)
     in_cols = list(incoming_df.columns)
+    vals = F.struct(*[F.col(t) for t in tracked])
     order = [F.col(VALID_FROM).asc(), src.asc(), F.col(VALID_TO).asc(), *tie]
     w_dup = Window.partitionBy(*keys, VALID_FROM, _SRC).orderBy(*order[2:])
+    w_day = Window.partitionBy(*keys, VALID_FROM).orderBy(*order[1:])
     w = Window.partitionBy(*keys).orderBy(*order)
-    u = u.withColumns({_PRESENT: F.min(_SRC).over(Window.partitionBy(*keys)) == 0, _RN: F.row_number().over(w_dup)})
+    u = u.withColumn(_RN, F.row_number().over(w_dup))
+    u = u.withColumn(_PRESENT, F.min(_SRC).over(Window.partitionBy(*keys)) == 0)
     dups = u.filter((src == 1) & (F.col(_RN) > 1)).select(*in_cols, F.lit(DUPLICATE).alias(CHANGE_TYPE))
     u = u.filter((src == 0) | (F.col(_RN) == 1))
-    u = u.withColumn(_REPLAY, (src == 1) & (F.min(_SRC).over(Window.partitionBy(*keys, VALID_FROM, *tracked)) == 0))
+    stored = F.collect_list(F.when(src == 0, vals)).over(w_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    u = u.withColumn(_REPLAY, (src == 1) & F.exists(stored, lambda x: x.eqNullSafe(vals)))
     replays = u.filter(F.col(_REPLAY)).select(*in_cols, F.lit(UNCHANGED).alias(CHANGE_TYPE))
-    vals = F.struct(*[F.col(t) for t in tracked])
     alive = u.filter(~F.col(_REPLAY)).withColumns(
         {_PREV: F.lag(F.lit(1)).over(w), _PREV_T: F.lag(vals).over(w), _PREV_TO: F.lag(VALID_TO).over(w)}
     )
