@@ -1,15 +1,26 @@
 """As-of (temporal) join: attach to every fact the dimension version valid at
-the fact's time.
-
-``fact.key = dim.key AND dim.effective_from <= fact.ts < dim.effective_to``
-as a LEFT join, so facts without a version keep a NULL surrogate key. The
-equality part lets Spark pick a shuffled sort-merge join (or a broadcast
-hash join when statistics prove the dimension small); the range part is a
-residual condition evaluated only within one key. Because the history merge
-guarantees disjoint intervals per key, each fact matches at most one
-version and the fact row count is preserved. A hot key on the fact side is
-split by adaptive execution's skew-join handling, which replicates only the
-matching dimension partition.
+the fact's time, ``dim.effective_from <= fact.ts < dim.effective_to``, as a
+LEFT join: facts without a version (or with a NULL key or time) keep NULLs.
+The history merge guarantees disjoint intervals per key, so each fact
+matches at most one version and the fact row count is preserved.
+
+Two plans, chosen by ``method``:
+
+* ``"join"``: equi join on the key with the range as a residual condition.
+  With a broadcast dimension no fact row is shuffled. A shuffled sort-merge
+  join compares every fact of a key with every version of that key, so it is
+  only used when the dimension passed the size check below.
+* ``"window"``: facts and versions are unioned, hash-partitioned once on the
+  key and sorted by time; each fact takes the last version that started at
+  or before it (``last(..., ignorenulls)`` over a running frame) and keeps
+  it if the fact is before the version's end. Linear in facts + versions,
+  whatever the number of versions per key. Hot keys are split into time
+  buckets (see :mod:`layertables.operators.skew`); each bucket receives the
+  last version of the buckets before it, computed from the dimension alone.
+* ``"auto"`` (default): one small job reads at most ``broadcast_rows + 1``
+  dimension keys; if the dimension has at most ``broadcast_rows`` rows and at
+  most ``max_versions_per_key`` versions per key, it is broadcast; otherwise
+  the window plan runs.
 """
 
 from __future__ import annotations
@@ -18,12 +29,23 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layertables.functions.predicates import any_null
 from layertables.operators.history import VALID_FROM, VALID_TO
+from layertables.operators.skew import BOUNDS, BUCKET, SkewSpec, hot_key_bounds, tag_buckets
 
 _P = "__lt_d_"
+_T = "__lt_t"
+_KIND = "__lt_kind"
+_PAY = "__lt_pay"
+_GOT = "__lt_got"
+_LASTV = "__lt_lastv"
+METHODS = ("auto", "join", "window")
+# Default bounds for broadcasting a dimension.
+BROADCAST_ROWS = 2_000_000
+MAX_VERSIONS_PER_KEY = 64
 
 
 def _as_list(x) -> list[str]:
@@ -40,6 +62,10 @@ def asof_join(
     *,
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
+    method: str = "auto",
+    broadcast_rows: int = BROADCAST_ROWS,
+    max_versions_per_key: int = MAX_VERSIONS_PER_KEY,
+    skew: SkewSpec | None = SkewSpec(),
 ) -> DataFrame:
     """LEFT as-of join. Returns all fact columns plus the requested dimension
     columns (a list, or a ``{dim_column: output_name}`` mapping).
@@ -47,6 +73,8 @@ def asof_join(
     The fact time is cast to the dimension's time type when they differ
     (e.g. a TIMESTAMP fact against DATE validity compares its day).
     """
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     fk = _as_list(fact_keys)
     dk = _as_list(dim_keys) if dim_keys is not None else fk
     if len(fk) != len(dk):
@@ -59,15 +87,94 @@ def asof_join(
     tt = dim.schema[valid_from].dataType
     ft = fact.schema[fact_time].dataType
     t = F.col(fact_time) if ft == tt else F.col(fact_time).cast(tt)
+    broadcast_ok = False
+    if method == "auto":
+        broadcast_ok = dim_is_small(dim, dk, broadcast_rows, max_versions_per_key)
+        method = "join" if broadcast_ok else "window"
+    if method == "window":
+        return _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew)
     # Unique names on the dimension side: safe even when both sides share lineage.
     needed = list(dict.fromkeys([*dk, valid_from, valid_to, *wanted]))
     d = dim.select(*[F.col(c).alias(_P + c) for c in needed])
     cond = reduce(lambda a, b: a & b, [F.col(f) == F.col(_P + k) for f, k in zip(fk, dk)])
     cond = cond & (t >= F.col(_P + valid_from)) & (t < F.col(_P + valid_to))
-    joined = fact.join(d, cond, "left")
+    joined = fact.join(F.broadcast(d) if broadcast_ok else d, cond, "left")
     return joined.select(*fact.columns, *[F.col(_P + c).alias(o) for c, o in wanted.items()])
 
 
+def dim_is_small(dim: DataFrame, keys: Sequence[str], max_rows: int, max_per_key: int) -> bool:
+    """One job over at most ``max_rows + 1`` dimension keys: True when the
+    dimension has at most ``max_rows`` rows and ``max_per_key`` rows per key."""
+    r = (
+        dim.select(*keys)
+        .limit(max_rows + 1)
+        .groupBy(*keys)
+        .count()
+        .agg(F.sum("count").alias("n"), F.max("count").alias("m"))
+        .first()
+    )
+    n, m = (r["n"] or 0), (r["m"] or 0)
+    return n <= max_rows and m <= max_per_key
+
+
+def _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew) -> DataFrame:
+    keys = [f"__lt_k{i}" for i in range(len(fk))]
+    f = fact.withColumns({**{k: F.col(c) for k, c in zip(keys, fk)}, _T: t, _KIND: F.lit(1)})
+    # NULL keys or times never match; they skip the shuffle (and cannot form
+    # one giant NULL group).
+    unmatched = f.filter(any_null([*keys, _T]))
+    f = f.filter(~any_null([*keys, _T]))
+    names = list(wanted)
+    pay = F.struct(
+        F.col(valid_from).alias("f"), F.col(valid_to).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]
+    )
+    d = dim.select(
+        *[F.col(c).alias(k) for k, c in zip(keys, dk)], F.col(valid_from).alias(_T), F.lit(0).alias(_KIND), pay.alias(_PAY)
+    ).filter(~any_null([*keys, _T]))
+    u = f.unionByName(d, allowMissingColumns=True)
+
+    bounds = hot_key_bounds(u, keys, _T, skew)
+    if bounds is None:
+        matched = _running_last(u.repartition(*keys), keys)
+    else:
+        tagged = tag_buckets(u, bounds, keys, _T)
+        cold = _running_last(tagged.filter(F.col(BUCKET).isNull()).drop(BUCKET).repartition(*keys), keys)
+        hot = tagged.filter(F.col(BUCKET).isNotNull())
+        part = [*keys, BUCKET]
+        # Last version of every hot (key, bucket), from the dimension rows only.
+        last_in = hot.filter(F.col(_KIND) == 0).groupBy(*part).agg(
+            F.max_by(_PAY, F.struct(F.col(_T), F.col(_PAY).getField("t"))).alias(_LASTV)
+        )
+        every = bounds.select(*keys, F.explode(F.sequence(F.lit(0), F.size(BOUNDS))).alias(BUCKET))
+        carry = (
+            every.join(last_in, part, "left")
+            .withColumn(
+                _LASTV,
+                F.last(_LASTV, ignorenulls=True).over(
+                    Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+                ),
+            )
+            .filter(F.col(_LASTV).isNotNull())
+            .select(*part, F.col(_LASTV).getField("f").alias(_T), F.lit(0).alias(_KIND), F.col(_LASTV).alias(_PAY))
+        )
+        hot = hot.unionByName(carry, allowMissingColumns=True)
+        matched = cold.unionByName(_running_last(hot.repartition(*part), part).drop(BUCKET))
+    got = F.col(_GOT)
+    ok = got.isNotNull() & (F.col(_T) < got.getField("t"))
+    out_m = matched.select(*fact.columns, *[F.when(ok, got.getField(f"c{i}")).alias(wanted[c]) for i, c in enumerate(names)])
+    out_u = unmatched.select(*fact.columns, *[F.lit(None).cast(dim.schema[c].dataType).alias(wanted[c]) for c in names])
+    return out_m.unionByName(out_u)
+
+
+def _running_last(u: DataFrame, part: Sequence[str]) -> DataFrame:
+    """For every fact: the last version at or before its time in ``part``
+    (versions sort before facts of the same time; of two versions with one
+    start the longer one is last, so a zero-length correction never wins)."""
+    w = Window.partitionBy(*part).orderBy(F.col(_T), F.col(_KIND), F.col(_PAY).getField("t"))
+    got = F.last(_PAY, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return u.withColumn(_GOT, got).filter(F.col(_KIND) == 1)
+
+
 @dataclass(frozen=True)
 class AsOf:
     """One dimension lookup of a fact table."""
@@ -79,6 +186,7 @@ class AsOf:
     dim_keys: str | Sequence[str] | None = None
     valid_from: str = VALID_FROM
     valid_to: str = VALID_TO
+    method: str = "auto"
 
 
 def build_fact(fact: DataFrame, lookups: Sequence[AsOf], select: Sequence[str] | None = None) -> DataFrame:
@@ -86,6 +194,14 @@ def build_fact(fact: DataFrame, lookups: Sequence[AsOf], select: Sequence[str] |
     out = fact
     for lk in lookups:
         out = asof_join(
-            out, lk.dim, lk.fact_keys, lk.fact_time, lk.dim_keys, lk.columns, valid_from=lk.valid_from, valid_to=lk.valid_to
+            out,
+            lk.dim,
+            lk.fact_keys,
+            lk.fact_time,
+            lk.dim_keys,
+            lk.columns,
+            valid_from=lk.valid_from,
+            valid_to=lk.valid_to,
+            method=lk.method,
         )
     return out.select(*select) if select else out

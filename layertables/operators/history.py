@@ -23,8 +23,9 @@ one rule:
   version always ends exactly where its successor starts and existing gaps
   stay.
 
-For a large history and a small batch (the daily case) the history is first
-split by a broadcast semi/anti join on the batch keys, whose count is
+For a large history and a small batch (the daily case: the history's size
+estimate is at least ``split_ratio`` times the batch's) the history is
+first split by a broadcast semi/anti join on the batch keys, whose count is
 checked before it is broadcast; only history rows of touched keys are
 shuffled.
 """
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 from layertables.functions.predicates import any_null
 from layertables.functions.time import open_end, parse_time, time_type_of
 from layertables.operators.quarantine import Split, separate_quarantine_records
-from layertables.operators.skew import BUCKET, SkewSpec, hot_key_bounds, tag_buckets
+from layertables.operators.skew import BUCKET, SkewSpec, estimated_bytes, hot_key_bounds, tag_buckets
 
 VALID_FROM = "effective_from"
 VALID_TO = "effective_to"
@@ -54,6 +55,8 @@ STRATEGIES = ("auto", "window", "split")
 
 # Default bound on batch rows for the broadcast split of the history.
 BROADCAST_KEY_LIMIT = 2_000_000
+# "auto" splits only when the history is estimated this many times the batch.
+SPLIT_RATIO = 4.0
 
 _SRC = "__lt_src"
 _RN = "__lt_rn"
@@ -346,6 +349,7 @@ def merge_scd2(
     tie_break: Sequence[Column] | None = None,
     strategy: str = "auto",
     broadcast_key_limit: int = BROADCAST_KEY_LIMIT,
+    split_ratio: float = SPLIT_RATIO,
     skew: SkewSpec | None = SkewSpec(),
 ) -> DataFrame:
     """Merge a batch (with ``effective_from``) into a history; return the full history.
@@ -387,6 +391,10 @@ def merge_scd2(
             hist = hist.withColumn(c, F.lit(None).cast(inc.schema[c].dataType))
 
     use_split = hist is not None and strategy != "window"
+    if use_split and strategy == "auto":
+        # Splitting pays when the batch touches a small part of the history
+        # (the daily case); Catalyst's size estimates decide that for free.
+        use_split = estimated_bytes(hist) >= split_ratio * estimated_bytes(inc)
     if use_split and strategy == "auto":
         batch = inc.select(*keys)
         if present_keys is not None:

@@ -86,13 +86,14 @@ def test_surrogate_key_first_bigint_unique_stable(spark):
     assert rows(k, "sk", "id", "name") == rows(again, "sk", "id", "name")
 
 
-def test_asof_half_open_and_unmatched_kept(spark):
+@pytest.mark.parametrize("method", ["auto", "join", "window"])
+def test_asof_half_open_and_unmatched_kept(spark, method):
     h = add_surrogate_key(_hist(spark), "sk", history_key_columns(["id"], ["name"]))
     f = spark.createDataFrame(
         [(10, 1, D("2020-01-31")), (11, 1, D("2020-02-01")), (12, 1, D("2019-12-31")), (13, 9, D("2020-03-01")), (14, None, D("2020-03-01"))],
         "oid int, id int, ts date",
     )
-    out = asof_join(f, h, "id", "ts", columns={"sk": "customer_key", "name": "cname"})
+    out = asof_join(f, h, "id", "ts", columns={"sk": "customer_key", "name": "cname"}, method=method)
     assert out.count() == f.count()
     got = {r["oid"]: r["cname"] for r in out.collect()}
     assert got == {10: "a", 11: "b", 12: None, 13: None, 14: None}
@@ -101,10 +102,11 @@ def test_asof_half_open_and_unmatched_kept(spark):
     assert rows(bf) == rows(out, "oid", "cname")
 
 
-def test_asof_timestamp_fact_against_date_validity(spark):
+@pytest.mark.parametrize("method", ["join", "window"])
+def test_asof_timestamp_fact_against_date_validity(spark, method):
     h = _hist(spark)
     f = spark.createDataFrame([(1, 1)], "oid int, id int").withColumn("ts", F.to_timestamp(F.lit("2020-02-01 10:00:00")))
-    out = asof_join(f, h, "id", "ts", columns=["name"])
+    out = asof_join(f, h, "id", "ts", columns=["name"], method=method)
     assert rows(out, "name") == [("b",)]
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -63,3 +64,28 @@ def test_random_batches_same_as_plain(spark, a, b):
     hot = merge_scd2(_df(spark, b), merge_scd2(_df(spark, a), None, "id", ["v"], skew=FORCE), "id", ["v"], skew=FORCE,
                      strategy="window")
     assert rows(hot, *COLS) == rows(plain, *COLS)
+
+
+def test_asof_window_hot_buckets_equal_join(spark):
+    from layertables.operators.asof import asof_join
+
+    rnd = random.Random(9)
+    evs = [(0, d, rnd.choice(["a", "b", "c"])) for d in range(0, 300, 3)]  # one key, many versions
+    evs += [(k, rnd.randrange(300), rnd.choice(["a", "b"])) for k in range(1, 30)]
+    hist = merge_scd2(_df(spark, evs), None, "id", ["v"], skew=None)
+    # Close one version early to leave a gap, and add a zero-length correction.
+    hist = hist.withColumn(
+        "effective_to",
+        F.when((F.col("id") == 0) & (F.col("effective_from") == BASE + dt.timedelta(days=30)), F.col("effective_from") + 1)
+        .otherwise(F.col("effective_to")),
+    )
+    facts = spark.createDataFrame(
+        [(i, rnd.choice([0, 0, 0, 1, 2, 99, None]), BASE + dt.timedelta(days=rnd.randrange(-5, 320))) for i in range(400)],
+        "fid int, id int, ts date",
+    )
+    want = asof_join(facts, hist, "id", "ts", columns={"v": "dim_v"}, method="join")
+    plain = asof_join(facts, hist, "id", "ts", columns={"v": "dim_v"}, method="window", skew=None)
+    hot = asof_join(facts, hist, "id", "ts", columns={"v": "dim_v"}, method="window", skew=FORCE)
+    assert rows(plain) == rows(want)
+    assert rows(hot) == rows(want)
+    assert hot.count() == facts.count()
