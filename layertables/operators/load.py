@@ -18,7 +18,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layertables.operators.history import VALID_FROM, apply_scd2
+from layertables.operators.history import VALID_FROM, _orderable, apply_scd2
 
 LOAD_TYPES = ("overwrite", "scd1", "scd2", "append")
 
@@ -55,7 +55,18 @@ def _as_list(x) -> list[str]:
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first in ``latest_by`` order (give DESC columns for
-    'latest'). Without an order, the row with the greatest values wins."""
+    'latest'). Without an order, the row with the greatest values wins.
+
+    When ``latest_by`` is empty or names columns (greatest wins, NULL last),
+    this is a ``max_by`` aggregate: partial aggregation before the shuffle,
+    so a key with very many rows never lands whole in one task. Ties are
+    broken by the remaining columns. Sort expressions use a keyed window."""
+    if all(isinstance(c, str) for c in latest_by):
+        cols = list(df.columns)
+        rank = [*latest_by, *[c for c in cols if c not in keys and c not in latest_by]]
+        rank = [c for c in rank if _orderable(df.schema[c].dataType)]
+        best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in rank]))
+        return df.groupBy(*keys).agg(best.alias("__lt_best")).select("__lt_best.*")
     order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in latest_by]
     if not order:
         order = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys]

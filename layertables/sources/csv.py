@@ -11,7 +11,9 @@ so it can be quarantined instead of silently becoming NULLs.
 
 from __future__ import annotations
 
+import csv as _csv
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +41,34 @@ def csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
 
 
 def csv_header(spark: SparkSession, file: str, sep: str = ",") -> list[str]:
-    """Column names from the header line of one file (reads the first line only)."""
-    return spark.read.option("header", True).option("sep", sep).csv(file).columns
+    """Column names from the header line of one file.
+
+    Reads only the first line through the Hadoop filesystem of the path (any
+    URI Spark can read; compressed files are decoded by their codec), so no
+    Spark job is started per file."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    fs = path.getFileSystem(conf)
+    stream = fs.open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        raw = codec.createInputStream(stream) if codec is not None else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    if line is None:
+        return []
+    line = line.lstrip("\ufeff")
+    return [h.strip() for h in next(_csv.reader([line], delimiter=sep))]
+
+
+def csv_headers(spark: SparkSession, files: list[str], sep: str = ",", threads: int = 16) -> dict[str, tuple[str, ...]]:
+    """Headers of many files, read concurrently (first line of each only)."""
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        heads = list(pool.map(lambda f: tuple(csv_header(spark, f, sep)), files))
+    return dict(zip(files, heads))
 
 
 def read_csv_declared(
@@ -70,10 +98,14 @@ def read_csv_declared(
     if shared_header:
         groups[tuple(csv_header(spark, files[0], sep))] = files
     else:
-        for f in files:
-            groups.setdefault(tuple(csv_header(spark, f, sep)), []).append(f)
+        for f, h in csv_headers(spark, files, sep).items():
+            if h:  # an empty file has no header and no rows
+                groups.setdefault(h, []).append(f)
 
     types = {f.name: f.dataType for f in declared.fields}
+    if not groups:  # only empty files
+        out = declared if not corrupt_column else declared.add(corrupt_column, T.StringType())
+        return spark.createDataFrame([], out)
     frames = []
     for header, fs in groups.items():
         # Every field is read as text and typed by a projection, so a value
@@ -108,9 +140,8 @@ def header_drift(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     declared = schema_from_fields(schema)
     result = {"is_valid": True, "missing_columns": [], "extra_columns": []}
     seen = set()
-    for f in csv_files(spark, path):
-        h = tuple(csv_header(spark, f, sep))
-        if h in seen:
+    for h in csv_headers(spark, csv_files(spark, path), sep).values():
+        if not h or h in seen:
             continue
         seen.add(h)
         st = T.StructType([T.StructField(n, declared[n].dataType if n in declared.names else T.StringType()) for n in h])

@@ -120,3 +120,12 @@ def test_refine_table_cleans_before_merge(spark):
     b2 = spark.createDataFrame([(1, "a", "ACTIVE", "2020-02-01")], "id int, name string, status string, upd string")
     r2 = refine_table(b2, r1.valid, rules)
     assert rows(r2.valid, "id", "effective_from", "is_current") == [(1, D("2020-01-01"), True)]
+
+
+def test_csv_gzip_header_and_many_files(spark, tmp_table):
+    p = tmp_table("csvgz")
+    spark.createDataFrame([("x", str(i), "UK") for i in range(40)], "name string, id string, country string").repartition(
+        4
+    ).write.option("header", True).option("compression", "gzip").csv(p)
+    df = read_csv_declared(spark, p, DDL, corrupt_column=None)
+    assert df.count() == 40 and df.filter("id IS NULL").count() == 0
