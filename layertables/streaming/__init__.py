@@ -1,0 +1,4 @@
+"""Intentionally empty: the library mirrors a batch-only system (no stream
+sources, event-time windows or stateful operators). The history merge is
+idempotent per batch, so the batch operators can be called from a
+``foreachBatch`` sink without any code here."""
