@@ -451,12 +451,14 @@ def classify_changes(
     track_columns: Sequence[str],
     *,
     tie_break: Sequence[Column] | None = None,
+    skew: SkewSpec | None = SkewSpec(),
 ) -> DataFrame:
     """Every batch row with ``change_type``: ``new`` (key not in the history),
     ``changed`` (opens a version), ``unchanged`` (equal to the version it falls
     into, or a replay) or ``duplicate`` (lost the per-(key, date) tie-break).
 
-    Same single keyed exchange as the merge; nothing is joined.
+    Same single keyed exchange and sort as the merge; nothing is joined
+    except, for hot keys, the small per-bucket summary.
     """
     keys = _as_list(scd2_key)
     tracked = list(track_columns)
@@ -464,27 +466,69 @@ def classify_changes(
     tie = list(tie_break) if tie_break is not None else default_tie_break(inc, keys, tracked)
     parts = [inc.withColumn(_SRC, F.lit(1))]
     if hist is not None:
-        parts.insert(0, hist.select(*[c for c in hist.columns]).withColumn(_SRC, F.lit(0)))
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).repartition(*keys)
-    src = F.col(_SRC)
+        parts.insert(0, hist.withColumn(_SRC, F.lit(0)))
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     in_cols = list(incoming_df.columns)
+    bounds = hot_key_bounds(u, keys, VALID_FROM, skew)
+    if bounds is None:
+        return _classify_pass(u.repartition(*keys), keys, keys, tracked, tie, in_cols, None)
+    tagged = tag_buckets(u, bounds, keys, VALID_FROM)
+    cold = tagged.filter(F.col(BUCKET).isNull()).drop(BUCKET)
+    hot = tagged.filter(F.col(BUCKET).isNotNull())
+    part = [*keys, BUCKET]
+    return _classify_pass(cold.repartition(*keys), keys, keys, tracked, tie, in_cols, None).unionByName(
+        _classify_pass(hot.repartition(*part), part, keys, tracked, tie, in_cols, part)
+    )
+
+
+def _classify_pass(
+    u: DataFrame,
+    part: list[str],
+    keys: list[str],
+    tracked: list[str],
+    tie: list[Column],
+    in_cols: list[str],
+    hot_part: list[str] | None,
+) -> DataFrame:
+    src = F.col(_SRC)
     vals = F.struct(*[F.col(t) for t in tracked])
     order = [F.col(VALID_FROM).asc(), src.asc(), F.col(VALID_TO).asc(), *tie]
-    w_dup = Window.partitionBy(*keys, VALID_FROM, _SRC).orderBy(*order[2:])
-    w_day = Window.partitionBy(*keys, VALID_FROM).orderBy(*order[1:])
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w_dup = Window.partitionBy(*part, VALID_FROM, _SRC).orderBy(*order[2:])
+    w_day = Window.partitionBy(*part, VALID_FROM).orderBy(*order[1:])
+    w = Window.partitionBy(*part).orderBy(*order)
     u = u.withColumn(_RN, F.row_number().over(w_dup))
-    u = u.withColumn(_PRESENT, F.min(_SRC).over(Window.partitionBy(*keys)) == 0)
+    u = u.withColumn(_HASB, F.max(F.when(src == 0, 1).otherwise(0)).over(Window.partitionBy(*part)))
     dups = u.filter((src == 1) & (F.col(_RN) > 1)).select(*in_cols, F.lit(DUPLICATE).alias(CHANGE_TYPE))
     u = u.filter((src == 0) | (F.col(_RN) == 1))
     stored = F.collect_list(F.when(src == 0, vals)).over(w_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn(_REPLAY, (src == 1) & F.exists(stored, lambda x: x.eqNullSafe(vals)))
     replays = u.filter(F.col(_REPLAY)).select(*in_cols, F.lit(UNCHANGED).alias(CHANGE_TYPE))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     alive = u.filter(~F.col(_REPLAY)).withColumns(
-        {_PREV: F.lag(F.lit(1)).over(w), _PREV_T: F.lag(vals).over(w), _PREV_TO: F.lag(VALID_TO).over(w)}
+        {
+            _PREV: F.lag(F.lit(1)).over(w),
+            _PREV_T: F.lag(vals).over(w),
+            _PREV_TO: F.lag(VALID_TO).over(w),
+            _RNW: F.row_number().over(w),
+            _LAST: F.last(F.struct(vals.alias("v"), F.col(VALID_TO).alias("t"))).over(whole),
+        }
     )
     opens = F.col(_PREV).isNull() | ~vals.eqNullSafe(F.col(_PREV_T)) | (F.col(_PREV_TO) < F.col(VALID_FROM))
-    kind = F.when(~F.col(_PRESENT), F.lit(NEW)).when(opens, F.lit(CHANGED)).otherwise(F.lit(UNCHANGED))
+    present = F.col(_HASB) == 1
+    if hot_part is not None:
+        # First row of a bucket: its predecessor is the last row of the
+        # previous non-empty bucket; presence is per key, not per bucket.
+        firsts = alive.filter(F.col(_RNW) == 1).select(*hot_part, VALID_FROM, _SRC, vals.alias("__lt_v1"), _LAST, _HASB)
+        wk = Window.partitionBy(*keys).orderBy(BUCKET)
+        prev = F.lag(_LAST).over(wk)
+        keep1 = prev.isNull() | ~F.col("__lt_v1").eqNullSafe(prev.getField("v")) | (prev.getField("t") < F.col(VALID_FROM))
+        summary = firsts.select(
+            *hot_part, keep1.alias(_KEEP1), F.max(_HASB).over(Window.partitionBy(*keys)).alias(_PRES_K)
+        )
+        alive = alive.join(F.broadcast(summary), hot_part, "left")
+        opens = F.when(F.col(_RNW) == 1, F.col(_KEEP1)).otherwise(opens)
+        present = F.col(_PRES_K) == 1
+    kind = F.when(~present, F.lit(NEW)).when(opens, F.lit(CHANGED)).otherwise(F.lit(UNCHANGED))
     batch_rows = alive.filter(src == 1).select(*in_cols, kind.alias(CHANGE_TYPE))
     return batch_rows.unionByName(replays).unionByName(dups)
 

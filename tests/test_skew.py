@@ -89,3 +89,15 @@ def test_asof_window_hot_buckets_equal_join(spark):
     assert rows(plain) == rows(want)
     assert rows(hot) == rows(want)
     assert hot.count() == facts.count()
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(a=events, b=events)
+def test_classify_hot_same_as_plain(spark, a, b):
+    from layertables.operators.history import classify_changes
+
+    hist = merge_scd2(_df(spark, a), None, "id", ["v"], skew=None)
+    plain = classify_changes(_df(spark, b), hist, "id", ["v"], skew=None)
+    hot = classify_changes(_df(spark, b), hist, "id", ["v"], skew=FORCE)
+    cols = ["id", "v", "effective_from", "change_type"]
+    assert rows(hot, *cols) == rows(plain, *cols)
