@@ -21,8 +21,18 @@ CLOSE_AT = "1999-12-31"
 DEFAULT_FROM = "2000-01-01"
 
 
+_TABLES: dict[str, DataFrame] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    """A handle on one of the driver's read-only tables. The handle (a lazy
+    plan, no data) is reused within a session, so the file listing and footer
+    read happen once per table rather than once per query."""
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    df = _TABLES.get(path)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[path] = spark.read.parquet(path)
+    return df
 
 
 def _day(start: str, offset: Column) -> Column:
