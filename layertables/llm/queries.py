@@ -6,9 +6,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from layertables.llm import decontam, langid, packing, secrets, simhash, token_store, toxicity
+from layertables.llm import ann, chat, decontam, langid, packing, pii, secrets, simhash, token_store, toxicity
 from layertables.llm.common import table
 from layertables.llm.tokens import public_path
 from layertables.session import scratch_path
@@ -27,6 +26,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "spans")
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"), "production-key")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     training = langid.training_text(docs, learn_from=~langid.held_out())
@@ -41,17 +44,38 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    index = ann.build(vectors)
+    return ann.search(index, vectors.filter("vec_id % 50 = 0"), 5)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_store, op2_toxicity, op4_language_id, op5_packing, op6_simhash, op8_secrets, op10_decontaminate)
+    for f in (
+        op1_token_store,
+        op2_toxicity,
+        op3_surrogates,
+        op4_language_id,
+        op5_packing,
+        op6_simhash,
+        op7_neighbours,
+        op8_secrets,
+        op9_chats,
+        op10_decontaminate,
+    )
 }
 
 
