@@ -1,7 +1,7 @@
 """Surrogates for personal data, with DataFrame functions only.
 
-Found in whole texts: e-mail addresses, phone numbers, card numbers, IPv4
-addresses, social security numbers, and names behind a title that tells the
+Found in whole texts: e-mail addresses, phone numbers, card numbers (by their
+first and check digits), IPv4 addresses, social security numbers, and names behind a title that tells the
 gender. Every entity is brought to a normal form (letters in lower case, digits
 without separators), so that all its spellings, in all documents, get one
 surrogate; given names and surnames are entities of their own, so "Mr. John Smith"
@@ -38,7 +38,8 @@ MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Don|господин|г-н|Κύρ
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Señora|Sra|Doña|госпожа|г-жа|Κυρία"
 # Forms of the other kinds, in order of precedence.
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-IPV4 = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)"
+OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+IPV4 = rf"(?<![\d.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?!\d|\.\d)"
 CARD = r"(?<![\d-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?![\d-])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
@@ -58,6 +59,8 @@ ENDINGS = {
     "surname": {"latin": "er", "cyrillic": "ко", "greek": "κης"},
 }
 MORE_AFTER = 3
+# Kind of a number that only looks like a card's; it stays as it is.
+NONE = "none"
 
 
 def _kind(raw: Column) -> Column:
@@ -88,6 +91,8 @@ def mentions(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     kind = F.when(named, F.concat_ws(" ", role, _script(F.col("raw")))).otherwise(F.col("type"))
     digits = F.regexp_replace("raw", "[^0-9]", "")
     norm = F.when(F.col("type").isin("card", "ssn", "phone"), digits).otherwise(F.lower("raw"))
+    real = digits.rlike("^[2-6]") & (F.pmod(_luhn(digits), F.lit(10)) == 0)
+    kind = F.when((F.col("type") == "card") & ~real, F.lit(NONE)).otherwise(kind)
     return found.select("doc_id", "key", "place", "part", "prefix", "raw", kind.alias("kind"), norm.alias("norm"))
 
 
@@ -195,8 +200,10 @@ def _dress(raw: Column, kind: Column, surrogate: Column) -> Column:
 def replace(df: DataFrame, key: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text, n_entities, kinds``: every whole text with its entities replaced."""
     found = written(mentions(df, id_col=id_col, text_col=text_col), "mentions")
-    named = found.join(assign(found, key), ["kind", "norm"])
-    named = named.withColumn("new", _dress(F.col("raw"), F.col("kind"), F.col("surrogate")))
+    real = F.col("kind") != NONE
+    named = found.filter(real).join(assign(found.filter(real), key), ["kind", "norm"])
+    named = named.withColumn("new", _dress(F.col("raw"), F.col("kind"), F.col("surrogate"))).drop("surrogate")
+    named = named.unionByName(found.filter(~real).withColumn("new", F.col("raw")))
     parts = F.sort_array(F.collect_set(F.struct("place", "part", "prefix", "new", "kind")))
     by_row = named.groupBy("key").agg(parts.alias("parts"))
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -209,5 +216,5 @@ def replace(df: DataFrame, key: str, *, id_col: str = "doc_id", text_col: str =
         F.transform(F.filter("parts", lambda p: p.place == i), lambda p: F.concat(F.when(p.part == 0, p.prefix).otherwise(F.lit(" ")), p.new)), ""
     )
     text = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, entity(i))), "")
-    firsts = F.filter("parts", lambda p: p.part == 0)
+    firsts = F.filter("parts", lambda p: (p.part == 0) & (p.kind != NONE))
     return clean.unionByName(dirty.select("doc_id", text.alias("text"), F.size(firsts).alias("n_entities"), F.transform(firsts, lambda p: p.kind).alias("kinds")))
