@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import islice
 
@@ -38,8 +40,8 @@ BUCKETS = 1 << 18
 SENTENCE_WORDS = 32
 MIN_DOCS = 3
 SIGNIFICANT = 2.5
-MAX_POSITIVE = 1200
-MAX_NEGATIVE = 2400
+MAX_POSITIVE = 1000
+MAX_NEGATIVE = 2000
 MEMO_WORDS = 1 << 19
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\S+")
@@ -111,7 +113,7 @@ class Scorer:
         return float(-np.expm1(-np.logaddexp(0, z).sum())), spans, 1 / (1 + np.exp(-z))
 
 
-def learn(bags: list[list[list[str]]], labels: list[int], *, steps: int = 100, rate: float = 0.05, decay: float = 1e-3) -> Model:
+def learn(bags: Iterable[list[list[str]]], labels: list[int], *, steps: int = 100, rate: float = 0.05, decay: float = 1e-3) -> Model:
     """Fit by Adam on the mean noisy-or log-likelihood of whole documents.
 
     Features begin with the evidence that documents give for them: the log ratio of
@@ -121,29 +123,32 @@ def learn(bags: list[list[list[str]]], labels: list[int], *, steps: int = 100, r
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         return Model(-np.inf, weights)
+    # Words, sentences and features as flat arrays of 32-bit numbers.
     vocabulary: dict[str, int] = {}
-    words, starts, owner = [], [], []
+    word_list, start_list, owner_list = array("i"), array("i"), array("i")
     for d, bag in enumerate(bags):
         for s in bag:
-            starts.append(len(words))
-            owner.append(d)
-            words += [vocabulary.setdefault(w, len(vocabulary)) for w in s]
-    words, starts, owner = np.array(words, np.int64), np.array(starts, np.int64), np.array(owner, np.int64)
-    sentence_of = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
-    feats = [word_features(w) for w in vocabulary]
-    sizes = np.array([len(f) for f in feats])
-    flat = np.array([x for f in feats for x in f], np.int64)
-    word_of = np.repeat(np.arange(len(feats)), sizes)
-    share = 1 / np.sqrt(np.maximum(sizes, 1))[word_of]
+            start_list.append(len(word_list))
+            owner_list.append(d)
+            word_list.extend(vocabulary.setdefault(w, len(vocabulary)) for w in s)
+    feature_list, size_list = array("i"), array("i")
+    for w in vocabulary:
+        f = word_features(w)
+        feature_list.extend(f)
+        size_list.append(len(f))
+    n_words = len(vocabulary)
+    del vocabulary
+    words, starts, owner, flat, sizes = (np.array(x, np.int32) for x in (word_list, start_list, owner_list, feature_list, size_list))
+    del word_list, feature_list
+    sentence_of = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(starts, append=len(words)))
 
     # Documents of each feature, toxic and other.
     first = np.cumsum(sizes) - sizes
-    pairs = np.unique(owner[sentence_of] * len(feats) + words)
-    doc, word = pairs // len(feats), pairs % len(feats)
+    doc_of = owner[sentence_of]
+    bounds = np.searchsorted(doc_of, np.arange(len(y) + 1))
     seen = np.zeros((2, BUCKETS))
     for d in range(len(y)):
-        lo, hi = np.searchsorted(doc, [d, d + 1])
-        at = word[lo:hi]
+        at = np.unique(words[bounds[d] : bounds[d + 1]])
         n = sizes[at]
         f = flat[np.repeat(first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
         seen[int(y[d]), np.unique(f)] += 1
@@ -152,19 +157,23 @@ def learn(bags: list[list[list[str]]], labels: list[int], *, steps: int = 100, r
     z = (p - q) / np.sqrt((p * (1 - p) + q * (1 - q) * toxic / other + 0.25 / toxic) / toxic)
     start = np.log(p / q)
     used = np.flatnonzero((z > SIGNIFICANT) & (seen[1] >= MIN_DOCS))
-    keep = np.isin(flat, used)
-    flat, word_of, share = np.searchsorted(used, flat[keep]), word_of[keep], share[keep]
+    place = np.full(BUCKETS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    keep = place[flat] >= 0
+    word_of = np.repeat(np.arange(n_words, dtype=np.int32), sizes)[keep]
+    flat = place[flat[keep]]
+    share = 1 / np.sqrt(sizes[word_of])
     theta = np.append(start[used], -7.0)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     weight = np.full(len(y), 1 / len(y))
     for t in range(1, steps + 1):
-        f = np.bincount(word_of, theta[flat] * share, len(feats))
+        f = np.bincount(word_of, theta[flat] * share, n_words)
         z = theta[-1] + np.bincount(sentence_of, f[words], len(starts))
         quiet = np.bincount(owner, np.logaddexp(0, z), len(y))
         ratio = 1 / np.maximum(np.expm1(np.minimum(quiet, 500)), 1e-12)  # (1 - P) / P
         p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
         g = p * (weight * np.where(y == 1, -ratio, 1.0))[owner]
-        per_word = np.bincount(words, g[sentence_of], len(feats))
+        per_word = np.bincount(words, g[sentence_of], n_words)
         grad = np.append(np.bincount(flat, per_word[word_of] * share, len(used)), g.sum())
         grad[:-1] += decay * theta[:-1] / len(used)
         m = 0.9 * m + 0.1 * grad
@@ -199,11 +208,8 @@ def fit(
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
     # The sample has at most max_positive + max_negative rows.
     got = texts.join(F.broadcast(sample), "doc_id").select("text", "y")
-    bags, y = [], []
-    for r in got.collect():
-        bags.append([w for _, _, w in sentences(r["text"].lower())])
-        y.append(r["y"])
-    return learn(bags, y)
+    rows = got.collect()
+    return learn(([w for _, _, w in sentences(r["text"].lower())] for r in rows), [r["y"] for r in rows])
 
 
 def score(df: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
