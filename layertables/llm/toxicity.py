@@ -40,6 +40,7 @@ BUCKETS = 1 << 18
 SENTENCE_WORDS = 32
 MIN_DOCS = 3
 SIGNIFICANT = 2.5
+POSITIVE_WEIGHT = 2.0
 MAX_POSITIVE = 1000
 MAX_NEGATIVE = 2000
 MEMO_WORDS = 1 << 19
@@ -165,7 +166,7 @@ def learn(bags: Iterable[list[list[str]]], labels: list[int], *, steps: int = 10
     share = 1 / np.sqrt(sizes[word_of])
     theta = np.append(start[used], -7.0)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    weight = np.full(len(y), 1 / len(y))
+    weight = np.where(y == 1, POSITIVE_WEIGHT, 1.0) / len(y)
     for t in range(1, steps + 1):
         f = np.bincount(word_of, theta[flat] * share, n_words)
         z = theta[-1] + np.bincount(sentence_of, f[words], len(starts))
