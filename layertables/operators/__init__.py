@@ -1,2 +1,2 @@
 """DataFrame → DataFrame operators. None of them runs an action, except the
-bounded size check ``fits_broadcast`` used before broadcasting batch keys."""
+sampled search for hot keys of inputs above a gigabyte."""

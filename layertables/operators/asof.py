@@ -1,15 +1,19 @@
 """As-of (temporal) join: attach to every fact the dimension version valid at
 the fact's time, ``dim.effective_from <= fact.ts < dim.effective_to``, as a
 LEFT join: facts without a version (or with a NULL key or time) keep NULLs.
-The history merge guarantees disjoint intervals per key, so each fact
-matches at most one version and the fact row count is preserved.
 
-Two plans, chosen by ``method``:
+One meaning, whatever the plan: a version is in force until its own end or the
+start of its key's next version, whichever comes first (of versions with one
+start, the one that ends last counts; further ties go to the greatest values). So
+each fact matches at most one version and the fact row count is preserved, also
+when intervals overlap; for disjoint ones, as the history merge makes them, this is
+the plain definition.
 
-* ``"join"``: equi join on the key with the range as a residual condition.
-  With a broadcast dimension no fact row is shuffled. A shuffled sort-merge
-  join compares every fact of a key with every version of that key, so it is
-  only used when the dimension passed the size check below.
+Two plans, chosen by ``method``, with the same rows:
+
+* ``"join"``: the dimension's ends are cut at the next start by one keyed window, then
+  an equi join on the key with the range as a residual condition. With a
+  broadcast dimension no fact row is shuffled.
 * ``"window"``: facts and versions are unioned, hash-partitioned once on the
   key and sorted by time; each fact takes the last version that started at
   or before it (``last(..., ignorenulls)`` over a running frame) and keeps
@@ -17,10 +21,8 @@ Two plans, chosen by ``method``:
   whatever the number of versions per key. Hot keys are split into time
   buckets (see :mod:`layertables.operators.skew`); each bucket receives the
   last version of the buckets before it, computed from the dimension alone.
-* ``"auto"`` (default): one small job reads at most ``broadcast_rows + 1``
-  dimension keys; if the dimension has at most ``broadcast_rows`` rows and at
-  most ``max_versions_per_key`` versions per key, it is broadcast; otherwise
-  the window plan runs.
+* ``"auto"`` (default): ``"join"`` when Catalyst estimates the needed dimension
+  columns below Spark's broadcast threshold, else ``"window"``. No job runs.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layertables.functions.predicates import any_null
-from layertables.operators.history import VALID_FROM, VALID_TO
-from layertables.operators.skew import BOUNDS, BUCKET, SkewSpec, hot_key_bounds, tag_buckets
+from layertables.operators.history import VALID_FROM, VALID_TO, _orderable
+from layertables.operators.skew import BOUNDS, BUCKET, SkewSpec, broadcast_threshold, estimated_bytes, hot_key_bounds, tag_buckets
 
 _P = "__lt_d_"
 _T = "__lt_t"
@@ -43,9 +45,6 @@ _PAY = "__lt_pay"
 _GOT = "__lt_got"
 _LASTV = "__lt_lastv"
 METHODS = ("auto", "join", "window")
-# Default bounds for broadcasting a dimension.
-BROADCAST_ROWS = 2_000_000
-MAX_VERSIONS_PER_KEY = 64
 
 
 def _as_list(x) -> list[str]:
@@ -63,8 +62,6 @@ def asof_join(
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
     method: str = "auto",
-    broadcast_rows: int = BROADCAST_ROWS,
-    max_versions_per_key: int = MAX_VERSIONS_PER_KEY,
     skew: SkewSpec | None = SkewSpec(),
 ) -> DataFrame:
     """LEFT as-of join. Returns all fact columns plus the requested dimension
@@ -87,34 +84,32 @@ def asof_join(
     tt = dim.schema[valid_from].dataType
     ft = fact.schema[fact_time].dataType
     t = F.col(fact_time) if ft == tt else F.col(fact_time).cast(tt)
-    broadcast_ok = False
+    needed = list(dict.fromkeys([*dk, valid_from, valid_to, *wanted]))
     if method == "auto":
-        broadcast_ok = dim_is_small(dim, dk, broadcast_rows, max_versions_per_key)
-        method = "join" if broadcast_ok else "window"
+        small = estimated_bytes(dim.select(*needed)) <= broadcast_threshold(fact.sparkSession)
+        method = "join" if small else "window"
     if method == "window":
         return _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew)
     # Unique names on the dimension side: safe even when both sides share lineage.
-    needed = list(dict.fromkeys([*dk, valid_from, valid_to, *wanted]))
-    d = dim.select(*[F.col(c).alias(_P + c) for c in needed])
+    d = _in_force(dim.select(*[F.col(c).alias(_P + c) for c in needed]), [_P + k for k in dk], _P + valid_from, _P + valid_to)
     cond = reduce(lambda a, b: a & b, [F.col(f) == F.col(_P + k) for f, k in zip(fk, dk)])
     cond = cond & (t >= F.col(_P + valid_from)) & (t < F.col(_P + valid_to))
-    joined = fact.join(F.broadcast(d) if broadcast_ok else d, cond, "left")
-    return joined.select(*fact.columns, *[F.col(_P + c).alias(o) for c, o in wanted.items()])
-
-
-def dim_is_small(dim: DataFrame, keys: Sequence[str], max_rows: int, max_per_key: int) -> bool:
-    """One job over at most ``max_rows + 1`` dimension keys: True when the
-    dimension has at most ``max_rows`` rows and ``max_per_key`` rows per key."""
-    r = (
-        dim.select(*keys)
-        .limit(max_rows + 1)
-        .groupBy(*keys)
-        .count()
-        .agg(F.sum("count").alias("n"), F.max("count").alias("m"))
-        .first()
-    )
-    n, m = (r["n"] or 0), (r["m"] or 0)
-    return n <= max_rows and m <= max_per_key
+    return fact.join(d, cond, "left").select(*fact.columns, *[F.col(_P + c).alias(o) for c, o in wanted.items()])
+
+
+def _rank(dim: DataFrame, first: list[str]) -> list[str]:
+    """Columns that decide between versions of one start, the least first."""
+    return first + [c for c in dim.columns if c not in first and _orderable(dim.schema[c].dataType)]
+
+
+def _in_force(d: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """One version per key and start, each ending at the next start at the latest."""
+    d = d.filter(~any_null([*keys, start]))
+    order = _rank(d, [end])
+    w = Window.partitionBy(*keys).orderBy(F.col(start), *[F.col(c) for c in order if c not in keys and c != start])
+    nxt = F.lead(start).over(w)
+    d = d.withColumn(_T, nxt).filter(F.col(_T).isNull() | (F.col(_T) > F.col(start)))
+    return d.withColumn(end, F.least(F.col(end), F.coalesce(F.col(_T), F.col(end)))).drop(_T)
 
 
 def _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew) -> DataFrame:
@@ -143,7 +138,7 @@ def _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew) -> Da
         part = [*keys, BUCKET]
         # Last version of every hot (key, bucket), from the dimension rows only.
         last_in = hot.filter(F.col(_KIND) == 0).groupBy(*part).agg(
-            F.max_by(_PAY, F.struct(F.col(_T), F.col(_PAY).getField("t"))).alias(_LASTV)
+            F.max_by(_PAY, F.struct(F.col(_T), *_payload_order(hot))).alias(_LASTV)
         )
         every = bounds.select(*keys, F.explode(F.sequence(F.lit(0), F.size(BOUNDS))).alias(BUCKET))
         carry = (
@@ -166,11 +161,17 @@ def _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew) -> Da
     return out_m.unionByName(out_u)
 
 
+def _payload_order(u: DataFrame) -> list:
+    """The end first, then the other payload columns that have an order."""
+    fields = [f for f in u.schema[_PAY].dataType.fields if f.name != "f" and _orderable(f.dataType)]
+    return [F.col(_PAY).getField(f.name) for f in fields]
+
+
 def _running_last(u: DataFrame, part: Sequence[str]) -> DataFrame:
     """For every fact: the last version at or before its time in ``part``
     (versions sort before facts of the same time; of two versions with one
     start the longer one is last, so a zero-length correction never wins)."""
-    w = Window.partitionBy(*part).orderBy(F.col(_T), F.col(_KIND), F.col(_PAY).getField("t"))
+    w = Window.partitionBy(*part).orderBy(F.col(_T), F.col(_KIND), *_payload_order(u))
     got = F.last(_PAY, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return u.withColumn(_GOT, got).filter(F.col(_KIND) == 1)
 

@@ -64,12 +64,3 @@ def clean_with_quarantine(df: DataFrame, rules: CleaningRules | Mapping) -> Spli
 def filter_equals(df: DataFrame, column: str, value) -> DataFrame:
     """Rows whose ``column`` equals ``value`` exactly (case-sensitive)."""
     return df.filter(F.col(column) == F.lit(value))
-
-
-def filter_active_customers(df: DataFrame, column: str = "status", value: str = "active") -> DataFrame:
-    return filter_equals(df, column, value)
-
-
-def uppercase_customer_names(df: DataFrame, column: str = "name") -> DataFrame:
-    return df.withColumn(column, F.upper(F.col(column)))
-

@@ -6,16 +6,19 @@ A history row is a business row plus ``effective_from``, ``effective_to``
 The merge is one keyed pass instead of a chain of joins: history and batch
 are unioned, hash-partitioned once on the natural key, and every later step
 is a window *within* that key, so Spark reuses the single exchange for all
-of them (no join, no second shuffle). A batch row opens a version only when
+of them (no join of the history). A batch row opens a version only when
 its tracked values differ null-safely from the row just before it in time,
 which covers new, changed, unchanged, late, repeated and replayed rows with
 one rule:
 
 * batch rows are first reduced to one per (key, effective_from) by a
-  declared tie-break;
+  declared tie-break: an aggregate, combined before its exchange, so rows
+  repeated for one key and date never meet in one task;
 * a surviving batch row whose (key, effective_from, tracked values) is
   already stored is a replay and is dropped (after the tie-break, so a
   rerun picks the same row and changes nothing);
+* a batch row that starts inside a stored interval ends with it at the
+  latest, so a late row never reopens a closed key;
 * order each key by (effective_from, source, effective_to, tracked) and keep
   a batch row when it is the first of its key, differs from its
   predecessor, or follows a gap;
@@ -23,11 +26,14 @@ one rule:
   version always ends exactly where its successor starts and existing gaps
   stay.
 
+Batch rows with a NULL key are not loadable and left out (``apply_scd2``
+quarantines them); stored ones are passed on.
+
 For a large history and a small batch (the daily case: the history's size
-estimate is at least ``split_ratio`` times the batch's) the history is
-first split by a broadcast semi/anti join on the batch keys, whose count is
-checked before it is broadcast; only history rows of touched keys are
-shuffled.
+estimate is at least ``split_ratio`` times the batch's, and the batch keys are
+below Spark's broadcast threshold) the history is first split by a semi/anti
+join on the batch keys; only history rows of touched keys are shuffled. Rows
+are the same either way.
 """
 
 from __future__ import annotations
@@ -43,7 +49,7 @@ from pyspark.sql import types as T
 from layertables.functions.predicates import any_null
 from layertables.functions.time import open_end, parse_time, time_type_of
 from layertables.operators.quarantine import Split, separate_quarantine_records
-from layertables.operators.skew import BUCKET, SkewSpec, estimated_bytes, hot_key_bounds, tag_buckets
+from layertables.operators.skew import BUCKET, SkewSpec, broadcast_threshold, estimated_bytes, hot_key_bounds, tag_buckets
 
 VALID_FROM = "effective_from"
 VALID_TO = "effective_to"
@@ -53,8 +59,6 @@ VALIDITY = (VALID_FROM, VALID_TO, IS_CURRENT)
 MISSING_KEY_POLICIES = ("keep", "close", "drop")
 STRATEGIES = ("auto", "window", "split")
 
-# Default bound on batch rows for the broadcast split of the history.
-BROADCAST_KEY_LIMIT = 2_000_000
 # "auto" splits only when the history is estimated this many times the batch.
 SPLIT_RATIO = 4.0
 
@@ -152,7 +156,13 @@ def _prepare(incoming: DataFrame, existing: DataFrame | None) -> tuple[DataFrame
         raise ValueError(f"incoming needs a '{VALID_FROM}' column; call resolve_effective_from first")
     tt = incoming.schema[VALID_FROM].dataType
     if existing is not None and VALID_FROM in existing.columns:
-        tt = existing.schema[VALID_FROM].dataType
+        stored = existing.schema[VALID_FROM].dataType
+        if isinstance(stored, T.DateType) and not isinstance(tt, (T.DateType, T.NullType)):
+            raise ValueError(
+                f"the history keeps {VALID_FROM} as DATE; a batch of {tt.simpleString()} would lose its times: "
+                "widen the history or cast the batch"
+            )
+        tt = stored
     to = F.coalesce(F.col(VALID_TO).cast(tt), open_end(tt)) if VALID_TO in incoming.columns else open_end(tt)
     inc = incoming.withColumns({VALID_FROM: F.col(VALID_FROM).cast(tt), VALID_TO: to, IS_CURRENT: F.lit(True)})
     if existing is not None and not existing.columns:
@@ -176,16 +186,44 @@ _HASB = "__lt_hasb"
 _KEEP1 = "__lt_keep1"
 _NEXT = "__lt_next"
 _PRES_K = "__lt_pres_k"
+_IN_TO = "__lt_in_to"
+_PICK = "__lt_pick"
+_ORDER_TO = "__lt_order_to"
+_CARRIED = "__lt_carried"
+
+
+def _one_per_date(inc: DataFrame, keys: list[str], tracked: list[str], tie_break: Sequence[Column] | None) -> DataFrame:
+    """The tie-break: one batch row per (key, effective_from)."""
+    at = [*keys, VALID_FROM]
+    rest = [c for c in inc.columns if c not in at]
+    if tie_break is not None:
+        w = Window.partitionBy(*at).orderBy(*tie_break)
+        return inc.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+    # The default order is the order of structs: ascending, NULLs first.
+    order = [VALID_TO, *tracked, *[c for c in rest if c not in tracked and c not in VALIDITY]]
+    order = [c for c in order if c in rest and _orderable(inc.schema[c].dataType)]
+    pick = F.min_by(F.struct(*rest), F.struct(*order))
+    return inc.groupBy(*at).agg(pick.alias(_PICK)).select(*[c if c in at else F.col(f"{_PICK}.{c}").alias(c) for c in inc.columns])
+
+
+def _carry_ends(u: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``_IN_TO``: the end of the last stored version in the buckets before."""
+    part = [*keys, BUCKET]
+    ends = u.filter(F.col(_SRC) == 0).groupBy(*part).agg(F.max_by(VALID_TO, F.struct(VALID_FROM, VALID_TO)).alias(_IN_TO))
+    every = u.select(*part).distinct().join(ends, part, "left")
+    before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    return u.join(every.withColumn(_IN_TO, F.last(_IN_TO, ignorenulls=True).over(before)), part, "left")
 
 
 def _local_pass(
     u: DataFrame, part: list[str], tracked: list[str], tie: list[Column], missing_keys: str, single: bool = False
 ) -> DataFrame:
     """The merge inside one partition group ``part`` (the key, or key and
-    time bucket): tie-break, replay drop, collapse, next start. Every window
+    time bucket): replay drop, ends of late rows, collapse, next start. Every window
     partitions by ``part`` plus more, so the one exchange on ``part`` serves
     all of them. Adds ``_RNW`` (position), ``_LAST`` (last row before the
     collapse), ``_LEAD`` (next kept start) and ``_HASB`` (group has batch rows).
+    ``_IN_TO``, if there, is the end of the last stored version before the group.
     ``single``: batch rows only (first load), so no source order and no replays."""
     src = F.col(_SRC)
     vals = F.struct(*[F.col(t) for t in tracked])
@@ -194,26 +232,29 @@ def _local_pass(
     # are served by one sort after the one exchange. (With one source the
     # constant src is left out: Catalyst would fold it out of some orders only.)
     srcs = [] if single else [_SRC]
-    order = [F.col(VALID_FROM).asc(), *[F.col(c).asc() for c in srcs], F.col(VALID_TO).asc(), *tie]
-    w_dup = Window.partitionBy(*part, VALID_FROM, *srcs).orderBy(*order[1 + len(srcs):])
+    u = u.withColumn(_ORDER_TO, F.col(VALID_TO))
+    order = [F.col(VALID_FROM).asc(), *[F.col(c).asc() for c in srcs], F.col(_ORDER_TO).asc(), *tie]
     w_day = Window.partitionBy(*part, VALID_FROM).orderBy(*order[1:])
     w = Window.partitionBy(*part).orderBy(*order)
 
-    # Tie-break: one batch row per (key, effective_from).
-    u = u.withColumn(_RN, F.row_number().over(w_dup))
-    keep_row = (src == 0) | (F.col(_RN) == 1)
     if missing_keys != "keep":
         u = u.withColumn(_HASB, F.max(F.when(src >= 1, 1).otherwise(0)).over(Window.partitionBy(*part)))
-        keep_row = keep_row & (src < 2)
-    u = u.filter(keep_row)
+        u = u.filter(src < 2)
 
-    # Replay: the batch's pick for (key, effective_from) is already stored
-    # (stored rows of that day sort before it). After the tie-break, so a
-    # rerun of the same batch picks the same row and changes nothing.
     if not single:
-        stored = F.collect_list(F.when(src == 0, vals)).over(w_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        u = u.withColumn(_REPLAY, (src == 1) & F.exists(stored, lambda x: x.eqNullSafe(vals)))
-        u = u.filter(~F.col(_REPLAY))
+        # Replay: the batch's row for (key, effective_from) is already stored.
+        day = w_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        u = u.withColumn(_REPLAY, F.first(F.when(src == 1, vals), ignorenulls=True).over(day))
+        stored = F.max(F.when((src == 0) & vals.eqNullSafe(F.col(_REPLAY)), 1)).over(day)
+        u = u.withColumn(_REPLAY, (src == 1) & (F.coalesce(stored, F.lit(0)) == 1)).filter(~F.col(_REPLAY))
+
+        # A batch row inside a stored interval ends with it at the latest.
+        inside = F.last(F.when(src == 0, F.col(VALID_TO)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        if _IN_TO in u.columns:
+            inside = F.coalesce(inside, F.col(_IN_TO))
+        u = u.withColumn(_PREV_TO, inside)
+        late = (src == 1) & (F.col(_PREV_TO) > F.col(VALID_FROM))
+        u = u.withColumn(VALID_TO, F.when(late, F.least(F.col(VALID_TO), F.col(_PREV_TO))).otherwise(F.col(VALID_TO)))
 
     # Collapse: a batch row survives only if it starts a new run of values.
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -257,11 +298,16 @@ def _hot_pass(
     need outside information; a one-row-per-bucket summary, windowed per key
     and broadcast back, provides it."""
     part = [*keys, BUCKET]
+    present = None
+    if missing_keys != "keep":
+        # Presence is a matter of the key, not of the bucket (a listed key may have no row left).
+        present = u.filter(F.col(_SRC) >= 1).groupBy(*keys).agg(F.lit(1).alias(_PRES_K))
+    if not single:
+        u = _carry_ends(u, keys)
     loc = _local_pass(u.repartition(*part), part, tracked, tie, missing_keys, single)
     vals = F.struct(*[F.col(t) for t in tracked])
-    has_batch = [F.col(_HASB)] if missing_keys != "keep" else []
     first_rows = loc.filter(F.col(_RNW) == 1).select(
-        *part, VALID_FROM, _SRC, vals.alias("__lt_v1"), _LAST, F.col(_LEAD).alias("__lt_f2"), *has_batch
+        *part, VALID_FROM, _SRC, vals.alias("__lt_v1"), _LAST, F.col(_LEAD).alias("__lt_f2")
     )
     wk = Window.partitionBy(*keys).orderBy(BUCKET)
     prev = F.lag(_LAST).over(wk)
@@ -277,11 +323,11 @@ def _hot_pass(
         F.first(F.when(F.col(_KEEP1), F.col(VALID_FROM)).otherwise(F.col("__lt_f2")), ignorenulls=True)
         .over(wk.rowsBetween(1, Window.unboundedFollowing))
         .alias(_NEXT),
-        *([F.max(_HASB).over(Window.partitionBy(*keys)).alias(_PRES_K)] if has_batch else []),
     )
-    # One row per hot (key, bucket): at most max_hot_keys x buckets rows.
-    out = loc.join(F.broadcast(summary), part, "left").filter((F.col(_RNW) != 1) | F.col(_KEEP1))
-    return _finish(out, F.col(_NEXT), F.col(_PRES_K) if has_batch else None, end, missing_keys, close_at)
+    out = loc.join(summary, part, "left").filter((F.col(_RNW) != 1) | F.col(_KEEP1))
+    if present is not None:
+        out = out.join(present, keys, "left").withColumn(_PRES_K, F.coalesce(_PRES_K, F.lit(0)))
+    return _finish(out, F.col(_NEXT), F.col(_PRES_K) if present is not None else None, end, missing_keys, close_at)
 
 
 def _window_merge(
@@ -332,11 +378,6 @@ def _untouched(hist: DataFrame, tt: T.DataType, missing_keys: str, close_at: Col
     return hist
 
 
-def fits_broadcast(df: DataFrame, limit_rows: int) -> bool:
-    """True when ``df`` has at most ``limit_rows`` rows (stops reading early)."""
-    return df.limit(limit_rows + 1).count() <= limit_rows
-
-
 def merge_scd2(
     incoming_df: DataFrame,
     existing_df: DataFrame | None,
@@ -348,7 +389,6 @@ def merge_scd2(
     present_keys: DataFrame | None = None,
     tie_break: Sequence[Column] | None = None,
     strategy: str = "auto",
-    broadcast_key_limit: int = BROADCAST_KEY_LIMIT,
     split_ratio: float = SPLIT_RATIO,
     skew: SkewSpec | None = SkewSpec(),
 ) -> DataFrame:
@@ -390,23 +430,27 @@ def merge_scd2(
         if hist is not None and c not in hist.columns:
             hist = hist.withColumn(c, F.lit(None).cast(inc.schema[c].dataType))
 
+    # Only loadable rows; one per key and date.
+    inc = _one_per_date(inc.filter(~any_null(keys)), keys, tracked, tie_break)
+    if present_keys is not None:
+        present_keys = present_keys.select(*keys).filter(~any_null(keys))
+    batch_keys = inc.select(*keys)
+    if present_keys is not None:
+        batch_keys = batch_keys.unionByName(present_keys)
+
     use_split = hist is not None and strategy != "window"
     if use_split and strategy == "auto":
         # Splitting pays when the batch touches a small part of the history
-        # (the daily case); Catalyst's size estimates decide that for free.
-        use_split = estimated_bytes(hist) >= split_ratio * estimated_bytes(inc)
-    if use_split and strategy == "auto":
-        batch = inc.select(*keys)
-        if present_keys is not None:
-            batch = batch.unionByName(present_keys.select(*keys))
-        use_split = fits_broadcast(batch, broadcast_key_limit)
+        # (the daily case); Catalyst's size estimates decide that without a job,
+        # and both ways give the same rows.
+        use_split = estimated_bytes(hist) >= split_ratio * estimated_bytes(incoming_df) and estimated_bytes(
+            batch_keys
+        ) <= broadcast_threshold(inc.sparkSession)
     if not use_split:
         return _window_merge(hist, inc, keys, tracked, tie, out_cols, tt, missing_keys, close_col, present_keys, skew)
 
-    batch_keys = inc.select(*keys)
-    if present_keys is not None:
-        batch_keys = batch_keys.unionByName(present_keys.select(*keys))
-    batch_keys = F.broadcast(batch_keys.distinct())
+    # Spark broadcasts the keys where they are below its threshold.
+    batch_keys = batch_keys.distinct()
     touched = hist.join(batch_keys, keys, "left_semi")
     rest = _untouched(hist.join(batch_keys, keys, "left_anti"), tt, missing_keys, close_col)
     merged = _window_merge(touched, inc, keys, tracked, tie, out_cols, tt, "keep", None, None, skew)
@@ -457,8 +501,9 @@ def classify_changes(
     ``changed`` (opens a version), ``unchanged`` (equal to the version it falls
     into, or a replay) or ``duplicate`` (lost the per-(key, date) tie-break).
 
-    Same single keyed exchange and sort as the merge; nothing is joined
-    except, for hot keys, the small per-bucket summary.
+    One keyed exchange and one pass over history and batch; nothing is joined
+    except, for hot keys, the per-bucket summary. Batch rows with a NULL key are
+    classified among themselves.
     """
     keys = _as_list(scd2_key)
     tracked = list(track_columns)
@@ -474,7 +519,7 @@ def classify_changes(
         return _classify_pass(u.repartition(*keys), keys, keys, tracked, tie, in_cols, None)
     tagged = tag_buckets(u, bounds, keys, VALID_FROM)
     cold = tagged.filter(F.col(BUCKET).isNull()).drop(BUCKET)
-    hot = tagged.filter(F.col(BUCKET).isNotNull())
+    hot = _carry_ends(tagged.filter(F.col(BUCKET).isNotNull()), keys).withColumnRenamed(_IN_TO, _CARRIED)
     part = [*keys, BUCKET]
     return _classify_pass(cold.repartition(*keys), keys, keys, tracked, tie, in_cols, None).unionByName(
         _classify_pass(hot.repartition(*part), part, keys, tracked, tie, in_cols, part)
@@ -496,41 +541,55 @@ def _classify_pass(
     w_dup = Window.partitionBy(*part, VALID_FROM, _SRC).orderBy(*order[2:])
     w_day = Window.partitionBy(*part, VALID_FROM).orderBy(*order[1:])
     w = Window.partitionBy(*part).orderBy(*order)
-    u = u.withColumn(_RN, F.row_number().over(w_dup))
-    u = u.withColumn(_HASB, F.max(F.when(src == 0, 1).otherwise(0)).over(Window.partitionBy(*part)))
-    dups = u.filter((src == 1) & (F.col(_RN) > 1)).select(*in_cols, F.lit(DUPLICATE).alias(CHANGE_TYPE))
-    u = u.filter((src == 0) | (F.col(_RN) == 1))
-    stored = F.collect_list(F.when(src == 0, vals)).over(w_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = u.withColumn(_REPLAY, (src == 1) & F.exists(stored, lambda x: x.eqNullSafe(vals)))
-    replays = u.filter(F.col(_REPLAY)).select(*in_cols, F.lit(UNCHANGED).alias(CHANGE_TYPE))
+    day = w_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    alive = u.filter(~F.col(_REPLAY)).withColumns(
+    running = w.rowsBetween(Window.unboundedPreceding, -1)
+
+    # Label in place; nothing is filtered before the end, so one pass serves all classes.
+    u = u.withColumns(
         {
-            _PREV: F.lag(F.lit(1)).over(w),
-            _PREV_T: F.lag(vals).over(w),
-            _PREV_TO: F.lag(VALID_TO).over(w),
-            _RNW: F.row_number().over(w),
-            _LAST: F.last(F.struct(vals.alias("v"), F.col(VALID_TO).alias("t"))).over(whole),
+            _RN: F.row_number().over(w_dup),
+            _HASB: F.max(F.when(src == 0, 1).otherwise(0)).over(Window.partitionBy(*part)),
+            _REPLAY: F.first(F.when(src == 1, vals), ignorenulls=True).over(day),
+            _IN_TO: F.last(F.when(src == 0, F.col(VALID_TO)), ignorenulls=True).over(running),
         }
     )
-    opens = F.col(_PREV).isNull() | ~vals.eqNullSafe(F.col(_PREV_T)) | (F.col(_PREV_TO) < F.col(VALID_FROM))
+    if _CARRIED in u.columns:
+        u = u.withColumn(_IN_TO, F.coalesce(_IN_TO, _CARRIED))
+    first = (src == 1) & (F.col(_RN) == 1)
+    stored = F.max(F.when((src == 0) & vals.eqNullSafe(F.col(_REPLAY)), 1)).over(day)
+    u = u.withColumn(_REPLAY, first & (F.coalesce(stored, F.lit(0)) == 1))
+    alive = (src == 0) | (first & ~F.col(_REPLAY))
+    # A version inside a stored interval ends with it (see the merge).
+    to = F.when((src == 1) & (F.col(_IN_TO) > F.col(VALID_FROM)), F.least(F.col(VALID_TO), F.col(_IN_TO))).otherwise(F.col(VALID_TO))
+    row = F.when(alive, F.struct(vals.alias("v"), to.alias("t")))
+    u = u.withColumn(_PREV, F.last(row, ignorenulls=True).over(running))
+    opens = F.col(_PREV).isNull() | ~vals.eqNullSafe(F.col(_PREV)["v"]) | (F.col(_PREV)["t"] < F.col(VALID_FROM))
     present = F.col(_HASB) == 1
     if hot_part is not None:
-        # First row of a bucket: its predecessor is the last row of the
-        # previous non-empty bucket; presence is per key, not per bucket.
-        firsts = alive.filter(F.col(_RNW) == 1).select(*hot_part, VALID_FROM, _SRC, vals.alias("__lt_v1"), _LAST, _HASB)
+        # The first live row of a bucket: its predecessor is the last live row of the
+        # previous non-empty bucket; presence is per key, not per bucket. Ends of
+        # stored versions reach in from there too.
+        u = u.withColumn(_LAST, F.last(row, ignorenulls=True).over(whole))
+        tail = u.groupBy(*hot_part).agg(F.first(_LAST).alias(_LAST), F.max(_HASB).alias(_HASB))
         wk = Window.partitionBy(*keys).orderBy(BUCKET)
-        prev = F.lag(_LAST).over(wk)
-        keep1 = prev.isNull() | ~F.col("__lt_v1").eqNullSafe(prev.getField("v")) | (prev.getField("t") < F.col(VALID_FROM))
-        summary = firsts.select(
-            *hot_part, keep1.alias(_KEEP1), F.max(_HASB).over(Window.partitionBy(*keys)).alias(_PRES_K)
+        tail = tail.select(
+            *hot_part,
+            F.last(_LAST, ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias(_NEXT),
+            F.max(_HASB).over(Window.partitionBy(*keys)).alias(_PRES_K),
         )
-        alive = alive.join(F.broadcast(summary), hot_part, "left")
-        opens = F.when(F.col(_RNW) == 1, F.col(_KEEP1)).otherwise(opens)
+        u = u.join(tail, hot_part, "left")
+        prev = F.coalesce(F.col(_PREV), F.col(_NEXT))
+        opens = prev.isNull() | ~vals.eqNullSafe(prev["v"]) | (prev["t"] < F.col(VALID_FROM))
         present = F.col(_PRES_K) == 1
-    kind = F.when(~present, F.lit(NEW)).when(opens, F.lit(CHANGED)).otherwise(F.lit(UNCHANGED))
-    batch_rows = alive.filter(src == 1).select(*in_cols, kind.alias(CHANGE_TYPE))
-    return batch_rows.unionByName(replays).unionByName(dups)
+    kind = (
+        F.when(F.col(_RN) > 1, F.lit(DUPLICATE))
+        .when(F.col(_REPLAY), F.lit(UNCHANGED))
+        .when(~present, F.lit(NEW))
+        .when(opens, F.lit(CHANGED))
+        .otherwise(F.lit(UNCHANGED))
+    )
+    return u.filter(src == 1).select(*in_cols, kind.alias(CHANGE_TYPE))
 
 
 def change_counts(classified: DataFrame) -> DataFrame:
@@ -557,6 +616,7 @@ def apply_scd2(
     tie_break: Sequence[Column] | None = None,
     strategy: str = "auto",
     corrupt_column: str | None = None,
+    skew: SkewSpec | None = SkewSpec(),
 ) -> Split:
     """Quarantine split → validity columns → merge. Returns ``Split(valid, quarantine)``.
 
@@ -596,5 +656,6 @@ def apply_scd2(
         present_keys=present,
         tie_break=tie_break,
         strategy=strategy,
+        skew=skew,
     )
     return Split(history, split.quarantine)

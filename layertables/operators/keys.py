@@ -3,14 +3,13 @@
 The key of a version is a hash of its content (natural key, start and
 tracked values), so it is the same on every run, for every partitioning and
 for every executor that recomputes it; facts that already point at a
-version keep pointing at it. No shuffle, no driver round trip.
-"""
+version keep pointing at it. No shuffle, no driver round trip."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layertables.functions.hashing import content_key
@@ -27,10 +26,34 @@ def add_surrogate_key(df: DataFrame, key_column_name: str, columns: Sequence[str
     a history (those are unique per version after a merge).
     """
     parts = list(columns) if columns else [c for c in df.columns if c not in (VALID_TO, IS_CURRENT, key_column_name)]
-    keyed = df.withColumn(key_column_name, content_key(parts))
+    keyed = df.withColumn(key_column_name, content_key(parts, df))
     return keyed.select(key_column_name, *[c for c in df.columns if c != key_column_name])
 
 
+def add_dense_key(
+    df: DataFrame, key_column_name: str, order: Sequence[str], existing: DataFrame | None = None, *, buckets: int = 256
+) -> DataFrame:
+    """Add a gapless BIGINT key, unique per row, as the first column: for
+    dimensions so large that 60 hashed bits could collide.
+
+    Rows are spread over ``buckets`` by a hash of ``order``, numbered inside their
+    bucket in that order, and each bucket begins behind the counts of those
+    before it; so no task sees more than its bucket, and the table of counts has
+    ``buckets`` rows. Rows that are equal in ``order`` get distinct keys in any order.
+    With ``existing`` (a table that has the key column), numbers go on behind its
+    greatest key: stored keys never change."""
+    n, base, row, at = "__lt_n", "__lt_base", "__lt_row", "__lt_kb"
+    u = df.withColumn(at, F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    before = F.sum(n).over(Window.orderBy(at).rowsBetween(Window.unboundedPreceding, -1))
+    bases = u.groupBy(at).agg(F.count(F.lit(1)).alias(n)).select(at, F.coalesce(before, F.lit(0)).alias(base))
+    if existing is not None:
+        top = existing.agg(F.coalesce(F.max(key_column_name), F.lit(0)).alias("__lt_top"))
+        bases = bases.crossJoin(F.broadcast(top)).withColumn(base, F.col(base) + F.col("__lt_top")).drop("__lt_top")
+    u = u.withColumn(row, F.row_number().over(Window.partitionBy(at).orderBy(*order)))
+    u = u.join(F.broadcast(bases), at).withColumn(key_column_name, (F.col(base) + F.col(row)).cast("bigint"))
+    return u.select(key_column_name, *[c for c in df.columns if c != key_column_name])
+
+
 def history_key_columns(keys: Sequence[str], tracked: Sequence[str]) -> list[str]:
     """The parts that identify one version of a history."""
     return [*keys, VALID_FROM, *tracked]

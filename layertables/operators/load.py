@@ -5,8 +5,9 @@ load, given the incoming frame and the existing table.
 * ``append``    — existing rows plus incoming rows (written in append mode);
 * ``scd1``      — keyed upsert: existing rows whose key is not in the batch,
   plus the latest batch row per key (without keys: a full overwrite);
-* ``scd2``      — history merge (:func:`layertables.operators.history.apply_scd2`);
-  a batch that already is a history replaces the table as it is.
+* ``scd2``      — history merge (:func:`layertables.operators.history.apply_scd2`), also
+  of a batch that has validity columns; with ``full_history`` such a batch is the
+  whole history and replaces the table as it is.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layertables.functions.predicates import any_null
 from layertables.operators.history import VALID_FROM, _orderable, apply_scd2
+from layertables.operators.quarantine import separate_quarantine_records
 
 LOAD_TYPES = ("overwrite", "scd1", "scd2", "append")
 
@@ -34,12 +37,13 @@ class LoadSpec:
     effective_from_ts: Any = None
     missing_keys: str = "keep"
     close_at: Any = None
+    full_history: bool = False
     options: dict = field(default_factory=dict)
 
     def check(self) -> None:
         """Validate before any Spark work."""
         if self.load_type not in LOAD_TYPES:
-            raise ValueError(f"unknown load_type '{self.load_type}'. Must be one of: {', '.join(LOAD_TYPES)}")
+            raise ValueError(f"no load type {self.load_type!r}; there are {', '.join(LOAD_TYPES)}")
         if self.load_type == "scd2":
             if not self.keys:
                 raise ValueError("load_type='scd2' needs keys (the natural key)")
@@ -75,8 +79,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[Colum
 
 
 def upsert(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str] | str, latest_by: Sequence[Column | str] = ()) -> DataFrame:
-    """SCD1: existing rows of untouched keys ∪ the latest batch row per key."""
+    """SCD1: existing rows of untouched keys ∪ the latest batch row per key. Batch
+    rows with a NULL key are left out (:func:`plan_load` quarantines them)."""
     ks = _as_list(keys)
+    incoming = incoming.filter(~any_null(ks))
     latest = latest_per_key(incoming, ks, latest_by)
     if existing is None:
         return latest
@@ -103,8 +109,10 @@ def plan_load(incoming: DataFrame, existing: DataFrame | None, spec: LoadSpec) -
     if t == "scd1":
         if not spec.keys:
             return Planned(incoming, "overwrite")
-        return Planned(upsert(existing, incoming, spec.keys, spec.latest_by), "overwrite")
-    if VALID_FROM in incoming.columns and spec.effective_from_column is None:
+        # Rows without a key can't be matched on a later run: they are set aside.
+        split = separate_quarantine_records(incoming, keys=spec.keys)
+        return Planned(upsert(existing, split.valid, spec.keys, spec.latest_by), "overwrite", split.quarantine)
+    if spec.full_history and VALID_FROM in incoming.columns:
         return Planned(incoming, "overwrite")
     res = apply_scd2(
         incoming,

@@ -11,12 +11,12 @@ summary.
 Detection is a sampled count over the key and time columns only (parquet
 reads just those columns). It runs only when Catalyst's size estimate of
 the input is above ``min_input_bytes``; below that a single task handles any
-key and no extra pass is made. The hot-key list is collected (it is bounded:
-at most ``max_hot_keys`` entries, and a key can only be hot when its sampled
-count reaches ``hot_rows * sample_fraction``) and turned back into a small
-local relation, so bucket assignment is a constant, deterministic on every
-retry. Keys beyond the list still run on the ordinary path, with exact
-results.
+key and no extra pass is made. Results never depend on it. Every hot key is
+split: a key can only be hot when its sampled count reaches ``hot_rows *
+sample_fraction``, so there are at most rows / ``hot_rows`` of them; the list is
+collected and turned back into a local relation, so bucket assignment is a
+constant, deterministic on every retry. A key gets as many buckets as keep
+each near ``bucket_rows`` rows, ``MAX_BUCKETS`` at most.
 """
 
 from __future__ import annotations
@@ -39,12 +39,15 @@ class SkewSpec:
 
     hot_rows: int = 4_000_000
     sample_fraction: float = 0.01
-    buckets: int = 64
+    bucket_rows: int = 1_000_000
     min_input_bytes: int = 1 << 30
-    max_hot_keys: int = 10_000
     seed: int = 17
 
 
+# Quantiles taken of a hot key's times; a key uses every n-th of them.
+MAX_BUCKETS = 1024
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (no job runs)."""
     try:
@@ -53,6 +56,12 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
+def broadcast_threshold(spark) -> int:
+    """Bytes up to which Spark broadcasts a side of a join (0: never)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    return max(0, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw)) if not raw.lstrip("-").isdigit() else int(raw))
+
+
 def hot_key_bounds(df: DataFrame, keys: Sequence[str], time_col: str, spec: SkewSpec | None) -> DataFrame | None:
     """``(keys..., __lt_bounds)`` for every hot key, or ``None`` when there is none.
 
@@ -66,13 +75,15 @@ def hot_key_bounds(df: DataFrame, keys: Sequence[str], time_col: str, spec: Skew
     if spec.sample_fraction < 1:
         s = s.sample(withReplacement=False, fraction=spec.sample_fraction, seed=spec.seed)
     threshold = max(1, math.ceil(spec.hot_rows * spec.sample_fraction))
-    pct = [i / spec.buckets for i in range(1, spec.buckets)]
+    pct = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    per_bucket = max(1, math.ceil(spec.bucket_rows * spec.sample_fraction))
+    step = F.greatest(F.lit(1), F.floor(F.lit(MAX_BUCKETS) * per_bucket / F.col("__lt_n"))).cast("int")
     agg = (
         s.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__lt_n"), F.percentile_approx(time_col, pct, 10_000).alias(BOUNDS))
         .filter(F.col("__lt_n") >= threshold)
-        .orderBy(F.col("__lt_n").desc())
-        .limit(spec.max_hot_keys)
+        .withColumn("__lt_step", step)
+        .withColumn(BOUNDS, F.filter(BOUNDS, lambda _, i: (i + 1) % F.col("__lt_step") == 0))
         .select(*keys, F.sort_array(F.array_distinct(BOUNDS)).alias(BOUNDS))
     )
     rows = agg.collect()
@@ -86,8 +97,8 @@ def hot_key_bounds(df: DataFrame, keys: Sequence[str], time_col: str, spec: Skew
 def tag_buckets(df: DataFrame, bounds: DataFrame, keys: Sequence[str], time_col: str) -> DataFrame:
     """Add ``__lt_bkt``: the bucket of a hot key's row (number of boundaries at
     or before its time; rows without a time go to bucket 0), NULL for all
-    other keys. A broadcast lookup of the small bounds table: no shuffle."""
+    other keys. Spark broadcasts the bounds where they are below its threshold."""
     b = F.col(BOUNDS)
     t = F.col(time_col)
     bucket = F.when(b.isNotNull(), F.size(F.filter(b, lambda x: x <= t)))
-    return df.join(F.broadcast(bounds), list(keys), "left").withColumn(BUCKET, bucket).drop(BOUNDS)
+    return df.join(bounds, list(keys), "left").withColumn(BUCKET, bucket).drop(BOUNDS)

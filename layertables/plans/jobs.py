@@ -6,19 +6,22 @@ action for it (plus one for its quarantine); counts come from the writes.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layertables.operators.asof import AsOf, build_fact
-from layertables.operators.clean import CleaningRules, apply_cleaning_rules, recase
-from layertables.operators.history import apply_scd2, merge_scd2
+from layertables.operators.clean import CleaningRules, apply_cleaning_rules, clean_with_quarantine
+from layertables.operators.history import apply_scd2
 from layertables.operators.keys import add_surrogate_key, history_key_columns
 from layertables.operators.load import LoadSpec, Planned, plan_load
-from layertables.operators.quarantine import REASON, Split, separate_quarantine_records
+from layertables.operators.quarantine import Split, separate_quarantine_records
 from layertables.sources.tables import append_new, read_table, read_table_or_empty, write_table
 
 
@@ -42,7 +45,7 @@ class TableJob:
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.transform_fn is None:
-            raise NotImplementedError(f"{type(self).__name__} must implement transform()")
+            raise NotImplementedError(f"{type(self).__name__}: give a transform_fn or override transform")
         return self.transform_fn(df)
 
     def plan(self) -> Planned:
@@ -80,6 +83,8 @@ class TableRules:
     missing_keys: str = "keep"
     close_at: Any = None
     corrupt_column: str | None = None
+    # Rows that a NULL-drop rule removes go to the quarantine, with the column as reason.
+    quarantine_required: bool = False
 
     @classmethod
     def from_mapping(cls, m: Mapping) -> "TableRules":
@@ -93,9 +98,47 @@ class TableRules:
             effective_from_column=m.get("effective_from_column"),
             effective_from_fallback_column=m.get("effective_from_fallback_column"),
             effective_from_ts=m.get("effective_from_ts"),
+            quarantine_required=bool(m.get("quarantine_required", False)),
         )
 
 
+def load_rules(folder: str, read: Callable[[str], Mapping] | None = None) -> list[TableRules]:
+    """The rules of every table, one file each (``*.yml``, ``*.yaml`` or ``*.json``), by
+    file name: a table is added by adding a file. ``read`` parses one file; by
+    default JSON is read as such and YAML with PyYAML, if installed."""
+    out = []
+    for f in sorted(Path(folder).iterdir()):
+        if f.suffix not in (".yml", ".yaml", ".json"):
+            continue
+        if read is not None:
+            m = read(str(f))
+        elif f.suffix == ".json":
+            m = json.loads(f.read_text())
+        else:
+            import yaml  # optional dependency
+
+            m = yaml.safe_load(f.read_text())
+        if not isinstance(m, Mapping) or "table" not in m:
+            raise ValueError(f"{f.name}: a rule file is a mapping with a 'table'")
+        out.append(TableRules.from_mapping(m))
+    names = [r.table for r in out]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"several rule files for {', '.join(twice)}")
+    return out
+
+
+def _clean(valid: DataFrame, rules: TableRules) -> tuple[DataFrame, DataFrame | None]:
+    if not rules.quarantine_required:
+        return apply_cleaning_rules(valid, rules.cleaning), None
+    split = clean_with_quarantine(valid, rules.cleaning)
+    return split.valid, split.quarantine
+
+
+def _with(quarantine: DataFrame, more: DataFrame | None) -> DataFrame:
+    return quarantine if more is None else quarantine.unionByName(more, allowMissingColumns=True)
+
+
 def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRules) -> Split:
     """Bronze batch → silver table content, in this order:
 
@@ -108,7 +151,8 @@ def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRu
     if not rules.scd2:
         qs = separate_quarantine_records(incoming, corrupt_column=rules.corrupt_column)
         valid = qs.valid.drop(rules.corrupt_column) if rules.corrupt_column else qs.valid
-        return Split(apply_cleaning_rules(valid, rules.cleaning), qs.quarantine)
+        cleaned, dropped = _clean(valid, rules)
+        return Split(cleaned, _with(qs.quarantine, dropped))
     if not rules.key or not rules.tracked:
         raise ValueError(f"{rules.table}: scd2 needs key and tracked columns")
     qs = separate_quarantine_records(
@@ -120,7 +164,7 @@ def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRu
         corrupt_column=rules.corrupt_column,
     )
     valid = qs.valid.drop(rules.corrupt_column) if rules.corrupt_column else qs.valid
-    cleaned = apply_cleaning_rules(valid, rules.cleaning)
+    cleaned, dropped = _clean(valid, rules)
     res = apply_scd2(
         cleaned,
         existing,
@@ -133,7 +177,7 @@ def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRu
         missing_keys=rules.missing_keys,
         close_at=rules.close_at,
     )
-    return Split(res.valid, qs.quarantine)
+    return Split(res.valid, _with(qs.quarantine, dropped))
 
 
 def refine_to_path(
@@ -154,7 +198,10 @@ def refine_to_path(
 def refine_all(
     spark: SparkSession, rules: Sequence[TableRules], bronze_base: str, silver_base: str, quarantine_base: str | None = None
 ) -> dict[str, dict]:
-    """Refine every table of a rule set; paths are ``{base}/{table}``."""
+    """Refine every table of a rule set; paths are ``{base}/{table}``. Rows without a
+    date column start at one time, taken once for the whole run."""
+    now = dt.datetime.now(dt.timezone.utc)
+    rules = [r if r.effective_from_ts is not None or r.effective_from_column else replace(r, effective_from_ts=now) for r in rules]
     return {
         r.table: refine_to_path(
             spark,

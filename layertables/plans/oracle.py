@@ -18,8 +18,8 @@ RAW_HIST = "id, name, segment, nation, created_s, updated_s, effective_from, eff
 
 
 def key_sql(parts: Sequence[str]) -> str:
-    inner = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '<null>')" for p in parts)
-    return f"('0x' || substr(md5(concat_ws('|', {inner})), 1, 15))::BIGINT"
+    inner = " || ".join(f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), '-')" for p in parts)
+    return f"('0x' || substr(md5({inner}), 1, 15))::BIGINT"
 
 
 def merge_sql(
@@ -51,7 +51,11 @@ def merge_sql(
         f"{name}_u AS ({u})",
         f"{name}_d AS (SELECT * FROM {name}_u QUALIFY src = 0 OR row_number() OVER (PARTITION BY {kp}, effective_from, src ORDER BY effective_to, {tie}) = 1)",
         f"{name}_r AS (SELECT * FROM {name}_d QUALIFY NOT (src = 1 AND min(src) OVER (PARTITION BY {kp}, effective_from, {tp}) = 0))",
-        f"{name}_l AS (SELECT *, lag(1) OVER {w} AS p_marker, lag(effective_to) OVER {w} AS p_to, {lags} FROM {name}_r)",
+        # A batch row inside a stored interval ends with it at the latest.
+        f"""{name}_i AS (SELECT * REPLACE (CASE WHEN src = 1 AND inside > effective_from THEN least(effective_to, inside) ELSE effective_to END AS effective_to)
+           FROM (SELECT *, last_value(CASE WHEN src = 0 THEN effective_to END IGNORE NULLS) OVER (PARTITION BY {kp} ORDER BY effective_from, src, effective_to, {tie}
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS inside FROM {name}_r))""",
+        f"{name}_l AS (SELECT *, lag(1) OVER {w} AS p_marker, lag(effective_to) OVER {w} AS p_to, {lags} FROM {name}_i)",
         f"{name}_k AS (SELECT * FROM {name}_l WHERE src = 0 OR p_marker IS NULL OR {diff} OR p_to < effective_from)",
         f"{name}_e AS (SELECT {c}, effective_from, {to} AS effective_to FROM {name}_k)",
     ]
@@ -325,5 +329,55 @@ UNION ALL SELECT id, name, segment, nation, created, updated FROM batch2""",
         """SELECT o.order_id, d.customer_key, o.customer_id, o.status, o.priority, o.order_date
 FROM orders_clean o LEFT JOIN gdim d
   ON o.customer_id = d.id AND CAST(o.order_date AS DATE) >= d.effective_from AND CAST(o.order_date AS DATE) < d.effective_to""",
+    )
+    q["fact_asof_window"] = q["fact_asof_join"]
+    q["scd2_present_keys_hot"] = q["scd2_missing_close"]
+    # By intervals, not by the merge rule: each key has one stored version and one late row.
+    q["scd2_late_into_closed"] = _w(
+        BATCH1 + """,
+st AS (SELECT *, created AS f, CASE WHEN id % 5 = 0 THEN DATE '1996-01-01' WHEN id % 3 = 0 THEN DATE '1999-12-31' ELSE DATE '9999-12-31' END AS t FROM batch1),
+lt AS (SELECT id, name, CASE WHEN id % 4 = 0 THEN segment ELSE 'L-' || coalesce(segment, '') END AS segment, nation, created,
+              CAST(DATE '1996-06-01' + CAST(id % 300 AS INTEGER) AS DATE) AS late_at FROM batch1 WHERE id % 2 = 0),
+both_ AS (SELECT st.*, lt.late_at, lt.segment AS late_segment, lt.late_at IS NOT NULL AND (lt.late_at >= st.t OR lt.segment IS DISTINCT FROM st.segment) AS opens
+          FROM st LEFT JOIN lt ON lt.id = st.id)""",
+        """SELECT id, name, segment, nation, f AS effective_from, CASE WHEN opens AND late_at < t THEN late_at ELSE t END AS effective_to,
+       (CASE WHEN opens AND late_at < t THEN late_at ELSE t END) = DATE '9999-12-31' AS is_current FROM both_
+UNION ALL
+SELECT id, name, late_segment, nation, late_at, CASE WHEN late_at < t THEN t ELSE DATE '9999-12-31' END,
+       (CASE WHEN late_at < t THEN t ELSE DATE '9999-12-31' END) = DATE '9999-12-31' FROM both_ WHERE opens""",
+    )
+    q["surrogate_key_adversarial"] = _w(
+        """parts AS (
+  SELECT c_name || '|' AS a, c_mktsegment AS b FROM customer
+  UNION ALL SELECT c_name, '|' || c_mktsegment FROM customer
+  UNION ALL SELECT c_name, NULL FROM customer
+  UNION ALL SELECT c_name, '<null>' FROM customer
+  UNION ALL SELECT c_name, '' FROM customer
+  UNION ALL SELECT NULL, c_name FROM customer)""",
+        f"SELECT a, b, {key_sql(['a', 'b'])} AS k FROM parts",
+    )
+    q["surrogate_key_dense"] = """SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_keys,
+       CAST(1 AS BIGINT) AS least, CAST(count(*) AS BIGINT) AS greatest, CAST(0 AS BIGINT) AS moved
+FROM customer"""
+    q["quarantine_append_evolved"] = _w(
+        RAWBASE + f""",
+q0 AS ({quar}),
+ev0 AS (SELECT *, CAST(NULL AS VARCHAR) AS feed FROM q0 UNION ALL
+        SELECT *, CASE WHEN id % 2 = 0 THEN 'second' END AS feed FROM q0 WHERE id % 2 = 0)""",
+        "SELECT * FROM ev0",
+    )
+    q["load_scd2_slice"] = _w(
+        BATCH1 + ",\n" + H1 + """,
+sl AS (SELECT id, name, 'S-' || coalesce(segment, '') AS segment, nation, created, updated, DATE '1999-01-01' AS effective_from
+       FROM batch1 WHERE id % 10 = 1),
+"""
+        + merge_sql("ms", "h1", "sl", ["id"], TRACKED, ["created", "updated"]),
+        f"SELECT {HIST} FROM ms",
+    )
+    q["refine_quarantine_required"] = _w(
+        ORDERS_RAW,
+        """SELECT order_id, customer_id, order_date,
+       CASE WHEN customer_id IS NULL THEN 'null_required:customer_id' ELSE 'null_required:order_date' END AS quarantine_reason
+FROM orders_raw WHERE customer_id IS NULL OR order_date IS NULL""",
     )
     return q

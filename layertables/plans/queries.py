@@ -21,12 +21,13 @@ from layertables.operators.history import (
     new_keys,
     resolve_effective_from,
 )
-from layertables.operators.keys import key_uniqueness
+from layertables.operators.keys import add_dense_key, add_surrogate_key, key_uniqueness
 from layertables.operators.load import LoadSpec, plan_load
 from layertables.operators.quarantine import quarantine_summary as _qsummary
 from layertables.operators.quarantine import separate_quarantine_records
+from layertables.operators.skew import SkewSpec
 from layertables.plans import derive as dv
-from layertables.plans.jobs import DimensionJob, FactJob, TableRules, build_dimension, refine_table, run_layers
+from layertables.plans.jobs import DimensionJob, FactJob, TableJob, TableRules, build_dimension, refine_table, run_layers
 from layertables.session import scratch_path
 from layertables.sources.csv import read_csv_declared
 from layertables.sources.schema import drift_report
@@ -303,7 +304,7 @@ def load_append(spark: SparkSession, d: str) -> DataFrame:
 def load_scd1_upsert(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "load-scd1")
     write_table(dv.batch1(spark, d), path)
-    p = plan_load(dv.batch2(spark, d), read_table(spark, path), LoadSpec("scd1", keys="id", latest_by=[F.col("updated").desc_nulls_last()]))
+    p = plan_load(dv.batch2(spark, d), read_table(spark, path), LoadSpec("scd1", keys="id", latest_by=["updated"]))
     write_table(p.df, path, p.mode)
     return read_table(spark, path)
 
@@ -356,6 +357,110 @@ def pipeline_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, f"{base}/gold/fact_orders")
 
 
+def fact_asof_window(spark: SparkSession, d: str) -> DataFrame:
+    """The facts of ``fact_asof_join`` by the other plan."""
+    return asof_join(
+        dv.orders_fact(spark, d), dim_customers(spark, d), "o_custkey", "o_orderdate", "id", ["customer_key"], method="window"
+    )
+
+
+# Every key that a sample sees twice is hot, so nearly all keys are split.
+ALL_HOT = SkewSpec(hot_rows=2, sample_fraction=1.0, bucket_rows=1, min_input_bytes=0)
+
+
+def scd2_present_keys_hot(spark: SparkSession, d: str) -> DataFrame:
+    """``scd2_missing_close`` with hot splitting forced."""
+    res = apply_scd2(
+        dv.batch2(spark, d), h1(spark, d), "id", TRACKED, None, "updated", "created",
+        missing_keys="close", close_at=CLOSE_AT, strategy="window", skew=ALL_HOT,
+    )
+    return res.valid.select(*HIST)
+
+
+def scd2_late_into_closed(spark: SparkSession, d: str) -> DataFrame:
+    """Late rows that land in open versions, in closed ones and behind closed ones."""
+    k = F.col("id")
+    end = F.when(k % 5 == 0, F.lit("1996-01-01")).when(k % 3 == 0, F.lit("1999-12-31")).otherwise(F.lit("9999-12-31")).cast("date")
+    stored = h1(spark, d).withColumn("effective_to", end).withColumn("is_current", end == F.lit("9999-12-31").cast("date"))
+    late = dv.batch1(spark, d).filter(k % 2 == 0).select(
+        "id",
+        "name",
+        F.when(k % 4 == 0, F.col("segment")).otherwise(F.concat(F.lit("L-"), F.coalesce("segment", F.lit("")))).alias("segment"),
+        "nation",
+        F.date_add(F.lit("1996-06-01").cast("date"), (k % 300).cast("int")).alias("effective_from"),
+    )
+    cols = ["id", "name", "segment", "nation", "effective_from", "effective_to", "is_current"]
+    return merge_scd2(late, stored, "id", TRACKED).select(*cols)
+
+
+def surrogate_key_adversarial(spark: SparkSession, d: str) -> DataFrame:
+    """Separators and NULL marks inside the values: every row has a key of its own."""
+    c = dv.table(spark, d, "customer")
+    name, seg, null = F.col("c_name"), F.col("c_mktsegment"), F.lit(None).cast("string")
+    pairs = [
+        (F.concat(name, F.lit("|")), seg),
+        (name, F.concat(F.lit("|"), seg)),
+        (name, null),
+        (name, F.lit("<null>")),
+        (name, F.lit("")),
+        (null, name),
+    ]
+    rows = c.select(F.explode(F.array(*[F.struct(a.alias("a"), b.alias("b")) for a, b in pairs])).alias("p")).select("p.*")
+    return add_surrogate_key(rows, "k", ["a", "b"])
+
+
+def surrogate_key_dense(spark: SparkSession, d: str) -> DataFrame:
+    """Dense keys of a table, then of its second half behind the stored first half."""
+    c = dv.table(spark, d, "customer").select("c_custkey", "c_name")
+    half = F.col("c_custkey") % 2 == 0
+    path = scratch_path(spark, "dense")
+    write_table(add_dense_key(c.filter(half), "k", ["c_custkey"]), path)
+    stored = read_table(spark, path)
+    keyed = stored.unionByName(add_dense_key(c.filter(~half), "k", ["c_custkey"], existing=stored))
+    moved = stored.select(F.col("c_custkey").alias("s"), F.col("k").alias("sk"))
+    checked = keyed.join(moved, F.col("c_custkey") == F.col("s"), "left")
+    return checked.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+        F.count_distinct("k").cast("bigint").alias("n_keys"),
+        F.min("k").cast("bigint").alias("least"),
+        F.max("k").cast("bigint").alias("greatest"),
+        F.coalesce(F.sum((F.col("sk") != F.col("k")).cast("int")), F.lit(0)).cast("bigint").alias("moved"),
+    )
+
+
+def quarantine_append_evolved(spark: SparkSession, d: str) -> DataFrame:
+    """A later batch brings a new column: rows that differ only there are new."""
+    path = scratch_path(spark, "quarantine-evolved")
+    q = quarantine_split(spark, d)
+    append_new(q, path)
+    more = q.withColumn("feed", F.when(F.col("id") % 2 == 0, F.lit("second")))
+    append_new(more, path)
+    append_new(more, path)  # a rerun adds nothing
+    return read_table(spark, path, merge_schema=True)
+
+
+def load_scd2_slice(spark: SparkSession, d: str) -> DataFrame:
+    """A job loads a slice of the keys into a stored history: all other keys stay."""
+    base = scratch_path(spark, "scd2-slice")
+    write_table(h1(spark, d).select(*HIST), f"{base}/history")
+    write_table(dv.batch1(spark, d).filter(F.col("id") % 10 == 1), f"{base}/batch")
+
+    def prepare(df: DataFrame) -> DataFrame:
+        df = df.withColumn("segment", F.concat(F.lit("S-"), F.coalesce("segment", F.lit(""))))
+        return resolve_effective_from(df, effective_from_ts="1999-01-01", time_type="date")
+
+    job = TableJob(spark, f"{base}/batch", f"{base}/history", LoadSpec("scd2", keys="id", tracked=TRACKED), prepare)
+    job.run()
+    return read_table(spark, f"{base}/history").select(*HIST)
+
+
+def refine_quarantine_required(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that the NULL rules of a plain table drop, with the reason."""
+    rules = TableRules(**{**ORDER_RULES.__dict__, "quarantine_required": True})
+    split = refine_table(dv.orders_raw(spark, d), None, rules)
+    return split.quarantine.select("order_id", "customer_id", "order_date", "quarantine_reason")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_asof_join": fact_asof_join,
     "fact_unmatched": fact_unmatched,
@@ -392,4 +497,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refine_scd2_table": refine_scd2_table,
     "refine_plain_table": refine_plain_table,
     "pipeline_end_to_end": pipeline_end_to_end,
+    "fact_asof_window": fact_asof_window,
+    "scd2_present_keys_hot": scd2_present_keys_hot,
+    "scd2_late_into_closed": scd2_late_into_closed,
+    "surrogate_key_adversarial": surrogate_key_adversarial,
+    "surrogate_key_dense": surrogate_key_dense,
+    "quarantine_append_evolved": quarantine_append_evolved,
+    "load_scd2_slice": load_scd2_slice,
+    "refine_quarantine_required": refine_quarantine_required,
 }

@@ -1,70 +1,53 @@
-"""Session and scratch-space helpers.
-
-Library operators never create a session; these helpers exist for tests, the
-bench and the driver queries that need a shared folder for round trips.
-"""
+"""Scratch space in the folder that a cluster's machines share."""
 
 from __future__ import annotations
 
-import os
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "layertables") -> SparkSession:
-    """A local session configured the way the tests and the bench expect.
-
-    On a cluster, use the session the platform gives you; nothing in the
-    library depends on these settings except that the UI stays off here.
-    """
-    spark = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+_SCRATCH: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    folder under the system temp dir is created and registered, so that
-    ``DataFrame.checkpoint()`` and our round trips use the same place.
+    Read from the session. Where it is unset, a local master gets a fresh folder under
+    the system temp dir, registered so that ``DataFrame.checkpoint()`` uses the same
+    place; on a cluster that is an error, since machines would write to their own disks.
     """
-    d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
             d = tempfile.mkdtemp(prefix="layertables-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
+        sc.setCheckpointDir(d)
+        d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path inside the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
+    """A new, unique path inside the shared folder; removed by
+    :func:`clean_scratch`, at the latest when the program ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _SCRATCH:
+        atexit.register(clean_scratch)
+    _SCRATCH[path] = spark
+    return path
+
+
+def clean_scratch() -> None:
+    """Remove all scratch paths handed out so far. Frames read from them end here."""
+    while _SCRATCH:
+        path, spark = _SCRATCH.popitem()
+        with contextlib.suppress(Exception):  # the session may have ended
+            if spark.sparkContext._jsc is None:
+                continue
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

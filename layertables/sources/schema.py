@@ -58,7 +58,7 @@ def schema_from_fields(fields: str | Iterable[Any]) -> T.StructType:
     if isinstance(fields, str):
         st = T.StructType.fromDDL(fields) if hasattr(T.StructType, "fromDDL") else T.DataType.fromDDL(fields)
         if not isinstance(st, T.StructType) or not st.fields:
-            raise ValueError("schema must have at least one field")
+            raise ValueError("a declared schema needs one field or more")
         return st
     out = []
     for f in fields:
@@ -70,7 +70,7 @@ def schema_from_fields(fields: str | Iterable[Any]) -> T.StructType:
             raise ValueError("every field needs a name")
         out.append(T.StructField(str(name), parse_type(typ), bool(nullable)))
     if not out:
-        raise ValueError("schema must have at least one field")
+        raise ValueError("a declared schema needs one field or more")
     return T.StructType(out)
 
 
@@ -78,11 +78,8 @@ def load_schema_from_yaml(path: str) -> T.StructType:
     """Read ``{table: ..., fields: [{name, type, nullable}, ...]}`` from YAML."""
     import yaml  # optional dependency, only needed for YAML declarations
 
-    try:
-        with open(path) as fh:
-            raw = yaml.safe_load(fh)
-    except FileNotFoundError as e:
-        raise FileNotFoundError(f"schema YAML not found at path: {path}") from e
+    with open(path) as fh:
+        raw = yaml.safe_load(fh)
     if not isinstance(raw, Mapping) or "fields" not in raw:
         raise ValueError(f"{path}: expected a mapping with 'fields'")
     return schema_from_fields(raw["fields"])

@@ -17,38 +17,59 @@ from pyspark.sql import types as T
 WRITE_MODES = ("overwrite", "append")
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, *, merge_schema: bool = False) -> DataFrame:
+    r = spark.read.option("mergeSchema", merge_schema)
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(path)
 
 
-def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+# Error classes of a path that is not there or holds no data file.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """A frame without rows that Catalyst knows to be empty (size 0)."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return spark.range(1).filter(F.lit(False)).select(*cols)
+
+
+def read_table_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, *, merge_schema: bool = False
+) -> DataFrame | None:
     """The table at ``path``, or an empty frame of ``schema`` when the path is
     missing or holds no data files (``None`` when no schema is given).
-    Works on any filesystem URI Spark can read."""
+    Works on any filesystem URI Spark can read. Any other error is raised; so is an
+    interrupted swap (see :func:`recover_swap`), which must not pass for a first load."""
     try:
-        df = spark.read.parquet(path)
+        df = spark.read.option("mergeSchema", merge_schema).parquet(path)
         df.schema  # forces the listing / footer read
         return df
-    except AnalysisException:
-        if schema is None:
-            return None
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] not in _ABSENT:
+            raise
+    left = _siblings(spark, path, ".old-")
+    if left:
+        raise OSError(f"{path} is missing but {left[0]} is there: a swap was interrupted; call recover_swap first")
+    return None if schema is None else empty_frame(spark, schema)
 
 
 def append_new(df: DataFrame, path: str) -> dict[str, Any]:
     """Append only rows not already stored at ``path`` (exact, NULL-safe match
-    on every column), so re-running a load does not duplicate them."""
+    on every column of either side, a missing one counting as NULL), so re-running
+    a load does not duplicate them and a new column makes a new row. Tables whose
+    columns grew are read with ``read_table(..., merge_schema=True)``."""
     from layertables.functions.predicates import same_values
 
-    existing = read_table_or_empty(df.sparkSession, path)
+    existing = read_table_or_empty(df.sparkSession, path, merge_schema=True)
     new = df
     if existing is not None:
-        cols = [c for c in df.columns if c in existing.columns]
-        ex = existing.select(*[F.col(c).alias(f"__lt_x_{c}") for c in cols])
-        new = df.join(ex, same_values(cols, [f"__lt_x_{c}" for c in cols]), "left_anti")
+        cols = [*df.columns, *[c for c in existing.columns if c not in df.columns]]
+        types = {f.name: f.dataType for f in [*existing.schema.fields, *df.schema.fields]}
+        side = lambda d: [F.col(c) if c in d.columns else F.lit(None).cast(types[c]).alias(c) for c in cols]
+        ex = existing.select(*side(existing)).toDF(*[f"__lt_x_{c}" for c in cols])
+        new = df.select(*side(df)).join(ex, same_values(cols, [f"__lt_x_{c}" for c in cols]), "left_anti").select(*df.columns)
     return write_table(new, path, "append")
 
 
@@ -65,17 +86,59 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def reads_path(df: DataFrame, path: str) -> bool:
-    """True when the plan of ``df`` scans files under ``path``."""
+    """True when the plan of ``df`` scans ``path`` or something under it. Compares
+    the root paths of the plan's relations, not their files."""
     spark = df.sparkSession
     _, q = _hadoop(spark, path)
     root = q.toString().rstrip("/") + "/"
-    for f in df.inputFiles():
-        _, fq = _hadoop(spark, f)
-        if fq.toString().startswith(root):
-            return True
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation":
+            continue
+        relation = leaf.relation()
+        if relation.getClass().getSimpleName() != "HadoopFsRelation":
+            continue
+        paths = relation.location().rootPaths()
+        for k in range(paths.size()):
+            _, fq = _hadoop(spark, paths.apply(k).toString())
+            if (fq.toString().rstrip("/") + "/").startswith(root):
+                return True
     return False
 
 
+def _siblings(spark: SparkSession, path: str, mark: str) -> list[str]:
+    fs, p = _hadoop(spark, path)
+    parent = p.getParent()
+    if not fs.exists(parent):
+        return []
+    head = p.getName() + mark
+    return sorted(f.getPath().toString() for f in fs.listStatus(parent) if f.getPath().getName().startswith(head))
+
+
+def recover_swap(spark: SparkSession, path: str) -> str:
+    """Finish or undo a staged overwrite that stopped half-way; returns what was
+    done (``"none"``, ``"completed"``, ``"restored"``, ``"cleaned"``).
+
+    No live table: the staged one, which was complete before the old one was moved
+    aside, takes its place, or else the old one comes back. With a live table,
+    what is left beside it is removed."""
+    fs, live = _hadoop(spark, path)
+    old, staged = _siblings(spark, path, ".old-"), _siblings(spark, path, ".staging-")
+    complete = [x for x in staged if fs.exists(_hadoop(spark, f"{x}/_SUCCESS")[1])]
+    done = "none"
+    if not fs.exists(live) and old:
+        source = complete[-1] if complete else old[-1]
+        if not fs.rename(_hadoop(spark, source)[1], live):
+            raise OSError(f"could not move {source} to {path}")
+        done = "completed" if complete else "restored"
+    if fs.exists(live):
+        for x in [*_siblings(spark, path, ".old-"), *_siblings(spark, path, ".staging-")]:
+            fs.delete(_hadoop(spark, x)[1], True)
+            done = "cleaned" if done == "none" else done
+    return done
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", *, partition_by: list[str] | None = None) -> dict[str, Any]:
     """Write ``df`` as parquet; returns ``{"rows": n}`` observed during the write.
 
@@ -86,6 +149,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", *, partition_
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
+    if not path_exists(df.sparkSession, path) and _siblings(df.sparkSession, path, ".old-"):
+        raise OSError(f"{path}: a swap was interrupted; call recover_swap first")
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     staged = mode == "overwrite" and path_exists(df.sparkSession, path) and reads_path(df, path)

@@ -16,7 +16,7 @@ BASE = dt.date(2020, 1, 1)
 SCHEMA = "id int, v string, effective_from date"
 COLS = ["id", "v", "effective_from", "effective_to", "is_current"]
 # Every key with >= 2 rows is hot; many narrow buckets, so seams are everywhere.
-FORCE = SkewSpec(hot_rows=2, sample_fraction=1.0, buckets=6, min_input_bytes=0)
+FORCE = SkewSpec(hot_rows=2, sample_fraction=1.0, bucket_rows=4, min_input_bytes=0)
 
 
 def _df(spark, evs):
