@@ -330,6 +330,8 @@ UNION ALL SELECT id, name, segment, nation, created, updated FROM batch2""",
 FROM orders_clean o LEFT JOIN gdim d
   ON o.customer_id = d.id AND CAST(o.order_date AS DATE) >= d.effective_from AND CAST(o.order_date AS DATE) < d.effective_to""",
     )
+    q["csv_header_drift"] = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal,
+       'c_acctbal' AS missing, 'note' AS extra FROM customer"""
     q["fact_asof_window"] = q["fact_asof_join"]
     q["scd2_present_keys_hot"] = q["scd2_missing_close"]
     # By intervals, not by the merge rule: each key has one stored version and one late row.

@@ -29,7 +29,7 @@ from layertables.operators.skew import SkewSpec
 from layertables.plans import derive as dv
 from layertables.plans.jobs import DimensionJob, FactJob, TableJob, TableRules, build_dimension, refine_table, run_layers
 from layertables.session import scratch_path
-from layertables.sources.csv import read_csv_declared
+from layertables.sources.csv import header_drift, read_csv_declared
 from layertables.sources.schema import drift_report
 from layertables.sources.tables import append_new, read_table, read_table_or_empty, write_table
 
@@ -268,6 +268,23 @@ def csv_corrupt_rows(spark: SparkSession, d: str) -> DataFrame:
     return q.select("c_custkey", "quarantine_reason")
 
 
+def csv_header_drift(spark: SparkSession, d: str) -> DataFrame:
+    """A feed of two headers, one without a declared column and one with an extra
+    one: all rows, with what the actual headers lack and add."""
+    c = dv.table(spark, d, "customer")
+    path = scratch_path(spark, "raw-drift")
+    k = F.col("c_custkey")
+    _write_csv(c.filter(k % 2 == 0).withColumn("note", F.lit("n")), path)
+    _write_csv(c.filter(k % 2 == 1).drop("c_acctbal"), path, "append")
+    drift = header_drift(spark, path, CUSTOMER_DDL)
+    return read_csv_declared(spark, path, CUSTOMER_DDL, corrupt_column=None).select(
+        "c_custkey",
+        "c_acctbal",
+        F.lit(",".join(drift["missing_columns"])).alias("missing"),
+        F.lit(",".join(drift["extra_columns"])).alias("extra"),
+    )
+
+
 def surrogate_key_unique(spark: SparkSession, d: str) -> DataFrame:
     return key_uniqueness(dim_customers(spark, d), "customer_key")
 
@@ -497,6 +514,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refine_scd2_table": refine_scd2_table,
     "refine_plain_table": refine_plain_table,
     "pipeline_end_to_end": pipeline_end_to_end,
+    "csv_header_drift": csv_header_drift,
     "fact_asof_window": fact_asof_window,
     "scd2_present_keys_hot": scd2_present_keys_hot,
     "scd2_late_into_closed": scd2_late_into_closed,

@@ -7,11 +7,16 @@ are read per header group and unioned by name. Every row is kept: empty
 fields become NULL, case is kept, and a line whose values do not fit the
 declared types is captured whole in a corrupt-record column (PERMISSIVE mode)
 so it can be quarantined instead of silently becoming NULLs.
+
+Lines are scanned as text and parsed by an expression, so the raw line is at hand,
+with its quotes. A line that equals its file's header line is a header wherever it
+stands (concatenated files); a quoted field cannot span lines.
 """
 
 from __future__ import annotations
 
 import csv as _csv
+import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -23,11 +28,20 @@ from pyspark.sql import types as T
 from layertables.sources.schema import schema_from_fields, validate_schema
 
 CORRUPT = "_corrupt_record"
+_log = logging.getLogger(__name__)
+_LINE = "__lt_line"
+
+
+def _ddl(fields: list[T.StructField]) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in fields)
 
 
 def _typed(c, t: T.DataType, date_format: str | None, timestamp_format: str | None):
     if isinstance(t, T.StringType):
         return c
+    if isinstance(t, T.BooleanType):  # as a CSV reader: no "yes", "1" or "t"
+        low = F.lower(F.trim(c))
+        return F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
     if isinstance(t, T.DateType) and date_format:
         return F.try_to_timestamp(c, F.lit(date_format)).cast(t)
     if isinstance(t, (T.TimestampType, T.TimestampNTZType)) and timestamp_format:
@@ -40,8 +54,8 @@ def csv_files(spark: SparkSession, path: str | list[str]) -> list[str]:
     return sorted(spark.read.text(path).inputFiles())
 
 
-def csv_header(spark: SparkSession, file: str, sep: str = ",") -> list[str]:
-    """Column names from the header line of one file.
+def csv_header_line(spark: SparkSession, file: str) -> str | None:
+    """The header line of one file, as it stands there (``None``: an empty file).
 
     Reads only the first line through the Hadoop filesystem of the path (any
     URI Spark can read; compressed files are decoded by their codec), so no
@@ -55,20 +69,27 @@ def csv_header(spark: SparkSession, file: str, sep: str = ",") -> list[str]:
     try:
         codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
         raw = codec.createInputStream(stream) if codec is not None else stream
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8")).readLine()
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8")).readLine()
     finally:
         stream.close()
-    if line is None:
-        return []
-    line = line.lstrip("\ufeff")
-    return [h.strip() for h in next(_csv.reader([line], delimiter=sep))]
 
 
-def csv_headers(spark: SparkSession, files: list[str], sep: str = ",", threads: int = 16) -> dict[str, tuple[str, ...]]:
-    """Headers of many files, read concurrently (first line of each only)."""
+def header_names(line: str | None, sep: str = ",", quote: str = '"') -> tuple[str, ...]:
+    """Column names of a header line."""
+    if not line:
+        return ()
+    return tuple(h.strip() for h in next(_csv.reader([line.lstrip("\ufeff")], delimiter=sep, quotechar=quote)))
+
+
+def csv_header(spark: SparkSession, file: str, sep: str = ",") -> list[str]:
+    """Column names from the header line of one file."""
+    return list(header_names(csv_header_line(spark, file), sep))
+
+
+def csv_header_lines(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, str | None]:
+    """Header lines of many files, read concurrently (first line of each only)."""
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        heads = list(pool.map(lambda f: tuple(csv_header(spark, f, sep)), files))
-    return dict(zip(files, heads))
+        return dict(zip(files, pool.map(lambda f: csv_header_line(spark, f), files)))
 
 
 def read_csv_declared(
@@ -81,69 +102,77 @@ def read_csv_declared(
     sep: str = ",",
     date_format: str | None = None,
     timestamp_format: str | None = None,
+    quote: str = '"',
+    escape: str = "\\",
+    header_lines: Mapping[str, str | None] | None = None,
 ) -> DataFrame:
     """Declared-schema scan of header CSV files, bound by header name.
 
     ``shared_header=True`` reads only the first file's header and assumes the
-    rest agree (one small job instead of one per file). Declared columns that
+    rest agree; ``header_lines`` gives lines that have been read already
+    (:func:`csv_header_lines`). Declared columns that
     a file lacks are NULL; undeclared columns are not returned (see
     :func:`header_drift`). With ``corrupt_column`` (default
     ``_corrupt_record``) malformed lines are kept and flagged.
     """
     declared = schema_from_fields(schema)
-    files = csv_files(spark, path)
+    files = list(header_lines) if header_lines is not None else csv_files(spark, path)
     if not files:
         raise FileNotFoundError(f"no files under {path}")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    if shared_header:
-        groups[tuple(csv_header(spark, files[0], sep))] = files
-    else:
-        for f, h in csv_headers(spark, files, sep).items():
-            if h:  # an empty file has no header and no rows
-                groups.setdefault(h, []).append(f)
+    if header_lines is None:
+        first = csv_header_line(spark, files[0]) if shared_header else None
+        header_lines = dict.fromkeys(files, first) if shared_header else csv_header_lines(spark, files)
+    groups: dict[str, list[str]] = {}
+    for f, line in header_lines.items():
+        if line:  # an empty file has no header and no rows
+            groups.setdefault(line, []).append(f)
 
     types = {f.name: f.dataType for f in declared.fields}
     if not groups:  # only empty files
         out = declared if not corrupt_column else declared.add(corrupt_column, T.StringType())
         return spark.createDataFrame([], out)
     frames = []
-    for header, fs in groups.items():
+    options = {"sep": sep, "quote": quote, "escape": escape, "mode": "PERMISSIVE"}
+    if corrupt_column:
+        options["columnNameOfCorruptRecord"] = corrupt_column
+    for head, fs in groups.items():
+        header = header_names(head, sep, quote)
         # Every field is read as text and typed by a projection, so a value
         # that does not fit its declared type is detected whatever columns a
-        # later query needs (the CSV parser would skip pruned columns).
+        # later query needs (a parser would skip pruned columns).
         fields = [T.StructField(h, T.StringType(), True) for h in header]
         if corrupt_column:
             fields.append(T.StructField(corrupt_column, T.StringType(), True))
-        r = (
-            spark.read.schema(T.StructType(fields))
-            .option("header", True)
-            .option("sep", sep)
-            .option("mode", "PERMISSIVE")
-        )
-        if corrupt_column:
-            r = r.option("columnNameOfCorruptRecord", corrupt_column)
-        df = r.csv(fs)
+        line = F.col("value")
+        bare = head.lstrip("\ufeff")
+        data = spark.read.text(fs).filter(~line.isin(bare, "\ufeff" + bare) & (F.trim(line) != ""))
+        df = data.select(line.alias(_LINE), F.from_csv(line, _ddl(fields), options).alias("r")).select(_LINE, "r.*")
         typed = {n: _typed(F.col(n), t, date_format, timestamp_format) for n, t in types.items() if n in header}
         cols = [typed[n].alias(n) if n in typed else F.lit(None).cast(t).alias(n) for n, t in types.items()]
         if corrupt_column:
             bad = [F.col(n).isNotNull() & typed[n].isNull() for n in typed]
             misfit = reduce(lambda a, b: a | b, bad) if bad else F.lit(False)
-            line = F.concat_ws(sep, *[F.coalesce(F.col(h), F.lit("")) for h in header])
-            cols.append(F.when(F.col(corrupt_column).isNotNull(), F.col(corrupt_column)).when(misfit, line).alias(corrupt_column))
+            cols.append(F.when(F.col(corrupt_column).isNotNull() | misfit, F.col(_LINE)).alias(corrupt_column))
         frames.append(df.select(*cols))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def header_drift(spark: SparkSession, path: str | list[str], schema: T.StructType | str | list, sep: str = ",") -> dict:
+def header_drift(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | str | list,
+    sep: str = ",",
+    header_lines: Mapping[str, str | None] | None = None,
+) -> dict:
     """Drift of the *actual* header against the declared schema (all as strings,
     since CSV carries no types): missing and extra columns per header."""
     declared = schema_from_fields(schema)
     result = {"is_valid": True, "missing_columns": [], "extra_columns": []}
-    seen = set()
-    for h in csv_headers(spark, csv_files(spark, path), sep).values():
-        if not h or h in seen:
+    lines = header_lines if header_lines is not None else csv_header_lines(spark, csv_files(spark, path))
+    for line in dict.fromkeys(lines.values()):
+        if not line:
             continue
-        seen.add(h)
+        h = header_names(line, sep)
         st = T.StructType([T.StructField(n, declared[n].dataType if n in declared.names else T.StringType()) for n in h])
         v = validate_schema(st, declared)
         result["missing_columns"] += [c for c in v["missing_columns"] if c not in result["missing_columns"]]
@@ -161,11 +190,16 @@ def ingest(
 ) -> dict[str, dict]:
     """Raw → bronze: scan each feed under its declared schema and write it to
     ``{output_path}/{table}`` (overwrite). One Spark job per feed; the row
-    count comes from the write itself."""
+    count comes from the write itself. Headers are read once, and drift is logged
+    as a warning."""
     from layertables.sources.tables import write_table
 
     out = {}
     for table, (path, schema) in feeds.items():
-        df = read_csv_declared(spark, path, schema, corrupt_column=corrupt_column)
-        out[table] = {"drift": header_drift(spark, path, schema), **write_table(df, f"{output_path.rstrip('/')}/{table}")}
+        lines = csv_header_lines(spark, csv_files(spark, path))
+        drift = header_drift(spark, path, schema, header_lines=lines)
+        if drift["missing_columns"] or drift["extra_columns"]:
+            _log.warning("%s: missing columns %s, extra columns %s", table, drift["missing_columns"], drift["extra_columns"])
+        df = read_csv_declared(spark, path, schema, corrupt_column=corrupt_column, header_lines=lines)
+        out[table] = {"drift": drift, **write_table(df, f"{output_path.rstrip('/')}/{table}")}
     return out

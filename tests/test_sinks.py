@@ -121,3 +121,14 @@ def test_rules_folder(tmp_path, spark):
     (tmp_path / "c.json").write_text(json.dumps({"table": "orders"}))
     with pytest.raises(ValueError, match="several"):
         load_rules(str(tmp_path))
+
+
+def test_malformed_line_is_kept_as_it_is(spark, tmp_path):
+    from layertables.sources.csv import read_csv_declared
+
+    lines = ['id,name,ok', '1,"a,b",true', 'q,"has,comma",true', "2,c,yes", "3,d", "", "id,name,ok", '4,"say ""x""",FALSE']
+    (tmp_path / "f.csv").write_text("\ufeff" + "\n".join(lines) + "\n")
+    df = read_csv_declared(spark, str(tmp_path), "id int, name string, ok boolean", escape='"')
+    got = rows(df, "id", "name", "ok", "_corrupt_record")
+    assert (1, "a,b", True, None) in got and (4, 'say "x"', False, None) in got
+    assert {r[3] for r in got if r[3]} == {'q,"has,comma",true', "2,c,yes", "3,d"} and len(got) == 5
