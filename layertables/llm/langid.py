@@ -173,7 +173,7 @@ def training_text(
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
     if not counts:
         return {}
-    limits = {k: -(2**63) + int(min(1.0, max_docs / n) * (2**64 - 1)) for k, n in counts.items()}
+    limits = {k: min(2**63 - 1, -(2**63) + 2**64 * max_docs // n) for k, n in counts.items()}
     limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
     picked = rows.filter(F.col("h") <= limit[F.col("lang")])
     out: dict[str, list[str]] = {}
