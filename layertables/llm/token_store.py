@@ -207,7 +207,7 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame, col: str = "
     places = segs.select("first", "last", F.explode(F.sequence(F.floor(F.col("first") / cell), F.floor(F.col("last") / cell))).alias("cell"))
     wanted = positions.select(F.col(col).cast("bigint").alias("position")).distinct()
     wanted = wanted.withColumn("cell", F.floor(F.col("position") / cell))
-    hit = wanted.join(places, "cell").filter("position between first and last").select("position", "first")
+    hit = wanted.join(places, "cell").filter("position between first and last").select("position", F.col("first").alias("of"))
 
     def pick(left, right):
         import pandas as pd
@@ -221,4 +221,4 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame, col: str = "
         return pd.DataFrame(out)
 
     left = segs.select("first", "codes").groupBy("first")
-    return left.cogroup(hit.groupBy("first")).applyInPandas(pick, "position bigint, token bigint")
+    return left.cogroup(hit.groupBy("of")).applyInPandas(pick, "position bigint, token bigint")
