@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -23,6 +24,7 @@ UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\
 _LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!?])"
 PIECE = re.compile(rf"[ \n\r\t]*(?:{_LETTERS}|[^ \n\r\t]+)|[ \n\r\t]+")
 WORD = re.compile(rf"{_LETTERS}|[^ \n\r\t]+")
+BEYOND_LATIN = re.compile("[^\x00-\xff]")
 PROBE = "It's 12 áb  c.\n\n DÉF's   \t x1y2!? <|endoftext|> \n\r z'll 中文 é "
 
 
@@ -39,15 +41,21 @@ class PieceEncoder:
         self._old: dict[str, bytes] = {}
         drops_space = self.whole("a b") == self.whole("a") + self.whole("b") and self.whole(" \n ") == b""
         self._cut = (WORD if drops_space else PIECE).findall
+        # Where case does not count, "The" and "the" are one piece.
+        self._any_case = self.whole("AB Ä'S ÞÝ") == self.whole("ab ä's þý")
         self.by_piece = b"".join(map(self.whole, self._cut(PROBE))) == self.whole(PROBE)
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _one_case(self, text: str) -> str:
+        # Lower case is a matter of single characters in Latin-1 only.
+        return text.lower() if self._any_case and not BEYOND_LATIN.search(text) else text
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return [self.whole(t) for t in texts]
-        cut = [None if UNUSUAL.search(t) else self._cut(t) for t in texts]
+        cut = [None if UNUSUAL.search(t) else self._cut(self._one_case(t)) for t in texts]
         wanted = set().union(*filter(None, cut))
         # Two generations: pieces in use move to the young one, the rest go with the old one.
         if len(self._memo) >= MEMO_PIECES:
@@ -59,7 +67,7 @@ class PieceEncoder:
         for at in range(0, len(new), 1 << 14):
             part = new[at : at + (1 << 14)]
             got = self._tok.encode_batch_fast(part, add_special_tokens=False)
-            memo.update(zip(part, (np.asarray(e.ids, dtype="<u4").tobytes() for e in got)))
+            memo.update(zip(part, (array("I", e.ids).tobytes() for e in got)))
         get = memo.__getitem__
         out = [self.whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
         for p in new:
