@@ -16,7 +16,9 @@ Defined cases: null and empty texts have no sentence and score 0; labels other
 than 0 and 1, null ids and ids without a document are not learned from; a
 document labelled both 0 and 1 counts as 1; without a positive and a negative
 row every score is 0. A sentence of over ``SENTENCE_WORDS`` words is read in parts
-of that many. Other columns pass through :func:`reject_toxic` untouched, whatever
+of that many. A word of over ``LONG`` characters counts as several, parts of ``PART``
+that overlap by ``OVERLAP``, so that each of its n-grams is in one; this also serves
+scripts without spaces, whose sentence ends count like ``.``. Other columns pass through :func:`reject_toxic` untouched, whatever
 their names.
 """
 
@@ -44,32 +46,54 @@ POSITIVE_WEIGHT = 2.0
 MAX_POSITIVE = 1000
 MAX_NEGATIVE = 2000
 MEMO_WORDS = 1 << 19
-SENTENCE = re.compile(r"[^.!?\n]+")
+LONG = 40
+# About a word's length: the root of the number of features divides a part's weight.
+PART = 12
+OVERLAP = 4
+# Stands at the end of a part where its word goes on; no character of any text.
+MORE = "\ufdd0"
+# Full stops, question and exclamation marks of other scripts, line and paragraph separators.
+SENTENCE = re.compile(r"[^.!?\n。｡．！？।॥؟۔።។။։\u2028\u2029]+")
 WORD = re.compile(r"\S+")
 EDGES = "\"'()[]{}<>,;:*_-–—«»„“”‘’¿¡"
 
 
 def word_features(word: str) -> list[int]:
-    """Hashed features of a lower-case word."""
+    """Hashed features of a lower-case word, of at most ``LONG`` characters, or part of one."""
     w = word.strip(EDGES)
     if not w:
         return []
-    padded = f"^{w[:40]}$"
-    grams = {w} | {padded[i : i + n] for n in (3, 4, 5) for i in range(len(padded) - n + 1)}
+    core = w.strip(MORE)
+    padded = f"{'' if w[0] == MORE else '^'}{core}{'' if w[-1] == MORE else '$'}"
+    grams = ({w} if w == core else set()) | {padded[i : i + n] for n in (3, 4, 5) for i in range(len(padded) - n + 1)}
     return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams]
 
 
+def _parts(sentence: str):
+    """``(start, end, word)`` of the words of a sentence, long ones in parts."""
+    for m in WORD.finditer(sentence):
+        w = m.group()
+        core = w.strip(EDGES) if len(w) > LONG else ""
+        if len(core) <= LONG:
+            yield m.start(), m.end(), w
+            continue
+        first = m.start() + len(w) - len(w.lstrip(EDGES))
+        for at in range(0, len(core) - OVERLAP, PART - OVERLAP):
+            end = min(at + PART, len(core))
+            yield first + at, first + end, MORE * (at > 0) + core[at:end] + MORE * (end < len(core))
+
+
 def sentences(text: str):
     """``(start, end, words)`` of every sentence or part of one."""
     for m in SENTENCE.finditer(text):
         words = m.group().split()
-        if len(words) <= SENTENCE_WORDS:
+        if len(words) <= SENTENCE_WORDS and max(map(len, words), default=0) <= LONG:
             if words:
                 yield m.start(), m.end(), words
             continue
-        places = WORD.finditer(m.group())
+        places = _parts(m.group())
         while part := list(islice(places, SENTENCE_WORDS)):
-            yield m.start() + part[0].start(), m.start() + part[-1].end(), [p.group() for p in part]
+            yield m.start() + part[0][0], m.start() + part[-1][1], [w for _, _, w in part]
 
 
 @dataclass

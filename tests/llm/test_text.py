@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -74,6 +75,32 @@ def test_long_sentences_are_read_in_parts():
     assert [len(w) for *_, w in parts] == [32, 32, 32, 4]
 
 
+def test_long_words_are_read_whole():
+    rng = random.Random(9)
+    letters = "的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年"
+    line = "".join(rng.choices(letters, k=300))
+    grams = lambda text: {f for *_, words in toxicity.sentences(text) for w in words for f in toxicity.word_features(w)}
+    want = {zlib.crc32(f"^{line}$"[i : i + n].encode()) % toxicity.BUCKETS for n in (3, 4, 5) for i in range(len(line) + 3 - n)}
+    assert grams(line) == want
+    assert [line[a:b] for a, b, _ in toxicity.sentences(f"{line[:9]}。{line[9:20]}！{line[20:30]}")][0] == line[:9]
+    assert len(list(toxicity.sentences("甲乙。丙丁！戊己？庚"))) == 4
+    parts = list(toxicity.sentences("x" * 5000))
+    assert len(parts) == 20 and parts[0][0] == 0 and parts[-1][1] == 5000 and all(len(w) <= 32 for *_, w in parts)
+
+
+def test_toxic_passage_far_into_a_long_word_is_found():
+    rng = random.Random(10)
+    letters = "的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年"
+    docs = []
+    for i in range(300):
+        t = "".join(rng.choices(letters, k=200))
+        at = rng.randint(60, 180)
+        docs.append((t[:at] + "毒蛇咬伤" + t[at:], 1) if i % 3 == 0 else (t, 0))
+    model = toxicity.learn(([w for *_, w in toxicity.sentences(t)] for t, _ in docs[:200]), [y for _, y in docs[:200]])
+    scorer = model.scorer()
+    assert np.mean([(scorer.document(t)[0] >= 0.5) == y for t, y in docs[200:]]) >= 0.95
+
+
 # ---------------------------------------------------------------- languages
 
 
