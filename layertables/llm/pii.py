@@ -1,6 +1,7 @@
 """Surrogates for personal data, with DataFrame functions only.
 
-Found in whole texts: e-mail addresses, phone numbers, card numbers (by their
+Found in whole texts: e-mail addresses, phone numbers (after + or 0, plain or in any
+groups, 7 to 15 digits; 3-3-4 numbers; Spanish numbers in groups), card numbers (by their
 first and check digits), IPv4 addresses, social security numbers, and names behind a title that tells the
 gender. Every entity is brought to a normal form (letters in lower case, digits
 without separators), so that all its spellings, in all documents, get one
@@ -42,7 +43,16 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IPV4 = rf"(?<![\d.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?!\d|\.\d)"
 CARD = r"(?<![\d-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?![\d-])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+# In order: codes and three groups, any groups after +, 3-3-4, any groups after 0 (no dates), Spanish groups.
+PHONE = (
+    r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{2,4}(?![ ./-]?\d)"
+    r"|\+\d{1,3}[ .-]?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{2,4}(?!\d)|\+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    r"|\+[1-9](?:[ ./()-]{0,2}\d){6,14}(?!\d)"
+    r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?<![\d.,/+-])(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|\d{3} \d{3} \d{4})(?![\d-]|[.,]\d)"
+    r"|(?<![\d.,:/+-])(?!\d{2}[ ./-]\d{2}[ ./-]\d{4}(?!\d))\(?0{1,2}[1-9](?:(?:\) ?|[ ./-])?\d){5,12}(?![\d-]|[.,:]\d)"
+    r"|(?<![\d.,/+-])[6-9]\d(?:\d[ .-]\d\d|[ .-]\d{3})[ .-]\d\d[ .-]\d\d(?![\d-]|[.,]\d)"
+)
 WORD = r"\p{Lu}[\p{L}'’-]+"
 NAME = rf"(?=[MHSFDгΚ])(?<![\p{{L}}\d])(?:{FEMALE}|{MALE})\.? {WORD}(?: {WORD})?"
 # A look at the next character spares most places the alternatives.
@@ -70,7 +80,7 @@ def _kind(raw: Column) -> Column:
     whole = lambda p: raw.rlike(f"^(?:{p})$")
     kinds = [("email", EMAIL), ("ip", r"\d+\.\d+\.\d+\.\d+"), ("card", r"\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}"), ("ssn", r"\d{3}-\d{2}-\d{4}")]
     out = reduce(lambda c, kp: c.when(whole(kp[1]), F.lit(kp[0])), kinds, F.when(F.lit(False), F.lit("")))
-    return out.when(raw.rlike(r"^[+(]"), F.lit("phone")).when(raw.rlike(rf"^(?:{FEMALE})\.? "), F.lit("f")).otherwise(F.lit("m"))
+    return out.when(raw.rlike(r"^[+(0-9]"), F.lit("phone")).when(raw.rlike(rf"^(?:{FEMALE})\.? "), F.lit("f")).otherwise(F.lit("m"))
 
 
 def _script(word: Column) -> Column:
@@ -154,8 +164,10 @@ def _with_surrogate(entities: DataFrame, key: str) -> DataFrame:
     right = F.pmod(-_luhn(F.concat(body, F.lit("0"))), F.lit(10))
     check = F.when(F.pmod(_luhn(norm), F.lit(10)) == 0, right).otherwise(F.pmod(right + 1 + _draw(F.lit(20), F.lit(9)), F.lit(10)))
     card = F.concat(body, check.cast("int").cast("string"))
-    # Phone: the country code (what is before the last ten digits) and a leading 2 to 9 stay a phone number.
-    code = F.when(F.length(norm) > 10, F.expr("substring(norm, 1, length(norm) - 10)")).otherwise(F.lit(""))
+    # Phone: the country code (what is before the last ten digits, two digits in Europe) or the leading
+    # zeros and a leading 2 to 9 stay a phone number.
+    wide = F.greatest(F.length(norm) - 10, F.when(norm.rlike("^[34]"), 2).otherwise(0))
+    code = F.when(norm.startswith("0"), F.regexp_extract(norm, "^0+", 0)).when(F.length(norm) > 10, F.substring(norm, F.lit(1), wide)).otherwise(F.lit(""))
     rest = F.concat((_draw(F.lit(30), F.lit(8)) + 2).cast("string"), F.substring(digits, F.length(code) + 2, F.length(norm)))
     phone = F.concat(code, rest)
     out = F.when(F.col("kind") == "email", email).when(F.col("kind") == "ip", ip).when(F.col("kind") == "card", card)

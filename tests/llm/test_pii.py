@@ -92,3 +92,27 @@ def test_whole_table(spark):
                 assert seen.setdefault(x, y) == y
         assert r["n_entities"] or r["old"] == r["text"]
     assert len(set(seen.values())) == len(seen) > 30 and not set(seen) & set(seen.values())
+
+
+PHONES = [
+    "+33 6 12 34 56 78", "06 12 34 56 78", "+34 612 34 56 78", "+49 30 1234 56789", "555-123-4567", "+49 (0)30 123456", "0612345678",
+    "030/1234567", "(030) 123 4567", "0033 6 12 34 56 78", "+44 20 7946 0958", "612 34 56 78", "91 123 45 67", "555.123.4567", "+34912345678",
+]
+
+
+def test_phone_forms_of_the_tables_languages(spark):
+    rows = [(k, f"call {p}, or write") for k, p in enumerate(PHONES)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pii.replace(df, "k").collect()}
+    shape = lambda t: re.sub(r"\d", "9", t)
+    for k, p in enumerate(PHONES):
+        assert got[k]["kinds"] == ["phone"] and p not in got[k]["text"] and shape(got[k]["text"]) == shape(rows[k][1]), (p, got[k])
+    assert "call +33 " in got[0]["text"] and "call 0" in got[1]["text"]
+    phones = {re.sub(r"\D", "", r["text"]) for r in got.values()}
+    assert len(phones) == len({re.sub(r"\D", "", p) for p in PHONES})
+
+
+def test_numbers_that_are_no_phones_stay(spark):
+    rows = [(0, "on 01.02.2024, 2024-01-15 at 08:30:15, 0.1234567 of 1 000 000, 01/02/2024, 12,345,678 and 1234567 in 3.14159265")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert pii.replace(df, "k").first()["text"] == rows[0][1]
