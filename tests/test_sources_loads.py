@@ -85,7 +85,7 @@ def test_load_types(spark):
     assert rows(up.df) == [(1, "a", "x"), (2, "BB", "z"), (3, "c", "z")]
     # A column name means "greatest wins" (latest).
     assert rows(upsert(None, inc, "id", ["name"])) == [(2, "BB", "z"), (3, "c", "z")]
-    with pytest.raises(ValueError, match="unknown load_type"):
+    with pytest.raises(ValueError, match="no load type"):
         plan_load(inc, ex, LoadSpec("merge"))
     with pytest.raises(ValueError):
         plan_load(inc, ex, LoadSpec("scd2", keys="id"))
