@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layertables.llm import ann, chat, decontam, langid, packing, pii, secrets, simhash, token_store, toxicity
+from layertables.llm import ann, chat, decontam, langid, packing, pii, runs, secrets, simhash, token_store, toxicity
 from layertables.llm.common import table
 from layertables.llm.tokens import public_path
 from layertables.session import scratch_path
@@ -62,6 +62,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.detect(table(spark, sf_dir, "documents"), prepare=runs.tail_repeats))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_chats,
         op10_decontaminate,
+        op13_runs,
     )
 }
 

@@ -23,10 +23,11 @@ COLUMNS = {
     "op8_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op9_chats": "conv_id bigint, text string",
     "op10_decontaminate": "doc_id bigint, item_id bigint",
+    "op13_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = [n for n in e.queries() if n.startswith("op") or n == "pipeline"]
     assert sorted(names) == sorted([*COLUMNS, "pipeline"])
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
@@ -40,7 +41,7 @@ def test_columns(spark, name):
         column, kind = c.split(" ")
         assert types[column] == kind
     rows = df.collect()
-    if name in ("op1_token_store", "op2_toxicity", "op3_surrogates", "op4_language_id", "op6_simhash", "op8_secrets"):
+    if name in ("op1_token_store", "op2_toxicity", "op3_surrogates", "op4_language_id", "op6_simhash", "op8_secrets", "op13_runs"):
         docs = spark.read.parquet(f"{SF}/documents.parquet")
         assert sorted(r["doc_id"] for r in rows) == sorted(r[0] for r in docs.select("doc_id").collect())
 
