@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layertables.llm import ann, chat, decontam, langid, packing, pii, runs, secrets, simhash, token_store, toxicity
+from layertables.llm import ann, chat, decontam, langid, packing, pii, prefix_trie, runs, secrets, simhash, token_store, toxicity
 from layertables.llm.common import table
 from layertables.llm.tokens import public_path
 from layertables.session import scratch_path
@@ -62,6 +62,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.detect(table(spark, sf_dir, "documents"), prepare=runs.tail_repeats))
 
@@ -79,10 +83,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_chats,
         op10_decontaminate,
+        op12_prefix_trie,
         op13_runs,
     )
 }
 
 
+# The rebuilt conversations as lists of (role, text), every prefix of them, and the
+# totals of a subtree by membership: a node lies below another if its smallest member
+# also begins with that. crc32 is written bit by bit.
+PREFIX_TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (
+  SELECT *, xor(list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda acc, x: list_reduce(list_concat([xor(acc, x)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                 lambda a, z: xor(a >> 1, (a & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 6 AS h
+  FROM turns),
+whole AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS s
+  FROM heads c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 100),
+prefix AS (
+  SELECT conv_id, len(s) AS n, d, s[1:d] AS k, s[1:d - 1] AS up
+  FROM whole, unnest(range(len(s) + 1)) AS g(d)),
+node AS (
+  SELECT d, k, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends,
+         CASE WHEN d = 0 THEN 0 ELSE length(k[d].t) END AS size
+  FROM prefix GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY d, up),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids ON node.d = kids.d AND node.k = kids.k),
+below AS (
+  SELECT p.d, p.k, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves, sum((x.n_convs - 1) * x.size) AS saved_tokens
+  FROM prefix p JOIN full_node x ON x.conv_id = p.conv_id AND x.d >= p.d GROUP BY p.d, p.k)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(v.n_convs AS BIGINT) AS n_convs,
+       CAST(v.n_children AS BIGINT) AS n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM full_node v JOIN below b ON b.d = v.d AND b.k = v.k LEFT JOIN node u ON v.d > 0 AND u.d = v.d - 1 AND u.k = v.up
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_prefix_trie": PREFIX_TRIE_SQL}
