@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layertables.llm import ann, chat, decontam, langid, packing, pii, prefix_trie, runs, secrets, simhash, token_store, toxicity
+from layertables.llm import ann, chat, cutting_stock, decontam, langid, packing, pii, prefix_trie, runs, secrets, simhash, token_store, toxicity
 from layertables.llm.common import table
 from layertables.llm.tokens import public_path
 from layertables.session import scratch_path
@@ -62,6 +62,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"), end_id=2, max_tokens=4096)
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secrets,
         op9_chats,
         op10_decontaminate,
+        op11_cutting_stock,
         op12_prefix_trie,
         op13_runs,
     )
