@@ -5,14 +5,15 @@ A history row is a business row plus ``effective_from``, ``effective_to``
 
 The merge is one keyed pass instead of a chain of joins: history and batch
 are unioned, hash-partitioned once on the natural key, and every later step
-is a window *within* that key, so Spark reuses the single exchange for all
+is a window *within* that key, so the one exchange and one sort serve all
 of them (no join of the history). A batch row opens a version only when
 its tracked values differ null-safely from the row just before it in time,
 which covers new, changed, unchanged, late, repeated and replayed rows with
 one rule:
 
 * batch rows are first reduced to one per (key, effective_from) by a
-  declared tie-break: an aggregate, combined before its exchange, so rows
+  declared tie-break, in the same sort; of keys found hot they are reduced by an
+  aggregate that is combined before its exchange, so that very many rows
   repeated for one key and date never meet in one task;
 * a surviving batch row whose (key, effective_from, tracked values) is
   already stored is a replay and is dropped (after the tie-break, so a
@@ -27,7 +28,10 @@ one rule:
   stay.
 
 Batch rows with a NULL key are not loadable and left out (``apply_scd2``
-quarantines them); stored ones are passed on.
+quarantines them); stored ones are passed on. A stored version whose end is NULL is open.
+
+:func:`merge_changes` gives the same merge as the rows that it inserts, closes and
+deletes; :func:`apply_changes` brings them into a stored history.
 
 For a large history and a small batch (the daily case: the history's size
 estimate is at least ``split_ratio`` times the batch's, and the batch keys are
@@ -171,7 +175,7 @@ def _prepare(incoming: DataFrame, existing: DataFrame | None) -> tuple[DataFrame
         missing = [c for c in VALIDITY if c not in existing.columns]
         if missing:
             raise ValueError(f"existing history lacks {missing}")
-        existing = existing.withColumns({VALID_TO: F.col(VALID_TO).cast(tt)})
+        existing = existing.withColumns({VALID_TO: F.coalesce(F.col(VALID_TO).cast(tt), open_end(tt))})
         base = [c for c in existing.columns if c not in VALIDITY]
         base += [c for c in inc.columns if c not in VALIDITY and c not in base]
     else:
@@ -190,10 +194,12 @@ _IN_TO = "__lt_in_to"
 _PICK = "__lt_pick"
 _ORDER_TO = "__lt_order_to"
 _CARRIED = "__lt_carried"
+_OLD_TO = "__lt_old_to"
+_GONE = "__lt_gone"
 
 
 def _one_per_date(inc: DataFrame, keys: list[str], tracked: list[str], tie_break: Sequence[Column] | None) -> DataFrame:
-    """The tie-break: one batch row per (key, effective_from)."""
+    """The tie-break as an aggregate: one batch row per (key, effective_from)."""
     at = [*keys, VALID_FROM]
     rest = [c for c in inc.columns if c not in at]
     if tie_break is not None:
@@ -219,7 +225,7 @@ def _local_pass(
     u: DataFrame, part: list[str], tracked: list[str], tie: list[Column], missing_keys: str, single: bool = False
 ) -> DataFrame:
     """The merge inside one partition group ``part`` (the key, or key and
-    time bucket): replay drop, ends of late rows, collapse, next start. Every window
+    time bucket): tie-break, replay drop, ends of late rows, collapse, next start. Every window
     partitions by ``part`` plus more, so the one exchange on ``part`` serves
     all of them. Adds ``_RNW`` (position), ``_LAST`` (last row before the
     collapse), ``_LEAD`` (next kept start) and ``_HASB`` (group has batch rows).
@@ -241,6 +247,10 @@ def _local_pass(
         u = u.withColumn(_HASB, F.max(F.when(src >= 1, 1).otherwise(0)).over(Window.partitionBy(*part)))
         u = u.filter(src < 2)
 
+    # The tie-break: one batch row per (key, effective_from).
+    same = Window.partitionBy(*part, VALID_FROM, *srcs).orderBy(*order[1 + len(srcs) :])
+    u = u.withColumn(_RN, F.row_number().over(same)).filter((src == 0) | (F.col(_RN) == 1)).drop(_RN)
+
     if not single:
         # Replay: the batch's row for (key, effective_from) is already stored.
         day = w_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -272,14 +282,26 @@ def _local_pass(
 
 
 def _finish(u: DataFrame, next_start: Column, present: Column | None, end: Column, missing_keys: str, close_at: Column | None) -> DataFrame:
-    """Close each version where its successor starts; existing gaps stay."""
+    """Close each version where its successor starts; existing gaps stay. ``_GONE`` marks
+    versions that the policy for missing keys removes."""
     u = u.withColumn(VALID_TO, F.least(F.col(VALID_TO), F.coalesce(F.col(_LEAD), next_start, end)))
     if missing_keys == "close":
         absent_open = (present == 0) & (F.col(VALID_TO) == end)
         u = u.withColumn(VALID_TO, F.when(absent_open, F.greatest(F.col(VALID_FROM), close_at)).otherwise(F.col(VALID_TO)))
-    elif missing_keys == "drop":
-        u = u.filter(~((present == 0) & (F.col(VALID_TO) == end)))
-    return u.withColumn(IS_CURRENT, F.col(VALID_TO) == end)
+    gone = (present == 0) & (F.col(VALID_TO) == end) if missing_keys == "drop" else F.lit(False)
+    return u.withColumns({_GONE: gone, IS_CURRENT: F.col(VALID_TO) == end})
+
+
+def _result(u: DataFrame, out_cols: list[str], changes: bool) -> DataFrame:
+    """The merged rows, or only those that the merge inserts, closes or deletes."""
+    if not changes:
+        return u.filter(~F.col(_GONE)).select(*out_cols)
+    kind = (
+        F.when(F.col(_SRC) == 1, F.lit(INSERT))
+        .when(F.col(_GONE), F.lit(DELETE))
+        .when(~F.col(VALID_TO).eqNullSafe(F.col(_OLD_TO)), F.lit(CLOSE))
+    )
+    return u.select(*out_cols, kind.alias(CHANGE), F.col(_OLD_TO).alias(PREVIOUS_TO)).filter(F.col(CHANGE).isNotNull())
 
 
 def _hot_pass(
@@ -342,39 +364,47 @@ def _window_merge(
     close_at: Column | None,
     present: DataFrame | None,
     skew: SkewSpec | None = None,
+    size: int | None = None,
+    changes: bool = False,
+    tie_break: Sequence[Column] | None = None,
 ) -> DataFrame:
     end = open_end(tt)
-    parts = [inc.withColumn(_SRC, F.lit(1))]
+    none = F.lit(None).cast(tt)
+    parts = [inc.withColumns({_SRC: F.lit(1), _OLD_TO: none})]
     if hist is not None:
-        parts.insert(0, hist.withColumn(_SRC, F.lit(0)))
+        parts.insert(0, hist.withColumns({_SRC: F.lit(0), _OLD_TO: F.col(VALID_TO)}))
     if present is not None and missing_keys != "keep":
         parts.append(present.select(*keys).withColumn(_SRC, F.lit(2)))
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
     present_col = F.col(_HASB) if missing_keys != "keep" else None
     single = len(parts) == 1
-    bounds = hot_key_bounds(u, keys, VALID_FROM, skew)
+    bounds = hot_key_bounds(u, keys, VALID_FROM, skew, size)
     if bounds is None:
         # The one exchange: every window partitions by the key (plus more).
         loc = _local_pass(u.repartition(*keys), keys, tracked, tie, missing_keys, single)
-        return _finish(loc, F.lit(None).cast(tt), present_col, end, missing_keys, close_at).select(*out_cols)
+        return _result(_finish(loc, none, present_col, end, missing_keys, close_at), out_cols, changes)
     tagged = tag_buckets(u, bounds, keys, VALID_FROM)
     cold = tagged.filter(F.col(BUCKET).isNull()).drop(BUCKET)
     loc = _local_pass(cold.repartition(*keys), keys, tracked, tie, missing_keys, single)
-    normal = _finish(loc, F.lit(None).cast(tt), present_col, end, missing_keys, close_at).select(*out_cols)
-    hot = _hot_pass(tagged.filter(F.col(BUCKET).isNotNull()), keys, tracked, tie, end, missing_keys, close_at, single)
-    return normal.unionByName(hot.select(*out_cols))
+    normal = _result(_finish(loc, none, present_col, end, missing_keys, close_at), out_cols, changes)
+    hot = tagged.filter(F.col(BUCKET).isNotNull())
+    one = _one_per_date(hot.filter(F.col(_SRC) == 1), keys, tracked, tie_break)
+    hot = one if single else hot.filter(F.col(_SRC) != 1).unionByName(one)
+    hot = _hot_pass(hot, keys, tracked, tie, end, missing_keys, close_at, single)
+    return normal.unionByName(_result(hot, out_cols, changes))
 
 
 def _untouched(hist: DataFrame, tt: T.DataType, missing_keys: str, close_at: Column | None) -> DataFrame:
     """History rows of keys absent from the batch, under the missing-key policy."""
     end = open_end(tt)
+    hist = hist.withColumns({_SRC: F.lit(0), _OLD_TO: F.col(VALID_TO), _GONE: F.lit(False)})
     if missing_keys == "close":
         hist = hist.withColumn(
             VALID_TO, F.when(F.col(VALID_TO) == end, F.greatest(F.col(VALID_FROM), close_at)).otherwise(F.col(VALID_TO))
         ).withColumn(IS_CURRENT, F.col(VALID_TO) == end)
     elif missing_keys == "drop":
-        hist = hist.filter(F.col(VALID_TO) != end)
+        hist = hist.withColumn(_GONE, F.col(VALID_TO) == end)
     return hist
 
 
@@ -410,6 +440,41 @@ def merge_scd2(
     ``skew`` sets when a key is hot enough to be split into time buckets
     (see :mod:`layertables.operators.skew`); ``None`` turns detection off.
     """
+    return _merge(
+        incoming_df, existing_df, scd2_key, track_columns, missing_keys, close_at, present_keys, tie_break, strategy, split_ratio, skew, False
+    )
+
+
+def merge_changes(
+    incoming_df: DataFrame,
+    existing_df: DataFrame | None,
+    scd2_key: str | Sequence[str],
+    track_columns: Sequence[str],
+    *,
+    missing_keys: str = "keep",
+    close_at: Any = None,
+    present_keys: DataFrame | None = None,
+    tie_break: Sequence[Column] | None = None,
+    strategy: str = "auto",
+    split_ratio: float = SPLIT_RATIO,
+    skew: SkewSpec | None = SkewSpec(),
+) -> DataFrame:
+    """The merge of :func:`merge_scd2` as change rows instead of the full history.
+
+    Columns of the history as they are after the merge, ``change`` (``insert``: a new version;
+    ``close``: a stored version whose end moved; ``delete``: a stored version that
+    ``missing_keys="drop"`` removes) and ``previous_effective_to`` (the stored end; NULL for
+    an insert). Untouched versions yield no row, so the result grows with the batch.
+    ``apply_changes(history, merge_changes(batch, history, ...))`` equals the full merge.
+    """
+    return _merge(
+        incoming_df, existing_df, scd2_key, track_columns, missing_keys, close_at, present_keys, tie_break, strategy, split_ratio, skew, True
+    )
+
+
+def _merge(
+    incoming_df, existing_df, scd2_key, track_columns, missing_keys, close_at, present_keys, tie_break, strategy, split_ratio, skew, changes
+) -> DataFrame:
     keys = _as_list(scd2_key)
     tracked = list(track_columns or [])
     if not keys:
@@ -430,31 +495,94 @@ def merge_scd2(
         if hist is not None and c not in hist.columns:
             hist = hist.withColumn(c, F.lit(None).cast(inc.schema[c].dataType))
 
-    # Only loadable rows; one per key and date.
-    inc = _one_per_date(inc.filter(~any_null(keys)), keys, tracked, tie_break)
+    # Only loadable rows. An order of one's own ranks rows before their ends do: a window of its own.
+    inc = inc.filter(~any_null(keys))
+    if tie_break is not None:
+        inc = _one_per_date(inc, keys, tracked, tie_break)
     if present_keys is not None:
         present_keys = present_keys.select(*keys).filter(~any_null(keys))
     batch_keys = inc.select(*keys)
     if present_keys is not None:
         batch_keys = batch_keys.unionByName(present_keys)
 
-    use_split = hist is not None and strategy != "window"
-    if use_split and strategy == "auto":
+    # Every input is estimated once; each estimate optimises a plan.
+    auto = hist is not None and strategy == "auto"
+    inc_size = estimated_bytes(incoming_df) if auto or skew is not None else 0
+    hist_size = estimated_bytes(existing_df) if hist is not None and (auto or skew is not None) else 0
+    use_split = hist is not None and strategy == "split"
+    if auto:
         # Splitting pays when the batch touches a small part of the history
         # (the daily case); Catalyst's size estimates decide that without a job,
         # and both ways give the same rows.
-        use_split = estimated_bytes(hist) >= split_ratio * estimated_bytes(incoming_df) and estimated_bytes(
-            batch_keys
-        ) <= broadcast_threshold(inc.sparkSession)
+        use_split = hist_size >= split_ratio * inc_size and estimated_bytes(batch_keys) <= broadcast_threshold(inc.sparkSession)
+    size = inc_size + hist_size
+    rest = [tie_break] if tie_break is not None else [None]
     if not use_split:
-        return _window_merge(hist, inc, keys, tracked, tie, out_cols, tt, missing_keys, close_col, present_keys, skew)
+        return _window_merge(
+            hist, inc, keys, tracked, tie, out_cols, tt, missing_keys, close_col, present_keys, skew, size, changes, *rest
+        )
 
     # Spark broadcasts the keys where they are below its threshold.
     batch_keys = batch_keys.distinct()
     touched = hist.join(batch_keys, keys, "left_semi")
-    rest = _untouched(hist.join(batch_keys, keys, "left_anti"), tt, missing_keys, close_col)
-    merged = _window_merge(touched, inc, keys, tracked, tie, out_cols, tt, "keep", None, None, skew)
-    return merged.unionByName(rest.select(*out_cols))
+    merged = _window_merge(touched, inc, keys, tracked, tie, out_cols, tt, "keep", None, None, skew, size, changes, *rest)
+    if changes and missing_keys == "keep":
+        return merged
+    untouched = _untouched(hist.join(batch_keys, keys, "left_anti"), tt, missing_keys, close_col)
+    return merged.unionByName(_result(untouched, out_cols, changes))
+
+
+# --------------------------------------------------------------------------- change rows
+
+CHANGE = "change"
+PREVIOUS_TO = "previous_effective_to"
+# Kinds of change rows.
+INSERT, CLOSE, DELETE = "insert", "close", "delete"
+
+
+def apply_changes(history: DataFrame | None, changes: DataFrame, scd2_key: str | Sequence[str], track_columns: Sequence[str]) -> DataFrame:
+    """The history after the change rows of one merge (see :func:`merge_changes`).
+
+    A stored version is recognised by key, start, tracked values (NULL-safe) and the end it had
+    before the merge; its other columns stay as stored. Versions that are already as a change
+    row wants them stay, and an insert that is already stored is not added again, so changes
+    that were applied in part, or twice, give the same history. A history of ``None`` is empty."""
+    keys, tracked = _as_list(scd2_key), list(track_columns)
+    cols = [c for c in changes.columns if c not in (CHANGE, PREVIOUS_TO)]
+    inserts = changes.filter(F.col(CHANGE) == INSERT).select(*cols)
+    if history is None or not history.columns:
+        return inserts
+    tt = changes.schema[VALID_TO].dataType
+    history = history.withColumn(VALID_TO, F.coalesce(F.col(VALID_TO).cast(tt), open_end(tt)))
+    for f in changes.schema.fields:
+        if f.name in cols and f.name not in history.columns:
+            history = history.withColumn(f.name, F.lit(None).cast(f.dataType))
+    named = lambda c: f"__lt_c_{c}"
+    ident = [VALID_FROM, *tracked]
+    moved = changes.filter(F.col(CHANGE) != INSERT).select(
+        *[F.col(c).alias(named(c)) for c in [*keys, *ident, VALID_TO]], F.col(PREVIOUS_TO).alias(_OLD_TO), F.col(CHANGE).alias(named(CHANGE))
+    )
+    on = [F.col(k) == F.col(named(k)) for k in keys]
+    on += [F.col(c).eqNullSafe(F.col(named(c))) for c in ident] + [F.col(VALID_TO) == F.col(_OLD_TO)]
+    out = history.join(moved, reduce(lambda a, b: a & b, on), "left")
+    kind = F.col(named(CHANGE))
+    out = out.filter(kind.isNull() | (kind != DELETE))
+    to = F.when(kind == CLOSE, F.col(named(VALID_TO))).otherwise(F.col(VALID_TO))
+    out = out.withColumn(VALID_TO, to).withColumn(IS_CURRENT, F.when(kind == CLOSE, to == open_end(tt)).otherwise(F.col(IS_CURRENT)))
+    out = out.select(*[c for c in history.columns])
+    # Inserts that are there already (by key, start, end and tracked values) are left out.
+    there = history.select(*[F.col(c).alias(named(c)) for c in [*keys, *ident, VALID_TO]])
+    on = [F.col(k) == F.col(named(k)) for k in keys]
+    on += [F.col(c).eqNullSafe(F.col(named(c))) for c in [*ident, VALID_TO]]
+    new = inserts.join(there, reduce(lambda a, b: a & b, on), "left_anti")
+    return out.unionByName(new, allowMissingColumns=True)
+
+
+def replay_changes(history: DataFrame | None, runs: Sequence[DataFrame], scd2_key: str | Sequence[str], track_columns: Sequence[str]) -> DataFrame:
+    """The history after the change rows of several merges, oldest first."""
+    for changes in runs:
+        history = apply_changes(history, changes, scd2_key, track_columns)
+    return history
 
 
 # --------------------------------------------------------------------------- key sets

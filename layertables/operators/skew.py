@@ -62,12 +62,16 @@ def broadcast_threshold(spark) -> int:
     return max(0, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw)) if not raw.lstrip("-").isdigit() else int(raw))
 
 
-def hot_key_bounds(df: DataFrame, keys: Sequence[str], time_col: str, spec: SkewSpec | None) -> DataFrame | None:
+def hot_key_bounds(
+    df: DataFrame, keys: Sequence[str], time_col: str, spec: SkewSpec | None, size: int | None = None
+) -> DataFrame | None:
     """``(keys..., __lt_bounds)`` for every hot key, or ``None`` when there is none.
 
-    ``__lt_bounds`` is the sorted array of bucket boundaries (times).
+    ``__lt_bounds`` is the sorted array of bucket boundaries (times). ``size`` is the
+    size estimate of ``df`` where the caller has one. Keys are counted first; quantiles are
+    taken of the hot ones alone.
     """
-    if spec is None or estimated_bytes(df) < spec.min_input_bytes:
+    if spec is None or (estimated_bytes(df) if size is None else size) < spec.min_input_bytes:
         return None
     s = df.select(*keys, time_col).filter(F.col(time_col).isNotNull())
     for k in keys:
@@ -75,13 +79,21 @@ def hot_key_bounds(df: DataFrame, keys: Sequence[str], time_col: str, spec: Skew
     if spec.sample_fraction < 1:
         s = s.sample(withReplacement=False, fraction=spec.sample_fraction, seed=spec.seed)
     threshold = max(1, math.ceil(spec.hot_rows * spec.sample_fraction))
+    counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("__lt_n")).filter(F.col("__lt_n") >= threshold).collect()
+    if not counts:
+        return None
+    key_fields = [df.schema[k] for k in keys]
+    hot = df.sparkSession.createDataFrame(
+        [tuple(r) for r in counts], T.StructType([*key_fields, T.StructField("__lt_n", T.LongType(), False)])
+    )
     pct = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
     per_bucket = max(1, math.ceil(spec.bucket_rows * spec.sample_fraction))
     step = F.greatest(F.lit(1), F.floor(F.lit(MAX_BUCKETS) * per_bucket / F.col("__lt_n"))).cast("int")
     agg = (
-        s.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__lt_n"), F.percentile_approx(time_col, pct, 10_000).alias(BOUNDS))
-        .filter(F.col("__lt_n") >= threshold)
+        s.join(hot.select(*keys), list(keys), "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx(time_col, pct, 10_000).alias(BOUNDS))
+        .join(hot, list(keys))
         .withColumn("__lt_step", step)
         .withColumn(BOUNDS, F.filter(BOUNDS, lambda _, i: (i + 1) % F.col("__lt_step") == 0))
         .select(*keys, F.sort_array(F.array_distinct(BOUNDS)).alias(BOUNDS))
@@ -90,7 +102,7 @@ def hot_key_bounds(df: DataFrame, keys: Sequence[str], time_col: str, spec: Skew
     if not rows:
         return None
     tt = df.schema[time_col].dataType
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(BOUNDS, T.ArrayType(tt), False)])
+    schema = T.StructType(key_fields + [T.StructField(BOUNDS, T.ArrayType(tt), False)])
     return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
 

@@ -35,9 +35,8 @@ def test_window_merge_is_one_exchange(spark):
     m = merge_scd2(b, hist, "id", ["v"], strategy="window")
     p = plan(m)
     assert "SortMergeJoin" not in p and "BroadcastHashJoin" not in p
-    # One for both sides by key; one for the batch alone, behind its partial tie-break.
-    assert n_shuffles(m) == 2, p
-    assert p.count("min_by") >= 2
+    assert n_shuffles(m) == 1, p
+    assert p.count("Sort [") == 1 and "min_by" not in p, p
 
 
 def test_split_merge_shuffles_only_touched_history(spark, tmp_table):

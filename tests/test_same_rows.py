@@ -123,10 +123,13 @@ def test_times_are_not_cut_to_days(spark):
 
 def test_many_rows_of_one_key_and_date(spark):
     batch = spark.range(300_000).selectExpr("1 as id", "cast(id % 1000 as string) as v", "date'2020-02-01' as effective_from")
-    m = merge_scd2(batch, hist_df(spark, [(1, "A", 0, None)]), "id", ["v"])
+    want = [(1, "0", D("2020-02-01"), OPEN, True), (1, "A", day(0), D("2020-02-01"), False)]
+    assert rows(merge_scd2(batch, hist_df(spark, [(1, "A", 0, None)]), "id", ["v"]), *COLS) == want
+    # Found hot, the rows are combined before they meet.
+    m = merge_scd2(batch, hist_df(spark, [(1, "A", 0, None)]), "id", ["v"], skew=SkewSpec(hot_rows=1000, sample_fraction=0.1, min_input_bytes=0))
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "collect_list" not in plan
-    assert rows(m, *COLS) == [(1, "0", D("2020-02-01"), OPEN, True), (1, "A", day(0), D("2020-02-01"), False)]
+    assert rows(m, *COLS) == want
 
 
 def test_classification_is_one_pass(spark, tmp_table):
