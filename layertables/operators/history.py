@@ -562,8 +562,8 @@ def apply_changes(history: DataFrame | None, changes: DataFrame, scd2_key: str |
     moved = changes.filter(F.col(CHANGE) != INSERT).select(
         *[F.col(c).alias(named(c)) for c in [*keys, *ident, VALID_TO]], F.col(PREVIOUS_TO).alias(_OLD_TO), F.col(CHANGE).alias(named(CHANGE))
     )
-    on = [F.col(k) == F.col(named(k)) for k in keys]
-    on += [F.col(c).eqNullSafe(F.col(named(c))) for c in ident] + [F.col(VALID_TO) == F.col(_OLD_TO)]
+    # Stored rows without a key can be closed or deleted as missing, so keys match NULL-safely too.
+    on = [F.col(c).eqNullSafe(F.col(named(c))) for c in [*keys, *ident]] + [F.col(VALID_TO) == F.col(_OLD_TO)]
     out = history.join(moved, reduce(lambda a, b: a & b, on), "left")
     kind = F.col(named(CHANGE))
     out = out.filter(kind.isNull() | (kind != DELETE))
@@ -572,8 +572,7 @@ def apply_changes(history: DataFrame | None, changes: DataFrame, scd2_key: str |
     out = out.select(*[c for c in history.columns])
     # Inserts that are there already (by key, start, end and tracked values) are left out.
     there = history.select(*[F.col(c).alias(named(c)) for c in [*keys, *ident, VALID_TO]])
-    on = [F.col(k) == F.col(named(k)) for k in keys]
-    on += [F.col(c).eqNullSafe(F.col(named(c))) for c in [*ident, VALID_TO]]
+    on = [F.col(c).eqNullSafe(F.col(named(c))) for c in [*keys, *ident, VALID_TO]]
     new = inserts.join(there, reduce(lambda a, b: a & b, on), "left_anti")
     return out.unionByName(new, allowMissingColumns=True)
 
