@@ -43,6 +43,7 @@ are the same either way.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -727,6 +728,51 @@ def change_counts(classified: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- apply (H7)
 
 
+@dataclass
+class Batch:
+    """A batch ready to be merged: loadable rows with validity columns, rows set aside, and the keys
+    of those (they are in the feed, so not "missing")."""
+
+    valid: DataFrame
+    quarantine: DataFrame
+    present: DataFrame
+
+
+def prepare_batch(
+    incoming_df: DataFrame,
+    scd2_key: str | Sequence[str],
+    effective_from_ts: Any = None,
+    effective_from_column: str | None = None,
+    effective_from_fallback_column: str | None = None,
+    *,
+    time_type: T.DataType | str | None = None,
+    fmt: str | None = None,
+    corrupt_column: str | None = None,
+) -> Batch:
+    """Quarantine split → validity columns. A batch that already carries validity
+    columns is taken as is (never restamped). Rows with a NULL key, no date or no
+    parseable date are quarantined with a reason."""
+    keys = _as_list(scd2_key)
+    has_validity = VALID_FROM in incoming_df.columns
+    split = separate_quarantine_records(
+        incoming_df,
+        None if has_validity else effective_from_column,
+        None if has_validity else effective_from_fallback_column,
+        keys=keys,
+        time_type=time_type,
+        fmt=fmt,
+        corrupt_column=corrupt_column,
+    )
+    valid = split.valid
+    if corrupt_column and corrupt_column in valid.columns:
+        valid = valid.drop(corrupt_column)
+    if not has_validity:
+        valid = resolve_effective_from(
+            valid, effective_from_column, effective_from_fallback_column, effective_from_ts, time_type=time_type, fmt=fmt
+        )
+    return Batch(valid, split.quarantine, split.quarantine.filter(~any_null(keys)).select(*keys))
+
+
 def apply_scd2(
     incoming_df: DataFrame,
     existing_df: DataFrame | None,
@@ -752,37 +798,26 @@ def apply_scd2(
     no date or no parseable date are quarantined with a reason; their keys
     still count as present for ``missing_keys``.
     """
-    keys = _as_list(scd2_key)
-    has_validity = VALID_FROM in incoming_df.columns
-    split = separate_quarantine_records(
+    batch = prepare_batch(
         incoming_df,
-        None if has_validity else effective_from_column,
-        None if has_validity else effective_from_fallback_column,
-        keys=keys,
+        scd2_key,
+        effective_from_ts,
+        effective_from_column,
+        effective_from_fallback_column,
         time_type=time_type,
         fmt=fmt,
         corrupt_column=corrupt_column,
     )
-    valid = split.valid
-    if corrupt_column and corrupt_column in valid.columns:
-        valid = valid.drop(corrupt_column)
-    if not has_validity:
-        valid = resolve_effective_from(
-            valid, effective_from_column, effective_from_fallback_column, effective_from_ts, time_type=time_type, fmt=fmt
-        )
-    present = None
-    if missing_keys != "keep":
-        present = split.quarantine.filter(~any_null(keys)).select(*keys)
     history = merge_scd2(
-        valid,
+        batch.valid,
         existing_df,
-        keys,
+        scd2_key,
         track_columns,
         missing_keys=missing_keys,
         close_at=close_at,
-        present_keys=present,
+        present_keys=batch.present if missing_keys != "keep" else None,
         tie_break=tie_break,
         strategy=strategy,
         skew=skew,
     )
-    return Split(history, split.quarantine)
+    return Split(history, batch.quarantine)

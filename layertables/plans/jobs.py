@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 from layertables.operators.asof import AsOf, build_fact
 from layertables.operators.clean import CleaningRules, apply_cleaning_rules, clean_with_quarantine
-from layertables.operators.history import apply_scd2
+from layertables.operators.history import Batch, apply_scd2, prepare_batch
 from layertables.operators.keys import add_surrogate_key, history_key_columns
 from layertables.operators.load import LoadSpec, Planned, plan_load
 from layertables.operators.quarantine import Split, separate_quarantine_records
+from layertables.sources.history_store import merge_history, read_history
 from layertables.sources.tables import append_new, read_table, read_table_or_empty, write_table
 
 
@@ -85,6 +86,8 @@ class TableRules:
     corrupt_column: str | None = None
     # Rows that a NULL-drop rule removes go to the quarantine, with the column as reason.
     quarantine_required: bool = False
+    # Store the history in partitions of this many key buckets, rewritten in part (see sources.history_store).
+    history_buckets: int | None = None
 
     @classmethod
     def from_mapping(cls, m: Mapping) -> "TableRules":
@@ -99,6 +102,7 @@ class TableRules:
             effective_from_fallback_column=m.get("effective_from_fallback_column"),
             effective_from_ts=m.get("effective_from_ts"),
             quarantine_required=bool(m.get("quarantine_required", False)),
+            history_buckets=m.get("history_buckets"),
         )
 
 
@@ -153,6 +157,24 @@ def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRu
         valid = qs.valid.drop(rules.corrupt_column) if rules.corrupt_column else qs.valid
         cleaned, dropped = _clean(valid, rules)
         return Split(cleaned, _with(qs.quarantine, dropped))
+    cleaned, quarantine = _scd2_batch(incoming, rules)
+    res = apply_scd2(
+        cleaned,
+        existing,
+        rules.key,
+        rules.tracked,
+        rules.effective_from_ts,
+        rules.effective_from_column,
+        rules.effective_from_fallback_column,
+        time_type=rules.time_type,
+        missing_keys=rules.missing_keys,
+        close_at=rules.close_at,
+    )
+    return Split(res.valid, quarantine)
+
+
+def _scd2_batch(incoming: DataFrame, rules: TableRules) -> tuple[DataFrame, DataFrame]:
+    """Steps 1 and 2 of :func:`refine_table` for a history: cleaned rows and those set aside."""
     if not rules.key or not rules.tracked:
         raise ValueError(f"{rules.table}: scd2 needs key and tracked columns")
     qs = separate_quarantine_records(
@@ -165,28 +187,47 @@ def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRu
     )
     valid = qs.valid.drop(rules.corrupt_column) if rules.corrupt_column else qs.valid
     cleaned, dropped = _clean(valid, rules)
-    res = apply_scd2(
+    return cleaned, _with(qs.quarantine, dropped)
+
+
+def refine_batch(incoming: DataFrame, rules: TableRules) -> Batch:
+    """The batch of a history table, cleaned and dated, before any merge."""
+    cleaned, quarantine = _scd2_batch(incoming, rules)
+    batch = prepare_batch(
         cleaned,
-        existing,
         rules.key,
-        rules.tracked,
         rules.effective_from_ts,
         rules.effective_from_column,
         rules.effective_from_fallback_column,
         time_type=rules.time_type,
-        missing_keys=rules.missing_keys,
-        close_at=rules.close_at,
     )
-    return Split(res.valid, _with(qs.quarantine, dropped))
+    return Batch(batch.valid, quarantine, batch.present)
 
 
 def refine_to_path(
     spark: SparkSession, rules: TableRules, input_path: str, output_path: str, quarantine_path: str | None = None
 ) -> dict[str, Any]:
     """Run :func:`refine_table` from a bronze path into a silver path; the silver
-    table is overwritten (staged, since the merge reads it) and the quarantine
+    table is overwritten (staged, since the merge reads it), or with
+    ``history_buckets`` only the partitions that the batch changes, and the quarantine
     is appended without duplicates."""
     incoming = read_table(spark, input_path)
+    if rules.scd2 and rules.history_buckets:
+        batch = refine_batch(incoming, rules)
+        merged = merge_history(
+            batch.valid,
+            output_path,
+            rules.key,
+            rules.tracked,
+            missing_keys=rules.missing_keys,
+            close_at=rules.close_at,
+            present_keys=batch.present,
+            buckets=rules.history_buckets,
+        )
+        out = {"inserted": merged.inserted, "closed": merged.closed, "deleted": merged.deleted, "partitions": len(merged.replaced)}
+        if quarantine_path:
+            out["quarantined"] = append_new(batch.quarantine, quarantine_path)["rows"]
+        return out
     existing = read_table_or_empty(spark, output_path) if rules.scd2 else None
     split = refine_table(incoming, existing, rules)
     out = write_table(split.valid, output_path, "overwrite")
@@ -301,7 +342,7 @@ def run_layers(
     report["silver"] = refine_all(spark, rules, bronze, silver, quarantine)
     report["gold"] = {}
     for d in dimensions:
-        hist = read_table(spark, f"{silver}/{d.table}")
+        hist = read_history(spark, f"{silver}/{d.table}")
         dim = build_dimension(hist, d.natural_key, d.key_name, d.tracked, d.rename)
         report["gold"][d.output] = write_table(dim, f"{gold}/{d.output}")
     for f in facts:

@@ -382,4 +382,17 @@ sl AS (SELECT id, name, 'S-' || coalesce(segment, '') AS segment, nation, create
        CASE WHEN customer_id IS NULL THEN 'null_required:customer_id' ELSE 'null_required:order_date' END AS quarantine_reason
 FROM orders_raw WHERE customer_id IS NULL OR order_date IS NULL""",
     )
+    # By joins, not by the merge rule: every key has at most one stored version and one batch row.
+    q["scd2_change_rows"] = _w(
+        ",\n".join([BATCH1, BATCH2, "h1_in AS (SELECT *, COALESCE(updated, created) AS effective_from FROM batch1)", B2_VALID]) + f""",
+pair AS (SELECT b.id, b.segment, b.effective_from AS f, o.id IS NOT NULL AS known, o.segment AS old_segment, o.effective_from AS old_f,
+                o.id IS NULL OR b.name IS DISTINCT FROM o.name OR b.segment IS DISTINCT FROM o.segment OR b.nation IS DISTINCT FROM o.nation AS opens
+         FROM h2_in b LEFT JOIN h1_in o ON o.id = b.id)""",
+        f"""SELECT id, segment, f AS effective_from, {DATE_END} AS effective_to, 'insert' AS change, CAST(NULL AS DATE) AS previous_effective_to
+FROM pair WHERE opens
+UNION ALL SELECT id, old_segment, old_f, f, 'close', {DATE_END} FROM pair WHERE known AND opens""",
+    )
+    q["scd2_replay_changes"] = q["scd2_snapshot_merge"]
+    q["scd2_partial_overwrite"] = q["scd2_snapshot_merge"]
+    q["scd2_partial_late"] = q["scd2_late_arrival"]
     return q

@@ -17,8 +17,10 @@ from layertables.operators.history import (
     changed_versions,
     classify_changes,
     current_view,
+    merge_changes,
     merge_scd2,
     new_keys,
+    replay_changes,
     resolve_effective_from,
 )
 from layertables.operators.keys import add_dense_key, add_surrogate_key, key_uniqueness
@@ -30,6 +32,7 @@ from layertables.plans import derive as dv
 from layertables.plans.jobs import DimensionJob, FactJob, TableJob, TableRules, build_dimension, refine_table, run_layers
 from layertables.session import scratch_path
 from layertables.sources.csv import header_drift, read_csv_declared
+from layertables.sources.history_store import create_history, merge_history, read_history
 from layertables.sources.schema import drift_report
 from layertables.sources.tables import append_new, read_table, read_table_or_empty, write_table
 
@@ -478,6 +481,43 @@ def refine_quarantine_required(spark: SparkSession, d: str) -> DataFrame:
     return split.quarantine.select("order_id", "customer_id", "order_date", "quarantine_reason")
 
 
+def _dated(df: DataFrame) -> DataFrame:
+    return resolve_effective_from(df, "updated", "created")
+
+
+def scd2_change_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What the second batch inserts and closes, without the history around it."""
+    c = merge_changes(_dated(b2_valid(spark, d)), h1(spark, d), "id", TRACKED)
+    return c.select("id", "segment", "effective_from", "effective_to", "change", "previous_effective_to")
+
+
+def scd2_replay_changes(spark: SparkSession, d: str) -> DataFrame:
+    """A reader's copy of the history, brought up to date by the change rows of two runs."""
+    base = scratch_path(spark, "change-log")
+    write_table(merge_changes(_dated(dv.batch1(spark, d)), None, "id", TRACKED), f"{base}/run=1")
+    first = replay_changes(None, [read_table(spark, f"{base}/run=1")], "id", TRACKED)
+    write_table(merge_changes(_dated(b2_valid(spark, d)), first, "id", TRACKED), f"{base}/run=2")
+    runs = [read_table(spark, f"{base}/run={k}") for k in (1, 2)]
+    return replay_changes(None, runs, "id", TRACKED).select(*HIST)
+
+
+def scd2_partial_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """The merge of ``scd2_snapshot_merge`` into a partitioned history, then a rerun of it."""
+    path = scratch_path(spark, "history-store")
+    create_history(h1(spark, d), path, "id", buckets=16)
+    for _ in range(2):
+        merge_history(_dated(b2_valid(spark, d)), path, "id", TRACKED)
+    return read_history(spark, path).select(*HIST)
+
+
+def scd2_partial_late(spark: SparkSession, d: str) -> DataFrame:
+    """Late rows into a partitioned history: closed versions are split in place."""
+    path = scratch_path(spark, "history-late")
+    merge_history(_dated(b2_valid(spark, d)), path, "id", TRACKED, buckets=16)
+    merge_history(_dated(dv.batch1(spark, d)), path, "id", TRACKED)
+    return read_history(spark, path).select(*HIST)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_asof_join": fact_asof_join,
     "fact_unmatched": fact_unmatched,
@@ -523,4 +563,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_append_evolved": quarantine_append_evolved,
     "load_scd2_slice": load_scd2_slice,
     "refine_quarantine_required": refine_quarantine_required,
+    "scd2_change_rows": scd2_change_rows,
+    "scd2_replay_changes": scd2_replay_changes,
+    "scd2_partial_overwrite": scd2_partial_overwrite,
+    "scd2_partial_late": scd2_partial_late,
 }
