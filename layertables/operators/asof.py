@@ -7,7 +7,7 @@ start of its key's next version, whichever comes first (of versions with one
 start, the one that ends last counts; further ties go to the greatest values). So
 each fact matches at most one version and the fact row count is preserved, also
 when intervals overlap; for disjoint ones, as the history merge makes them, this is
-the plain definition.
+the plain definition. A version whose end is NULL is open.
 
 Two plans, chosen by ``method``, with the same rows:
 
@@ -23,6 +23,14 @@ Two plans, chosen by ``method``, with the same rows:
   last version of the buckets before it, computed from the dimension alone.
 * ``"auto"`` (default): ``"join"`` when Catalyst estimates the needed dimension
   columns below Spark's broadcast threshold, else ``"window"``. No job runs.
+
+A slice of facts (a day, say) needs few of the versions. With ``prune=True`` the least and
+greatest fact time of every key bucket are taken first, in one pass over the facts'
+key and time, and versions that no fact of their bucket can fall into are left out before the
+join; the overall bounds are plain comparisons that reach the dimension's files. Rows
+are the same: versions that start after the last fact never matter, and those that end before
+the first one are left out only where ``disjoint=True`` says that the versions of a key
+do not overlap (as in every merged history), since an overlapping one could cut another short.
 """
 
 from __future__ import annotations
@@ -31,10 +39,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layertables.functions.predicates import any_null
+from layertables.functions.time import open_end
 from layertables.operators.history import VALID_FROM, VALID_TO, _orderable
 from layertables.operators.skew import BOUNDS, BUCKET, SkewSpec, broadcast_threshold, estimated_bytes, hot_key_bounds, tag_buckets
 
@@ -44,6 +54,7 @@ _KIND = "__lt_kind"
 _PAY = "__lt_pay"
 _GOT = "__lt_got"
 _LASTV = "__lt_lastv"
+_B, _LO, _HI = "__lt_b", "__lt_lo", "__lt_hi"
 METHODS = ("auto", "join", "window")
 
 
@@ -63,6 +74,8 @@ def asof_join(
     valid_to: str = VALID_TO,
     method: str = "auto",
     skew: SkewSpec | None = SkewSpec(),
+    prune: bool = False,
+    disjoint: bool = False,
 ) -> DataFrame:
     """LEFT as-of join. Returns all fact columns plus the requested dimension
     columns (a list, or a ``{dim_column: output_name}`` mapping).
@@ -85,18 +98,68 @@ def asof_join(
     ft = fact.schema[fact_time].dataType
     t = F.col(fact_time) if ft == tt else F.col(fact_time).cast(tt)
     needed = list(dict.fromkeys([*dk, valid_from, valid_to, *wanted]))
+    if prune:
+        dim = prune_versions(dim, fact, fk, t, dk, valid_from, valid_to, disjoint=disjoint)
     if method == "auto":
         small = estimated_bytes(dim.select(*needed)) <= broadcast_threshold(fact.sparkSession)
         method = "join" if small else "window"
     if method == "window":
         return _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew)
     # Unique names on the dimension side: safe even when both sides share lineage.
+    dim = dim.withColumn(valid_to, _end(dim, valid_to))
     d = _in_force(dim.select(*[F.col(c).alias(_P + c) for c in needed]), [_P + k for k in dk], _P + valid_from, _P + valid_to)
     cond = reduce(lambda a, b: a & b, [F.col(f) == F.col(_P + k) for f, k in zip(fk, dk)])
     cond = cond & (t >= F.col(_P + valid_from)) & (t < F.col(_P + valid_to))
     return fact.join(d, cond, "left").select(*fact.columns, *[F.col(_P + c).alias(o) for c, o in wanted.items()])
 
 
+def _end(dim: DataFrame, valid_to: str) -> Column:
+    """The end of a version, the open one where it is NULL."""
+    return F.coalesce(F.col(valid_to), open_end(dim.schema[valid_to].dataType))
+
+
+#: Key buckets whose time bounds are taken apart; as many rows reach the driver.
+PRUNE_BUCKETS = 64
+
+
+def prune_versions(
+    dim: DataFrame,
+    fact: DataFrame,
+    fact_keys: str | Sequence[str],
+    fact_time: str | Column,
+    dim_keys: str | Sequence[str] | None = None,
+    valid_from: str = VALID_FROM,
+    valid_to: str = VALID_TO,
+    *,
+    disjoint: bool = False,
+) -> DataFrame:
+    """The versions that the facts can need (see the module text). Runs one job, over
+    the facts' key and time."""
+    fk = _as_list(fact_keys)
+    dk = _as_list(dim_keys) if dim_keys is not None else fk
+    t = (F.col(fact_time) if isinstance(fact_time, str) else fact_time).cast(dim.schema[valid_from].dataType)
+    alike = [F.col(f).cast(dim.schema[k].dataType) for f, k in zip(fk, dk)]
+    place = lambda cols: F.pmod(F.xxhash64(*cols), F.lit(PRUNE_BUCKETS)).cast("int")
+    slim = fact.select(place(alike).alias("b"), t.alias("t")).filter(F.col("t").isNotNull())
+    bounds = slim.groupBy("b").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).collect()
+    if not bounds:
+        return dim.limit(0)
+    lo, hi = min(r["lo"] for r in bounds), max(r["hi"] for r in bounds)
+    start, end = F.col(valid_from), F.col(valid_to)
+    out = dim.filter(start <= F.lit(hi))
+    if disjoint:
+        out = out.filter(end.isNull() | (end > F.lit(lo)))
+    # The same by bucket: a constant table of at most PRUNE_BUCKETS rows.
+    kind = dim.schema[valid_from].dataType
+    schema = T.StructType([T.StructField(_B, T.IntegerType()), T.StructField(_LO, kind), T.StructField(_HI, kind)])
+    table = dim.sparkSession.createDataFrame([tuple(r) for r in bounds], schema)
+    near = F.col(_HI) >= start
+    if disjoint:
+        near = near & (end.isNull() | (end > F.col(_LO)))
+    out = out.withColumn(_P + "b", place([F.col(k) for k in dk]))
+    return out.join(F.broadcast(table), (F.col(_P + "b") == F.col(_B)) & near, "left_semi").drop(_P + "b")
+
+
 def _rank(dim: DataFrame, first: list[str]) -> list[str]:
     """Columns that decide between versions of one start, the least first."""
     return first + [c for c in dim.columns if c not in first and _orderable(dim.schema[c].dataType)]
@@ -121,7 +184,7 @@ def _asof_window(fact, dim, fk, dk, t, wanted, valid_from, valid_to, skew) -> Da
     f = f.filter(~any_null([*keys, _T]))
     names = list(wanted)
     pay = F.struct(
-        F.col(valid_from).alias("f"), F.col(valid_to).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]
+        F.col(valid_from).alias("f"), _end(dim, valid_to).alias("t"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]
     )
     d = dim.select(
         *[F.col(c).alias(k) for k, c in zip(keys, dk)], F.col(valid_from).alias(_T), F.lit(0).alias(_KIND), pay.alias(_PAY)
@@ -188,6 +251,8 @@ class AsOf:
     valid_from: str = VALID_FROM
     valid_to: str = VALID_TO
     method: str = "auto"
+    prune: bool = False
+    disjoint: bool = False
 
 
 def build_fact(fact: DataFrame, lookups: Sequence[AsOf], select: Sequence[str] | None = None) -> DataFrame:
@@ -204,5 +269,7 @@ def build_fact(fact: DataFrame, lookups: Sequence[AsOf], select: Sequence[str] |
             valid_from=lk.valid_from,
             valid_to=lk.valid_to,
             method=lk.method,
+            prune=lk.prune,
+            disjoint=lk.disjoint,
         )
     return out.select(*select) if select else out

@@ -19,6 +19,7 @@ SUPPLIER_TRACKED = ("name", "nation", "tier")
 EVENTS_SPLIT = "2024-01-16"
 CLOSE_AT = "1999-12-31"
 DEFAULT_FROM = "2000-01-01"
+SLICE = ("1998-03-01", "1998-03-31")
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:

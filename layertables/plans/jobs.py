@@ -284,15 +284,17 @@ def fact_with_dimension(
     key_name: str,
     select: Sequence[str] | None = None,
     time_format: str | None = None,
+    prune: bool = False,
 ) -> DataFrame:
     """One as-of lookup; a string fact time is parsed with ``time_format``
-    (unparseable → no match, NULL key)."""
+    (unparseable → no match, NULL key). ``prune`` leaves out the versions that a slice of facts
+    cannot need; the dimension is one that :func:`build_dimension` made of a merged history."""
     t = fact_time
     if dict(fact.dtypes)[fact_time] == "string":
         parsed = F.try_to_timestamp(F.col(fact_time), F.lit(time_format)) if time_format else F.col(fact_time).try_cast("timestamp")
         fact = fact.withColumn("__lt_fact_ts", parsed)
         t = "__lt_fact_ts"
-    out = build_fact(fact, [AsOf(dim, fact_key, t, [key_name], dim_keys=dim_key)])
+    out = build_fact(fact, [AsOf(dim, fact_key, t, [key_name], dim_keys=dim_key, prune=prune, disjoint=prune)])
     return out.select(*select) if select else out.drop("__lt_fact_ts")
 
 
@@ -320,6 +322,7 @@ class FactJob:
     key_name: str
     select: Sequence[str] | None = None
     time_format: str | None = None
+    prune: bool = False   # for slices of facts: read only the versions they can need
 
 
 def run_layers(
@@ -348,6 +351,6 @@ def run_layers(
     for f in facts:
         fact = read_table(spark, f"{silver}/{f.table}")
         dim = read_table(spark, f"{gold}/{f.dimension}")
-        out = fact_with_dimension(fact, dim, f.fact_key, f.fact_time, f.dim_key, f.key_name, f.select, f.time_format)
+        out = fact_with_dimension(fact, dim, f.fact_key, f.fact_time, f.dim_key, f.key_name, f.select, f.time_format, f.prune)
         report["gold"][f.output] = write_table(out, f"{gold}/{f.output}")
     return report

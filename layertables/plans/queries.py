@@ -518,6 +518,31 @@ def scd2_partial_late(spark: SparkSession, d: str) -> DataFrame:
     return read_history(spark, path).select(*HIST)
 
 
+def _open_as_null(spark: SparkSession, d: str) -> DataFrame:
+    """The history as other tools store it: open versions end at NULL."""
+    return h2(spark, d).withColumn("effective_to", F.when(~F.col("is_current"), F.col("effective_to")))
+
+
+def fact_asof_open_end(spark: SparkSession, d: str) -> DataFrame:
+    """Facts against versions whose open end is NULL."""
+    fact = dv.orders_fact(spark, d).select("o_orderkey", "o_custkey", "o_orderdate")
+    return asof_join(
+        fact, _open_as_null(spark, d), "o_custkey", "o_orderdate", "id", {"name": "v_name", "segment": "v_segment", "nation": "v_nation"}
+    )
+
+
+def fact_asof_day_slice(spark: SparkSession, d: str) -> DataFrame:
+    """The facts of one month against a stored dimension, of which only the versions that they
+    can need are read."""
+    path = scratch_path(spark, "dim")
+    write_table(_open_as_null(spark, d).sort("effective_from"), path)
+    fact = dv.orders_fact(spark, d).select("o_orderkey", "o_custkey", "o_orderdate").filter(
+        F.col("o_orderdate").between(F.lit(dv.SLICE[0]).cast("date"), F.lit(dv.SLICE[1]).cast("date"))
+    )
+    wanted = {"name": "v_name", "segment": "v_segment", "nation": "v_nation"}
+    return asof_join(fact, read_table(spark, path), "o_custkey", "o_orderdate", "id", wanted, prune=True, disjoint=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_asof_join": fact_asof_join,
     "fact_unmatched": fact_unmatched,
@@ -563,6 +588,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_append_evolved": quarantine_append_evolved,
     "load_scd2_slice": load_scd2_slice,
     "refine_quarantine_required": refine_quarantine_required,
+    "fact_asof_open_end": fact_asof_open_end,
+    "fact_asof_day_slice": fact_asof_day_slice,
     "scd2_change_rows": scd2_change_rows,
     "scd2_replay_changes": scd2_replay_changes,
     "scd2_partial_overwrite": scd2_partial_overwrite,

@@ -59,6 +59,48 @@ def test_asof_methods_agree_on_overlapping_versions(spark, versions, fs):
         assert dv == ((want[3] if want[2] else None) if want and ts < want[1] else None)
 
 
+def test_asof_null_ends_are_open_by_every_method(spark):
+    a, b = spark.createDataFrame([(1, "A", day(0), None, True), (1, "B", day(150), OPEN, True), (2, "C", day(3), None, True)], HIST), None
+    f = spark.createDataFrame([(i, k, day(n)) for i, (k, n) in enumerate([(1, 60), (1, 200), (2, 2), (2, 9), (3, 9)])], "fid int, id int, ts date")
+    for m, s in (("join", None), ("window", None), ("window", FORCE), ("auto", None)):
+        for prune in (False, True):
+            b = asof_join(f, a, "id", "ts", columns={"v": "dv"}, method=m, skew=s, prune=prune)
+            assert rows(b, "fid", "dv") == [(0, "A"), (1, "B"), (2, None), (3, "C"), (4, None)]
+
+
+def test_pruned_versions_give_the_same_rows(spark, tmp_table):
+    """Random overlapping and disjoint versions of many keys, some open, some NULL-ended."""
+    import random
+
+    from layertables.operators.asof import prune_versions
+
+    rng = random.Random(2)
+    apart, across = [], []
+    for k in range(200):
+        at = 0
+        for _ in range(rng.randrange(6)):
+            f = at + rng.randrange(3)
+            at = f + rng.randrange(0, 30)
+            apart.append((k, rng.choice("ab"), day(f), day(at), False))
+            across.append((k, rng.choice("ab"), day(f), rng.choice([day(f + rng.randrange(60)), None]), False))
+        if apart and rng.random() < 0.5:
+            apart.append((k, "z", day(at), rng.choice([None, OPEN]), True))
+    facts = spark.createDataFrame([(i, rng.choice([rng.randrange(210), None]), rng.choice([day(rng.randrange(40, 50)), None])) for i in range(300)], "fid int, id long, ts date")
+    p = tmp_table("dim")
+    spark.createDataFrame(apart, HIST).write.parquet(p)
+    for dim, disjoint in ((spark.read.parquet(p), True), (spark.createDataFrame(across, HIST), False)):
+        want = rows(asof_join(facts, dim, "id", "ts", columns={"v": "dv"}, method="join"))
+        for m, s in (("join", None), ("window", None), ("window", FORCE)):
+            assert rows(asof_join(facts, dim, "id", "ts", columns={"v": "dv"}, method=m, skew=s, prune=True, disjoint=disjoint)) == want
+        less = prune_versions(dim, facts, "id", "ts", disjoint=disjoint).count()
+        assert less < (0.7 if disjoint else 0.95) * dim.count()
+    plan = asof_join(facts, spark.read.parquet(p), "id", "ts", columns={"v": "dv"}, prune=True, disjoint=True)._jdf.queryExecution().executedPlan().toString()
+    pushed = [x for x in plan.splitlines() if "PushedFilters" in x]
+    assert any("LessThanOrEqual(effective_from" in x and "GreaterThan(effective_to" in x for x in pushed), plan
+    # No fact with a time: no version is needed.
+    assert prune_versions(dim, facts.filter("ts is null"), "id", "ts").count() == 0
+
+
 @st.composite
 def histories(draw):
     """Disjoint versions with gaps, some closed, some keys NULL."""
