@@ -88,6 +88,8 @@ class TableRules:
     quarantine_required: bool = False
     # Store the history in partitions of this many key buckets, rewritten in part (see sources.history_store).
     history_buckets: int | None = None
+    # Partition a new quarantine by row hash, so that an append reads a part of it (see append_new).
+    quarantine_buckets: int | None = None
 
     @classmethod
     def from_mapping(cls, m: Mapping) -> "TableRules":
@@ -103,6 +105,7 @@ class TableRules:
             effective_from_ts=m.get("effective_from_ts"),
             quarantine_required=bool(m.get("quarantine_required", False)),
             history_buckets=m.get("history_buckets"),
+            quarantine_buckets=m.get("quarantine_buckets"),
         )
 
 
@@ -226,13 +229,13 @@ def refine_to_path(
         )
         out = {"inserted": merged.inserted, "closed": merged.closed, "deleted": merged.deleted, "partitions": len(merged.replaced)}
         if quarantine_path:
-            out["quarantined"] = append_new(batch.quarantine, quarantine_path)["rows"]
+            out["quarantined"] = append_new(batch.quarantine, quarantine_path, buckets=rules.quarantine_buckets)["rows"]
         return out
     existing = read_table_or_empty(spark, output_path) if rules.scd2 else None
     split = refine_table(incoming, existing, rules)
     out = write_table(split.valid, output_path, "overwrite")
     if quarantine_path:
-        out["quarantined"] = append_new(split.quarantine, quarantine_path)["rows"]
+        out["quarantined"] = append_new(split.quarantine, quarantine_path, buckets=rules.quarantine_buckets)["rows"]
     return out
 
 

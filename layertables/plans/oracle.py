@@ -382,6 +382,7 @@ sl AS (SELECT id, name, 'S-' || coalesce(segment, '') AS segment, nation, create
        CASE WHEN customer_id IS NULL THEN 'null_required:customer_id' ELSE 'null_required:order_date' END AS quarantine_reason
 FROM orders_raw WHERE customer_id IS NULL OR order_date IS NULL""",
     )
+    q["quarantine_append_pruned"] = q["quarantine_append_evolved"]
     q["fact_asof_open_end"] = q["scd2_late_arrival_asof"]
     q["fact_asof_day_slice"] = (
         q["scd2_late_arrival_asof"] + "\nWHERE CAST(o.o_orderdate AS DATE) BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'"

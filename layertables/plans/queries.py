@@ -34,7 +34,7 @@ from layertables.session import scratch_path
 from layertables.sources.csv import header_drift, read_csv_declared
 from layertables.sources.history_store import create_history, merge_history, read_history
 from layertables.sources.schema import drift_report
-from layertables.sources.tables import append_new, read_table, read_table_or_empty, write_table
+from layertables.sources.tables import append_new, read_appended, read_table, read_table_or_empty, write_table
 
 TRACKED = list(dv.CUSTOMER_TRACKED)
 HIST = ["id", "name", "segment", "nation", "created", "updated", "effective_from", "effective_to", "is_current"]
@@ -459,6 +459,18 @@ def quarantine_append_evolved(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, path, merge_schema=True)
 
 
+def quarantine_append_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """``quarantine_append_evolved`` in a table partitioned by row hash: every append reads only
+    the partitions of its own rows."""
+    path = scratch_path(spark, "quarantine-hashed")
+    q = quarantine_split(spark, d)
+    append_new(q, path, buckets=32)
+    more = q.withColumn("feed", F.when(F.col("id") % 2 == 0, F.lit("second")))
+    append_new(more, path)
+    append_new(more, path)  # a rerun adds nothing
+    return read_appended(spark, path)
+
+
 def load_scd2_slice(spark: SparkSession, d: str) -> DataFrame:
     """A job loads a slice of the keys into a stored history: all other keys stay."""
     base = scratch_path(spark, "scd2-slice")
@@ -590,6 +602,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refine_quarantine_required": refine_quarantine_required,
     "fact_asof_open_end": fact_asof_open_end,
     "fact_asof_day_slice": fact_asof_day_slice,
+    "quarantine_append_pruned": quarantine_append_pruned,
     "scd2_change_rows": scd2_change_rows,
     "scd2_replay_changes": scd2_replay_changes,
     "scd2_partial_overwrite": scd2_partial_overwrite,

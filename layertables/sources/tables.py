@@ -6,14 +6,18 @@ table is never scanned a second time just to log how many rows it has.
 
 from __future__ import annotations
 
+import re
 import uuid
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layertables.functions.predicates import same_values
+
 WRITE_MODES = ("overwrite", "append")
 
 
@@ -55,22 +59,92 @@ def read_table_or_empty(
     return None if schema is None else empty_frame(spark, schema)
 
 
-def append_new(df: DataFrame, path: str) -> dict[str, Any]:
+ROW_HASH = "lt_row_hash"
+_ROW_BUCKET = re.compile(r"(lt_rows_of_(\d+))=(\d+)$")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of a row's non-NULL columns by name: their order and missing ones do not matter."""
+    one = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), F.col(c))), F.lit(0).cast("bigint"))
+    return reduce(lambda a, b: a.bitwiseXOR(b), [one(c) for c in sorted(df.columns)])
+
+
+def _row_partitions(spark: SparkSession, path: str) -> dict[int, tuple[str, str]]:
+    """Folder and partition column by bucket, from the folder names."""
+    if not path_exists(spark, path):
+        return {}
+    fs, p = _hadoop(spark, path)
+    out = {}
+    for f in fs.listStatus(p):
+        m = _ROW_BUCKET.search(f.getPath().getName())
+        if m:
+            out[int(m.group(3))] = (f.getPath().toString(), m.group(1))
+    return out
+
+
+def _row_bucket(spark: SparkSession, path: str) -> str | None:
+    """The partition column of a table whose rows are partitioned by their hash."""
+    return next((name for _, name in _row_partitions(spark, path).values()), None)
+
+
+def stored_candidates(df: DataFrame, path: str) -> DataFrame | None:
+    """Rows of a hashed table (see :func:`append_new`) that can equal one of ``df``: only
+    partitions that ``df`` falls into are opened, and only rows of an equal hash are kept."""
+    spark = df.sparkSession
+    there = _row_partitions(spark, path)
+    n = int(_ROW_BUCKET.search(next(iter(there.values()))[0]).group(2)) if there else 0
+    if not n:
+        return None
+    hashes = df.select(_row_hash(df).alias(ROW_HASH))
+    # At most n numbers reach the driver.
+    wanted = [r[0] for r in hashes.select(F.pmod(ROW_HASH, F.lit(n)).alias("b")).distinct().collect()]
+    folders = [there[b][0] for b in sorted(wanted) if b in there]
+    if not folders:
+        return None
+    # Spark broadcasts the hashes where they are small, and beyond that may filter by a Bloom filter of its own.
+    return spark.read.option("mergeSchema", True).parquet(*folders).join(hashes.distinct(), ROW_HASH, "left_semi")
+
+
+def _append_hashed(df: DataFrame, path: str, at: str) -> dict[str, Any]:
+    n = int(at.rsplit("_", 1)[1])
+    new, stored = df, stored_candidates(df, path)
+    if stored is not None:
+        new = _not_stored(df, stored.drop(ROW_HASH, at))
+    hashed = new.withColumn(ROW_HASH, _row_hash(new)).withColumn(at, F.pmod(ROW_HASH, F.lit(n)).cast("int"))
+    return write_table(hashed.hint("rebalance", at), path, "append", partition_by=[at])
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """A table that :func:`append_new` wrote, with all columns any append brought."""
+    df = read_table(spark, path, merge_schema=True)
+    return df.drop(*[c for c in df.columns if c == ROW_HASH or c.startswith("lt_rows_of_")])
+
+
+def append_new(df: DataFrame, path: str, *, buckets: int | None = None) -> dict[str, Any]:
     """Append only rows not already stored at ``path`` (exact, NULL-safe match
     on every column of either side, a missing one counting as NULL), so re-running
     a load does not duplicate them and a new column makes a new row. Tables whose
-    columns grew are read with ``read_table(..., merge_schema=True)``."""
-    from layertables.functions.predicates import same_values
+    columns grew are read with ``read_table(..., merge_schema=True)``.
+
+    With ``buckets``, a new table is partitioned by a hash of the row, and each append then
+    reads only the partitions that its own rows fall into, a part of the table that shrinks with the
+    batch; stored rows are matched on the 64-bit hash first. The hash takes the columns that are not
+    NULL, by name, so it stays the same when columns are added. A table keeps the number
+    of buckets it was made with; read it with :func:`read_appended`."""
+    at = _row_bucket(df.sparkSession, path)
+    if at or (buckets and read_table_or_empty(df.sparkSession, path) is None):
+        return _append_hashed(df, path, at or f"lt_rows_of_{buckets}")
 
     existing = read_table_or_empty(df.sparkSession, path, merge_schema=True)
-    new = df
-    if existing is not None:
-        cols = [*df.columns, *[c for c in existing.columns if c not in df.columns]]
-        types = {f.name: f.dataType for f in [*existing.schema.fields, *df.schema.fields]}
-        side = lambda d: [F.col(c) if c in d.columns else F.lit(None).cast(types[c]).alias(c) for c in cols]
-        ex = existing.select(*side(existing)).toDF(*[f"__lt_x_{c}" for c in cols])
-        new = df.select(*side(df)).join(ex, same_values(cols, [f"__lt_x_{c}" for c in cols]), "left_anti").select(*df.columns)
-    return write_table(new, path, "append")
+    return write_table(df if existing is None else _not_stored(df, existing), path, "append")
+
+
+def _not_stored(df: DataFrame, existing: DataFrame) -> DataFrame:
+    cols = [*df.columns, *[c for c in existing.columns if c not in df.columns]]
+    types = {f.name: f.dataType for f in [*existing.schema.fields, *df.schema.fields]}
+    side = lambda d: [F.col(c) if c in d.columns else F.lit(None).cast(types[c]).alias(c) for c in cols]
+    ex = existing.select(*side(existing)).toDF(*[f"__lt_x_{c}" for c in cols])
+    return df.select(*side(df)).join(ex, same_values(cols, [f"__lt_x_{c}" for c in cols]), "left_anti").select(*df.columns)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -142,10 +216,10 @@ def recover_swap(spark: SparkSession, path: str) -> str:
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", *, partition_by: list[str] | None = None) -> dict[str, Any]:
     """Write ``df`` as parquet; returns ``{"rows": n}`` observed during the write.
 
-    ``overwrite`` of a table that the plan itself reads is staged: the result
-    is written next to the target, then swapped in by two renames. The old
-    table is kept until the new one is in place. On object stores a rename
-    is a copy and the swap is not atomic.
+    ``overwrite`` of an existing table is staged: the result is written next to
+    the target, then swapped in by two renames. The old table is kept until the new one is
+    in place, so a plan may read its own target, and a write that stops half-way
+    leaves the old table. On object stores a rename is a copy and the swap is not atomic.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}")
@@ -153,7 +227,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", *, partition_
         raise OSError(f"{path}: a swap was interrupted; call recover_swap first")
     obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    staged = mode == "overwrite" and path_exists(df.sparkSession, path) and reads_path(df, path)
+    staged = mode == "overwrite" and path_exists(df.sparkSession, path)
     target = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}" if staged else path
     w = observed.write.mode(mode)
     if partition_by:

@@ -132,3 +132,50 @@ def test_malformed_line_is_kept_as_it_is(spark, tmp_path):
     got = rows(df, "id", "name", "ok", "_corrupt_record")
     assert (1, "a,b", True, None) in got and (4, 'say "x"', False, None) in got
     assert {r[3] for r in got if r[3]} == {'q,"has,comma",true', "2,c,yes", "3,d"} and len(got) == 5
+
+
+def test_hashed_append_reads_only_its_partitions(spark, tmp_table):
+    import glob
+
+    p = tmp_table("hashed")
+    rows_ = [(k, f"v{k}", None if k % 3 else "x") for k in range(400)]
+    first = spark.createDataFrame(rows_, "id int, v string, w string")
+    t.append_new(first, p, buckets=32)
+    t.append_new(first, p)
+    assert t.read_appended(spark, p).columns == ["id", "v", "w"] and t.read_appended(spark, p).count() == 400
+    # A few rows, stored ones and new ones; columns in another order.
+    few = spark.createDataFrame([("v7", 7, None), ("v9", 9, "x"), ("v7", 7, "new"), ("new", None, None)], "v string, id int, w string")
+    n = int(t._row_bucket(spark, p).rsplit("_", 1)[1])
+    touched = {r[0] for r in few.select((t.F.pmod(t._row_hash(few), t.F.lit(n)))).collect()}
+    local = p[5:] if p.startswith("file:") else p
+    others = [f for f in glob.glob(f"{local}/*=*/*.parquet") if int(f.split("lt_rows_of_32=")[1].split("/")[0]) not in touched]
+    assert len(touched) <= 4 and len(others) > 20
+    kept = {f: open(f, "rb").read() for f in others}
+    for f in others:  # no other file may be opened, not even for its schema
+        with open(f, "wb") as h:
+            h.write(b"unreadable")
+        import os
+
+        crc = os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    assert t.append_new(few, p)["rows"] == 2
+    assert t.append_new(few, p)["rows"] == 0
+    for f, data in kept.items():
+        with open(f, "wb") as h:
+            h.write(data)
+    assert t.read_appended(spark, p).count() == 402
+    # A new column: only rows that have a value there are new.
+    wide = first.withColumn("more", t.F.when(t.F.col("id") < 5, "m"))
+    assert t.append_new(wide, p)["rows"] == 5 and t.append_new(wide, p)["rows"] == 0
+
+
+def test_every_overwrite_is_staged(spark, tmp_table):
+    p = tmp_table("live")
+    t.write_table(spark.range(5), p)
+    bad = spark.range(3).selectExpr("id", "raise_error('stop') as x")
+    with pytest.raises(Exception, match="stop"):
+        t.write_table(bad, p)
+    assert t.read_table(spark, p).count() == 5
+    t.recover_swap(spark, p)
+    assert t.write_table(spark.range(2), p)["rows"] == 2 and t.read_table(spark, p).count() == 2
