@@ -93,12 +93,13 @@ def resolve_effective_from(
     *,
     time_type: T.DataType | str | None = None,
     fmt: str | None = None,
+    now: Any = None,
 ) -> DataFrame:
     """Add ``effective_from``, ``effective_to`` (open end) and ``is_current``.
 
     ``effective_from`` is the first of: the parsed ``effective_from_column``,
-    the parsed fallback column, ``effective_from_ts``, the query start time.
-    Each column works alone. Unparseable strings count as missing (they are
+    the parsed fallback column, ``effective_from_ts``; without any of them it is ``now``, the
+    time of the run (by default the query's start time). Each column works alone. Unparseable strings count as missing (they are
     quarantined before a merge, see :func:`apply_scd2`). ``time_type``
     defaults to the first column's type when it is a date/timestamp, else
     TIMESTAMP.
@@ -111,7 +112,7 @@ def resolve_effective_from(
     if effective_from_ts is not None:
         parts.append((effective_from_ts if isinstance(effective_from_ts, Column) else F.lit(effective_from_ts)).cast(tt))
     if not parts:
-        parts.append(F.current_timestamp().cast(tt))
+        parts.append((F.current_timestamp() if now is None else F.lit(now)).cast(tt))
     start = parts[0] if len(parts) == 1 else F.coalesce(*parts)
     return df.withColumns({VALID_FROM: start, VALID_TO: open_end(tt), IS_CURRENT: F.lit(True)})
 
@@ -748,6 +749,7 @@ def prepare_batch(
     time_type: T.DataType | str | None = None,
     fmt: str | None = None,
     corrupt_column: str | None = None,
+    now: Any = None,
 ) -> Batch:
     """Quarantine split → validity columns. A batch that already carries validity
     columns is taken as is (never restamped). Rows with a NULL key, no date or no
@@ -768,7 +770,7 @@ def prepare_batch(
         valid = valid.drop(corrupt_column)
     if not has_validity:
         valid = resolve_effective_from(
-            valid, effective_from_column, effective_from_fallback_column, effective_from_ts, time_type=time_type, fmt=fmt
+            valid, effective_from_column, effective_from_fallback_column, effective_from_ts, time_type=time_type, fmt=fmt, now=now
         )
     return Batch(valid, split.quarantine, split.quarantine.filter(~any_null(keys)).select(*keys))
 
@@ -790,6 +792,7 @@ def apply_scd2(
     strategy: str = "auto",
     corrupt_column: str | None = None,
     skew: SkewSpec | None = SkewSpec(),
+    now: Any = None,
 ) -> Split:
     """Quarantine split → validity columns → merge. Returns ``Split(valid, quarantine)``.
 
@@ -807,6 +810,7 @@ def apply_scd2(
         time_type=time_type,
         fmt=fmt,
         corrupt_column=corrupt_column,
+        now=now,
     )
     history = merge_scd2(
         batch.valid,

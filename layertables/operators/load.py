@@ -99,7 +99,8 @@ class Planned:
     quarantine: DataFrame | None = None
 
 
-def plan_load(incoming: DataFrame, existing: DataFrame | None, spec: LoadSpec) -> Planned:
+def plan_load(incoming: DataFrame, existing: DataFrame | None, spec: LoadSpec, now: Any = None) -> Planned:
+    """What a load writes, and how. ``now`` is the time of the run, for rows without a date."""
     spec.check()
     t = spec.load_type
     if t == "overwrite":
@@ -124,6 +125,6 @@ def plan_load(incoming: DataFrame, existing: DataFrame | None, spec: LoadSpec) -
         spec.effective_from_fallback_column,
         missing_keys=spec.missing_keys,
         close_at=spec.close_at,
-        **spec.options,
+        **{"now": now, **spec.options},
     )
     return Planned(res.valid, "overwrite", res.quarantine)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
@@ -22,8 +22,9 @@ from layertables.operators.history import Batch, apply_scd2, prepare_batch
 from layertables.operators.keys import add_surrogate_key, history_key_columns
 from layertables.operators.load import LoadSpec, Planned, plan_load
 from layertables.operators.quarantine import Split, separate_quarantine_records
+from layertables.plans.run import Run, start_run
 from layertables.sources.history_store import merge_history, read_history
-from layertables.sources.tables import append_new, read_table, read_table_or_empty, write_table
+from layertables.sources.tables import append_new, read_table, read_table_or_empty, recover_swap, write_table
 
 
 # --------------------------------------------------------------------------- T1
@@ -32,7 +33,8 @@ from layertables.sources.tables import append_new, read_table, read_table_or_emp
 @dataclass
 class TableJob:
     """``read → transform → load``. ``transform`` is any ``DataFrame → DataFrame``
-    (so it also works with ``df.transform``); subclasses may override it."""
+    (so it also works with ``df.transform``); subclasses may override it. Jobs that are given the
+    same ``context`` share its time, :attr:`now`."""
 
     spark: SparkSession
     input_path: str | None
@@ -40,6 +42,12 @@ class TableJob:
     load: LoadSpec = field(default_factory=LoadSpec)
     transform_fn: Callable[[DataFrame], DataFrame] | None = None
     quarantine_path: str | None = None
+    context: Run | None = None
+
+    @property
+    def now(self) -> dt.datetime | None:
+        """The time of the run, for rows without a date (``None``: the query's own)."""
+        return None if self.context is None else self.context.now
 
     def read(self) -> DataFrame:
         return read_table(self.spark, self.input_path)
@@ -55,7 +63,7 @@ class TableJob:
         existing = None
         if self.load.load_type in ("scd1", "scd2"):
             existing = read_table_or_empty(self.spark, self.output_path)
-        return plan_load(df, existing, self.load)
+        return plan_load(df, existing, self.load, self.now)
 
     def run(self) -> dict[str, Any]:
         p = self.plan()
@@ -109,24 +117,23 @@ class TableRules:
         )
 
 
-def load_rules(folder: str, read: Callable[[str], Mapping] | None = None) -> list[TableRules]:
+def load_rules(folder: str, read: Callable[[str], Mapping] | None = None, *, spark: SparkSession | None = None) -> list[TableRules]:
     """The rules of every table, one file each (``*.yml``, ``*.yaml`` or ``*.json``), by
-    file name: a table is added by adding a file. ``read`` parses one file; by
-    default JSON is read as such and YAML with PyYAML, if installed."""
+    file name: a table is added by adding a file. ``read`` parses the path of one file; by
+    default JSON is read as such and YAML with PyYAML, if installed. With ``spark`` the folder may
+    be on any filesystem that Spark reads."""
     out = []
-    for f in sorted(Path(folder).iterdir()):
-        if f.suffix not in (".yml", ".yaml", ".json"):
-            continue
+    for name, text in _rule_files(folder, spark):
         if read is not None:
-            m = read(str(f))
-        elif f.suffix == ".json":
-            m = json.loads(f.read_text())
+            m = read(name)
+        elif name.endswith(".json"):
+            m = json.loads(text())
         else:
             import yaml  # optional dependency
 
-            m = yaml.safe_load(f.read_text())
+            m = yaml.safe_load(text())
         if not isinstance(m, Mapping) or "table" not in m:
-            raise ValueError(f"{f.name}: a rule file is a mapping with a 'table'")
+            raise ValueError(f"{name.rsplit('/', 1)[-1]}: a rule file is a mapping with a 'table'")
         out.append(TableRules.from_mapping(m))
     names = [r.table for r in out]
     twice = sorted({n for n in names if names.count(n) > 1})
@@ -135,6 +142,20 @@ def load_rules(folder: str, read: Callable[[str], Mapping] | None = None) -> lis
     return out
 
 
+_RULE_FILE = (".yml", ".yaml", ".json")
+
+
+def _rule_files(folder: str, spark: SparkSession | None) -> list[tuple[str, Callable[[], str]]]:
+    if spark is None:
+        files = [f for f in sorted(Path(folder).iterdir()) if f.suffix in _RULE_FILE]
+        return [(str(f), f.read_text) for f in files]
+    # A few small files, read whole by Spark.
+    pattern = "*{" + ",".join(_RULE_FILE) + "}"
+    rows = spark.read.text(folder, wholetext=True, pathGlobFilter=pattern)
+    found = rows.select(F.col("_metadata.file_path").alias("f"), "value").sort("f").collect()
+    return [(r["f"], lambda v=r["value"]: v) for r in found]
+
+
 def _clean(valid: DataFrame, rules: TableRules) -> tuple[DataFrame, DataFrame | None]:
     if not rules.quarantine_required:
         return apply_cleaning_rules(valid, rules.cleaning), None
@@ -146,7 +167,7 @@ def _with(quarantine: DataFrame, more: DataFrame | None) -> DataFrame:
     return quarantine if more is None else quarantine.unionByName(more, allowMissingColumns=True)
 
 
-def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRules) -> Split:
+def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRules, now: Any = None) -> Split:
     """Bronze batch → silver table content, in this order:
 
     1. quarantine split on the **raw** dates and key (a row with neither date
@@ -172,6 +193,7 @@ def refine_table(incoming: DataFrame, existing: DataFrame | None, rules: TableRu
         time_type=rules.time_type,
         missing_keys=rules.missing_keys,
         close_at=rules.close_at,
+        now=now,
     )
     return Split(res.valid, quarantine)
 
@@ -193,7 +215,7 @@ def _scd2_batch(incoming: DataFrame, rules: TableRules) -> tuple[DataFrame, Data
     return cleaned, _with(qs.quarantine, dropped)
 
 
-def refine_batch(incoming: DataFrame, rules: TableRules) -> Batch:
+def refine_batch(incoming: DataFrame, rules: TableRules, now: Any = None) -> Batch:
     """The batch of a history table, cleaned and dated, before any merge."""
     cleaned, quarantine = _scd2_batch(incoming, rules)
     batch = prepare_batch(
@@ -203,12 +225,18 @@ def refine_batch(incoming: DataFrame, rules: TableRules) -> Batch:
         rules.effective_from_column,
         rules.effective_from_fallback_column,
         time_type=rules.time_type,
+        now=now,
     )
     return Batch(batch.valid, quarantine, batch.present)
 
 
 def refine_to_path(
-    spark: SparkSession, rules: TableRules, input_path: str, output_path: str, quarantine_path: str | None = None
+    spark: SparkSession,
+    rules: TableRules,
+    input_path: str,
+    output_path: str,
+    quarantine_path: str | None = None,
+    now: Any = None,
 ) -> dict[str, Any]:
     """Run :func:`refine_table` from a bronze path into a silver path; the silver
     table is overwritten (staged, since the merge reads it), or with
@@ -216,7 +244,7 @@ def refine_to_path(
     is appended without duplicates."""
     incoming = read_table(spark, input_path)
     if rules.scd2 and rules.history_buckets:
-        batch = refine_batch(incoming, rules)
+        batch = refine_batch(incoming, rules, now)
         merged = merge_history(
             batch.valid,
             output_path,
@@ -232,7 +260,7 @@ def refine_to_path(
             out["quarantined"] = append_new(batch.quarantine, quarantine_path, buckets=rules.quarantine_buckets)["rows"]
         return out
     existing = read_table_or_empty(spark, output_path) if rules.scd2 else None
-    split = refine_table(incoming, existing, rules)
+    split = refine_table(incoming, existing, rules, now)
     out = write_table(split.valid, output_path, "overwrite")
     if quarantine_path:
         out["quarantined"] = append_new(split.quarantine, quarantine_path, buckets=rules.quarantine_buckets)["rows"]
@@ -240,22 +268,27 @@ def refine_to_path(
 
 
 def refine_all(
-    spark: SparkSession, rules: Sequence[TableRules], bronze_base: str, silver_base: str, quarantine_base: str | None = None
+    spark: SparkSession,
+    rules: Sequence[TableRules],
+    bronze_base: str,
+    silver_base: str,
+    quarantine_base: str | None = None,
+    run: Run | None = None,
 ) -> dict[str, dict]:
     """Refine every table of a rule set; paths are ``{base}/{table}``. Rows without a
-    date column start at one time, taken once for the whole run."""
-    now = dt.datetime.now(dt.timezone.utc)
-    rules = [r if r.effective_from_ts is not None or r.effective_from_column else replace(r, effective_from_ts=now) for r in rules]
-    return {
-        r.table: refine_to_path(
-            spark,
-            r,
-            f"{bronze_base.rstrip('/')}/{r.table}",
-            f"{silver_base.rstrip('/')}/{r.table}",
-            f"{quarantine_base.rstrip('/')}/{r.table}" if quarantine_base else None,
-        )
-        for r in rules
-    }
+    date column start at the time of the run."""
+    run = run or start_run(spark)
+    out = {}
+    for r in rules:
+        target = f"{silver_base.rstrip('/')}/{r.table}"
+
+        def work(r=r, target=target) -> dict[str, Any]:
+            recover_swap(spark, target)
+            quarantine = f"{quarantine_base.rstrip('/')}/{r.table}" if quarantine_base else None
+            return refine_to_path(spark, r, f"{bronze_base.rstrip('/')}/{r.table}", target, quarantine, run.now)
+
+        out[r.table] = run.step(f"silver:{r.table}", work)
+    return out
 
 
 # --------------------------------------------------------------------------- T2 T3 T4
@@ -339,21 +372,42 @@ def run_layers(
     dimensions: Sequence[DimensionJob] = (),
     facts: Sequence[FactJob] = (),
     quarantine: str | None = None,
+    run: Run | None = None,
 ) -> dict[str, Any]:
     """raw → bronze → silver → gold dimensions → gold facts, in order.
-    Sequential calls; each is one distributed Spark job per table."""
+    Sequential steps; each is one distributed Spark job per table. With a ``run`` that has
+    a journal (:func:`layertables.plans.run.start_run`), finished steps are not run again."""
     from layertables.sources.csv import ingest
 
-    report: dict[str, Any] = {"bronze": ingest(spark, raw_feeds, bronze)}
-    report["silver"] = refine_all(spark, rules, bronze, silver, quarantine)
-    report["gold"] = {}
+    run = run or start_run(spark)
+    report: dict[str, Any] = {"bronze": {}, "gold": {}}
+
+    def write(name: str, target: str, make: Callable[[], DataFrame]) -> dict[str, Any]:
+        def work() -> dict[str, Any]:
+            recover_swap(spark, target)
+            return write_table(make(), target)
+
+        return run.step(name, work)
+
+    for table, feed in raw_feeds.items():
+
+        def read_in(table=table, feed=feed) -> dict[str, Any]:
+            recover_swap(spark, f"{bronze.rstrip('/')}/{table}")
+            return ingest(spark, {table: feed}, bronze)[table]
+
+        report["bronze"][table] = run.step(f"bronze:{table}", read_in)
+    report["silver"] = refine_all(spark, rules, bronze, silver, quarantine, run)
     for d in dimensions:
-        hist = read_history(spark, f"{silver}/{d.table}")
-        dim = build_dimension(hist, d.natural_key, d.key_name, d.tracked, d.rename)
-        report["gold"][d.output] = write_table(dim, f"{gold}/{d.output}")
+
+        def dimension(d=d) -> DataFrame:
+            return build_dimension(read_history(spark, f"{silver}/{d.table}"), d.natural_key, d.key_name, d.tracked, d.rename)
+
+        report["gold"][d.output] = write(f"gold:{d.output}", f"{gold}/{d.output}", dimension)
     for f in facts:
-        fact = read_table(spark, f"{silver}/{f.table}")
-        dim = read_table(spark, f"{gold}/{f.dimension}")
-        out = fact_with_dimension(fact, dim, f.fact_key, f.fact_time, f.dim_key, f.key_name, f.select, f.time_format, f.prune)
-        report["gold"][f.output] = write_table(out, f"{gold}/{f.output}")
+
+        def fact(f=f) -> DataFrame:
+            rows, dim = read_table(spark, f"{silver}/{f.table}"), read_table(spark, f"{gold}/{f.dimension}")
+            return fact_with_dimension(rows, dim, f.fact_key, f.fact_time, f.dim_key, f.key_name, f.select, f.time_format, f.prune)
+
+        report["gold"][f.output] = write(f"gold:{f.output}", f"{gold}/{f.output}", fact)
     return report
