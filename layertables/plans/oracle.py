@@ -382,6 +382,29 @@ sl AS (SELECT id, name, 'S-' || coalesce(segment, '') AS segment, nation, create
        CASE WHEN customer_id IS NULL THEN 'null_required:customer_id' ELSE 'null_required:order_date' END AS quarantine_reason
 FROM orders_raw WHERE customer_id IS NULL OR order_date IS NULL""",
     )
+    # Exact distinct counts and exact distribution functions in place of the sketches.
+    loads = []
+    for name in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"):
+        second = {
+            "c_acctbal": "c_acctbal + 3000",
+            "c_name": "CASE WHEN c_custkey % 4 <> 0 THEN c_name END",
+            "c_mktsegment": "c_mktsegment || CAST(c_nationkey AS VARCHAR)",
+        }.get(name, name)
+        for k, e in ((1, name), (2, second)):
+            number = "NULL" if name in ("c_name", "c_mktsegment") else e
+            loads.append(f"SELECT '{name}' AS c, {k} AS load, CAST({e} AS VARCHAR) AS v, CAST({number} AS DOUBLE) AS x FROM customer")
+    q["value_drift"] = f"""WITH vals AS ({" UNION ALL ".join(loads)}),
+sums AS (SELECT c, count(*) FILTER (WHERE load = 1) AS n1, count(*) FILTER (WHERE load = 2) AS n2,
+                count(*) FILTER (WHERE load = 1 AND v IS NULL) AS z1, count(*) FILTER (WHERE load = 2 AND v IS NULL) AS z2,
+                count(DISTINCT v) FILTER (WHERE load = 1) AS d1, count(DISTINCT v) FILTER (WHERE load = 2) AS d2,
+                count(x) FILTER (WHERE load = 1) AS x1, count(x) FILTER (WHERE load = 2) AS x2 FROM vals GROUP BY c),
+cdf AS (SELECT c, count(*) FILTER (WHERE load = 1) OVER w AS f1, count(*) FILTER (WHERE load = 2) OVER w AS f2 FROM vals WHERE x IS NOT NULL
+        WINDOW w AS (PARTITION BY c ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+apart AS (SELECT c, max(abs(f1 / CAST(x1 AS DOUBLE) - f2 / CAST(x2 AS DOUBLE))) AS distance FROM cdf JOIN sums USING (c) GROUP BY c),
+why AS (SELECT sums.*, concat_ws(',', CASE WHEN abs(z1 / CAST(n1 AS DOUBLE) - z2 / CAST(n2 AS DOUBLE)) > 0.05 THEN 'nulls' END,
+               CASE WHEN greatest(d1, d2) > 1.5 * least(d1, d2) THEN 'distinct' END, CASE WHEN distance > 0.1 THEN 'distribution' END) AS reasons
+        FROM sums LEFT JOIN apart USING (c))
+SELECT c AS column_name, n1 AS n_rows_before, n2 AS n_rows_after, z1 AS n_null_before, z2 AS n_null_after, reasons <> '' AS shifted, reasons FROM why"""
     q["quarantine_append_pruned"] = q["quarantine_append_evolved"]
     q["fact_asof_open_end"] = q["scd2_late_arrival_asof"]
     q["fact_asof_day_slice"] = (

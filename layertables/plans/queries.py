@@ -25,6 +25,7 @@ from layertables.operators.history import (
 )
 from layertables.operators.keys import add_dense_key, add_surrogate_key, key_uniqueness
 from layertables.operators.load import LoadSpec, plan_load
+from layertables.operators.profile import compare_profiles, merge_profiles, profile
 from layertables.operators.quarantine import quarantine_summary as _qsummary
 from layertables.operators.quarantine import separate_quarantine_records
 from layertables.operators.skew import SkewSpec
@@ -493,6 +494,27 @@ def refine_quarantine_required(spark: SparkSession, d: str) -> DataFrame:
     return split.quarantine.select("order_id", "customer_id", "order_date", "quarantine_reason")
 
 
+def value_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Two loads of the customers, profiled and compared: in the second, balances are higher, every fourth
+    name is missing and the segments are split by nation."""
+    c = dv.table(spark, d, "customer")
+    path = scratch_path(spark, "profiles")
+    half = F.col("c_custkey") % 2 == 0
+    # The first load came in two parts, whose profiles were stored apart.
+    write_table(profile(c.filter(half)).withColumn("load", F.lit(1)), path)
+    write_table(profile(c.filter(~half)).withColumn("load", F.lit(1)), path, "append")
+    second = c.withColumns(
+        {
+            "c_acctbal": F.col("c_acctbal") + 3000,
+            "c_name": F.when(F.col("c_custkey") % 4 != 0, F.col("c_name")),
+            "c_mktsegment": F.concat("c_mktsegment", F.col("c_nationkey").cast("string")),
+        }
+    )
+    first = merge_profiles(read_table(spark, path).drop("load"))
+    out = compare_profiles(first, profile(second))
+    return out.select("column_name", "n_rows_before", "n_rows_after", "n_null_before", "n_null_after", "shifted", "reasons")
+
+
 def _dated(df: DataFrame) -> DataFrame:
     return resolve_effective_from(df, "updated", "created")
 
@@ -603,6 +625,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_asof_open_end": fact_asof_open_end,
     "fact_asof_day_slice": fact_asof_day_slice,
     "quarantine_append_pruned": quarantine_append_pruned,
+    "value_drift": value_drift,
     "scd2_change_rows": scd2_change_rows,
     "scd2_replay_changes": scd2_replay_changes,
     "scd2_partial_overwrite": scd2_partial_overwrite,

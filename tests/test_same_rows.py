@@ -216,3 +216,17 @@ def test_dense_keys(spark):
     assert sorted(r["k"] for r in first.collect()) == list(range(1, 101))
     assert sorted(r["k"] for r in add_dense_key(df, "k", ["id"], existing=first).collect()) == list(range(101, 201))
     assert add_dense_key(df.filter("id < 0"), "k", ["id"], existing=first.filter("id < 0")).collect() == []
+
+
+def test_dense_keys_are_stable_and_no_group_is_large(spark, monkeypatch):
+    from layertables.operators import keys
+
+    monkeypatch.setattr(keys, "DENSE_ROWS", 200)
+    monkeypatch.setattr(keys, "_DENSE_SAMPLE", 0.5)
+    # A third are one row repeated; others are equal in the order column and differ elsewhere.
+    df = spark.range(6000).selectExpr("if(id % 3 = 0, -1, id % 50) as a", "if(id % 3 = 0, 'same', string(id)) as b")
+    groups = keys.dense_buckets(df, rows=200).groupBy("__lt_kb", "__lt_ks").count().agg({"count": "max", "*": "count"}).first()
+    assert groups[0] <= 350 and groups[1] >= 30
+    numbered = [rows(add_dense_key(x, "k", ["a"]), "k", "a", "b") for x in (df, df.repartition(13), df.coalesce(1))]
+    assert numbered[0] == numbered[1] == numbered[2]
+    assert [r[0] for r in numbered[0]] == list(range(1, 6001))

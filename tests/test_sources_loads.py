@@ -129,3 +129,59 @@ def test_csv_gzip_header_and_many_files(spark, tmp_table):
     ).write.option("header", True).option("compression", "gzip").csv(p)
     df = read_csv_declared(spark, p, DDL, corrupt_column=None)
     assert df.count() == 40 and df.filter("id IS NULL").count() == 0
+
+
+def test_headers_are_read_by_the_executors(spark, tmp_table, monkeypatch):
+    """Many files of three headers, one with a byte order mark, empty and compressed files."""
+    import gzip
+    import os
+
+    from layertables.sources import csv as c
+
+    p = tmp_table("many")
+    local = p[5:] if p.startswith("file:") else p
+    os.makedirs(local)
+    heads = ["id,name,country", "country,id,name", "name,id,extra"]
+    want = []
+    for k in range(30):
+        h = heads[k % 3]
+        row = {"id": str(k), "name": f"n{k}", "country": "UK", "extra": "e"}
+        body = "\n".join([("\ufeff" if k == 4 else "") + h, ",".join(row[x] for x in h.split(",")), h]) + "\n"
+        if k % 10 == 7:
+            with gzip.open(f"{local}/f{k}.csv.gz", "wt") as f:
+                f.write(body)
+        else:
+            with open(f"{local}/f{k}.csv", "w", encoding="utf-8") as f:
+                f.write(body)
+        want.append((k, f"n{k}", None if k % 3 == 2 else "UK"))
+    open(f"{local}/empty.csv", "w").close()
+    got = c.header_table(spark, p).collect()
+    assert len(got) == 30 and {r["line"].lstrip("\ufeff") for r in got} == set(heads)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != c._ONE_FILE["spark.sql.files.maxPartitionBytes"]
+    df = read_csv_declared(spark, p, DDL)
+    assert rows(df, "id", "name", "country") == sorted(want) and df.filter("_corrupt_record is not null").isEmpty()
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("text") >= 1 and "Union" not in plan  # one scan for all headers
+    d = header_drift(spark, p, DDL)
+    assert d["missing_columns"] == ["country"] and d["extra_columns"] == ["extra"]
+
+
+def test_corrupt_lines_of_several_headers(spark, tmp_table):
+    p = tmp_table("csv")
+    _csv(spark, p, ["id", "name", "country"], [("x", "bob", "UK"), ("2", "ann", "FR")])
+    _csv(spark, p, ["country", "id"], [("DE", "y"), ("IT", "5")], mode="append")
+    df = read_csv_declared(spark, p, DDL)
+    assert rows(df, "id", "name", "country", "_corrupt_record") == [
+        (None, None, "DE", "DE,y"),
+        (None, "bob", "UK", "x,bob,UK"),
+        (2, "ann", "FR", None),
+        (5, None, "IT", None),
+    ]
+
+
+def test_fields_over_several_lines(spark, tmp_table):
+    p = tmp_table("csv")
+    spark.createDataFrame([("1", "two\nlines", "UK"), ("x", "b", None)], "id string, name string, country string").coalesce(1).write.option("header", True).csv(p)
+    df = read_csv_declared(spark, p, DDL, multi_line=True)
+    got = rows(df, "id", "name", "country", "_corrupt_record")
+    assert got[1] == (1, "two\nlines", "UK", None) and got[0][:3] == (None, "b", None) and got[0][3] is not None
