@@ -22,7 +22,7 @@ normal forms; the texts are shuffled only where they hold an entity.
 
 Defined cases: null text stays null, empty text stays empty; ids may be null or
 repeated (equal rows get equal results); an empty table gives no rows; columns
-other than id and text are not read.
+other than id and text are not read. Time is linear in the length of a text, whatever it holds.
 """
 
 from __future__ import annotations
@@ -32,13 +32,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layertables.llm.common import written
+from layertables.llm.common import shuffle_partitions, written
 
 # Titles by gender.
 MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Don|господин|г-н|Κύριος|Κύριε"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Señora|Sra|Doña|госпожа|г-жа|Κυρία"
 # Forms of the other kinds, in order of precedence.
-EMAIL = r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# A run of characters is gone through once: from its beginning, with no step back into it, and a
+# domain has at most 127 labels (so a loop never nests as deep as a text is long).
+LEADING = "[._%+-]*+"  # in front of an address, no part of it
+EMAIL = rf"(?<![A-Za-z0-9._%+-]){LEADING}[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){{0,126}}\.[A-Za-z]{{2,}}"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IPV4 = rf"(?<![\d.]){OCTET}\.{OCTET}\.{OCTET}\.{OCTET}(?!\d|\.\d)"
 CARD = r"(?<![\d-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?![\d-])"
@@ -54,7 +57,7 @@ PHONE = (
     r"|(?<![\d.,/+-])[6-9]\d(?:\d[ .-]\d\d|[ .-]\d{3})[ .-]\d\d[ .-]\d\d(?![\d-]|[.,]\d)"
 )
 WORD = r"\p{Lu}[\p{L}'’-]+"
-NAME = rf"(?=[MHSFDгΚ])(?<![\p{{L}}\d])(?:{FEMALE}|{MALE})\.? {WORD}(?: {WORD})?"
+NAME = rf"(?=[MHSFDгΚ])(?<![\p{{L}}\d])(?:{FEMALE}|{MALE})\.? {WORD}(?: (?!(?:{FEMALE}|{MALE})(?![\p{{L}}])){WORD})?"
 # A look at the next character spares most places the alternatives.
 ANY = rf"{EMAIL}|(?=[\d+(])(?:{IPV4}|{CARD}|{SSN}|{PHONE})|{NAME}"
 # What every text with an entity holds.
@@ -95,9 +98,9 @@ def mentions(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     found = rows.select("doc_id", _key("doc_id", "text").alias("key"), F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("place", "whole"))
     found = found.withColumn("type", _kind(F.col("whole")))
     named = F.col("type").isin("m", "f")
-    prefix = F.when(named, F.regexp_extract("whole", r"^\S+ ", 0)).otherwise("")
-    found = found.withColumn("prefix", prefix)
-    words = F.when(named, F.split(F.expr("substring(whole, length(prefix) + 1)"), " ")).otherwise(F.array("whole"))
+    prefix = F.when(named, F.regexp_extract("whole", r"^\S+ ", 0)).when(F.col("type") == "email", F.regexp_extract("whole", f"^{LEADING}", 0)).otherwise("")
+    found = found.withColumn("prefix", prefix).withColumn("whole", F.expr("substring(whole, length(prefix) + 1)"))
+    words = F.when(named, F.split("whole", " ")).otherwise(F.array("whole"))
     found = found.select("doc_id", "key", "place", "prefix", "type", F.size(words).alias("n"), F.posexplode(words).alias("part", "raw"))
     named = F.col("type").isin("m", "f")
     role = F.when(F.col("part") == F.col("n") - 1, F.lit("surname")).otherwise(F.concat(F.lit("given_"), "type"))
@@ -188,9 +191,11 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     entities = written(entities.select("kind", "norm").distinct(), "entities")
     settled = None
     todo = entities.withColumn("tries", F.lit(0))
+    tasks = shuffle_partitions(entities.sparkSession)
     taken_norms = entities.select("kind", F.col("norm").alias("surrogate"))
     while True:
-        drawn = _with_surrogate(todo, key)
+        # Drawing is costly a row, and the table small in bytes: dealt to all tasks, not to as many as its size asks for.
+        drawn = written(_with_surrogate(todo.repartition(tasks, "kind", "norm"), key), "drawn")
         first = drawn.groupBy("kind", "surrogate").agg(F.min("norm").alias("norm"))
         clear = first.join(taken_norms, ["kind", "surrogate"], "left_anti")
         if settled is not None:
@@ -219,17 +224,17 @@ def replace(df: DataFrame, key: str, *, id_col: str = "doc_id", text_col: str =
     named = found.filter(real).join(assign(found.filter(real), key), ["kind", "norm"])
     named = named.withColumn("new", _dress(F.col("raw"), F.col("kind"), F.col("surrogate"))).drop("surrogate")
     named = named.unionByName(found.filter(~real).withColumn("new", F.col("raw")))
-    parts = F.sort_array(F.collect_set(F.struct("place", "part", "prefix", "new", "kind")))
-    by_row = named.groupBy("key").agg(parts.alias("parts"))
+    # The entities of a row in order, each with its text; every place has one. Equal rows give equal parts.
+    parts = F.sort_array(F.collect_set(F.struct("part", "prefix", "new", "kind")))
+    dressed = F.transform(parts, lambda p: F.concat(F.when(p.part == 0, p.prefix).otherwise(F.lit(" ")), p.new))
+    places = named.groupBy("key", "place").agg(F.array_join(dressed, "").alias("new"), F.element_at(parts, 1).kind.alias("kind"))
+    by_row = places.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "new", "kind"))).alias("entities"))
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     has = F.coalesce(F.col("text").rlike(MAYBE) & F.col("text").rlike(ANY), F.lit(False))
     clean = docs.filter(~has).select("doc_id", "text", F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds"))
     dirty = docs.filter(has).withColumn("key", _key("doc_id", "text")).join(by_row, "key")
-    # The gaps between entities, and behind each gap the parts of its entity.
+    # The gaps between entities, and behind each gap but the last its entity.
     gaps = F.split("text", ANY, -1)
-    entity = lambda i: F.array_join(
-        F.transform(F.filter("parts", lambda p: p.place == i), lambda p: F.concat(F.when(p.part == 0, p.prefix).otherwise(F.lit(" ")), p.new)), ""
-    )
-    text = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, entity(i))), "")
-    firsts = F.filter("parts", lambda p: (p.part == 0) & (p.kind != NONE))
+    text = F.array_join(F.transform(F.arrays_zip(gaps.alias("gap"), F.col("entities").alias("e")), lambda z: F.concat(z.gap, F.coalesce(z.e.new, F.lit("")))), "")
+    firsts = F.filter("entities", lambda p: p.kind != NONE)
     return clean.unionByName(dirty.select("doc_id", text.alias("text"), F.size(firsts).alias("n_entities"), F.transform(firsts, lambda p: p.kind).alias("kinds")))

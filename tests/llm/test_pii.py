@@ -116,3 +116,39 @@ def test_numbers_that_are_no_phones_stay(spark):
     rows = [(0, "on 01.02.2024, 2024-01-15 at 08:30:15, 0.1234567 of 1 000 000, 01/02/2024, 12,345,678 and 1234567 in 3.14159265")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert pii.replace(df, "k").first()["text"] == rows[0][1]
+
+
+LONG = {
+    "dots": "x@" + "a." * 250_000 + "!",
+    "labels": "a." * 250_000 + " 1",
+    "addresses": "a@b.co " * 70_000,
+    "digits": "1" * 500_000,
+    "phones": "+" + "1 " * 250_000,
+    "plus": "+" * 500_000 + "1",
+    "at": "a@" * 250_000,
+    "names": "Mr. Smith " * 30_000,
+    "letters": "Mr. A" + "b" * 500_000,
+    "ip": "1.1.1." * 80_000,
+    "underscores": "_-" * 200_000 + "bob@x.org",
+}
+
+
+def test_long_texts_of_every_patterns_own_characters(spark):
+    import time
+
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(LONG.values())], "doc_id bigint, text string").repartition(4)
+    t0 = time.perf_counter()
+    got = {list(LONG)[r["doc_id"]]: r for r in pii.replace(df, "k").collect()}
+    assert time.perf_counter() - t0 < 120
+    assert got["addresses"]["n_entities"] == 70_000 and "a@b.co" not in got["addresses"]["text"]
+    assert got["names"]["n_entities"] == 30_000 and "Smith" not in got["names"]["text"]
+    for name in ("dots", "labels", "digits", "plus", "at"):
+        assert got[name]["text"] == LONG[name], name
+    assert got["underscores"]["text"].startswith("_-" * 200_000) and "bob" not in got["underscores"]["text"]
+
+
+def test_marks_in_front_of_an_address_are_no_part_of_it(spark):
+    rows = [(0, "bob@x.org"), (1, "see...bob@x.org..."), (2, "...bob@x.org"), (3, "_bob@x.org, %bob@x.org"), (4, "bob@x..org")]
+    got = {r["doc_id"]: r["text"] for r in pii.replace(spark.createDataFrame(rows, "doc_id bigint, text string"), "k").collect()}
+    new = got[0]
+    assert new != "bob@x.org" and got[2] == "..." + new and got[3] == f"_{new}, %{new}" and got[4] == "bob@x..org"
