@@ -11,20 +11,25 @@ phrase and starts the next one at the same character, so a step is one lookup,
 and one numpy operation steps through many stretches of text at once. A document
 is parsed in stretches of ``STRETCH`` characters (the end of one ends a phrase).
 
+Languages of up to ``DENSE_LETTERS`` letters share a full table; for one of more letters (Chinese,
+say) transitions are a sorted list, searched for many stretches at once, so that memory grows with
+the training text and not with states times letters.
+
 The automata are fitted on a bounded sample of labelled rows: for every language
-the rows with the smallest hash of their id, until ``TRAIN_CHARS`` characters.
+the rows with the smallest hash of their id, one a id and the first ``2 TRAIN_CHARS`` characters
+of each, until ``TRAIN_CHARS`` characters.
 
-Defined cases: null text, or a text without a letter: ``und``, score 0; rows with
-null lang are not learned from; without any labelled text all are ``und``; other
-columns are ignored; equal rows get equal answers.
+Defined cases: null text, or a text without a letter (a character of Unicode category L):
+``und``, score 0; rows with null lang are not learned from; of rows that share an id the least text
+is learned from; without any labelled text all are ``und``; other columns are ignored; equal rows
+get equal answers.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +39,8 @@ TRAIN_CHARS = 40_000
 TRAIN_DOCS = 60
 STRETCH = 512
 LANES = 1 << 15
-NOT_LETTER = re.compile(r"[\W\d_]+")
+DENSE_LETTERS = 256
+NOT_LETTER = regex.compile(r"\P{L}+")
 UND = "und"
 
 
@@ -84,32 +90,78 @@ def normalise(text: str) -> str:
     return NOT_LETTER.sub(" ", text.lower()).strip()
 
 
-class Model:
-    """The automata of all languages in one table, walked side by side."""
+class Dense:
+    """Automata of few letters in one table, walked side by side."""
 
     def __init__(self, training: dict[str, str]):
-        self.names = sorted(training)
         letters = sorted(set().union(*training.values())) if training else []
         self.code = np.zeros(0x110000, np.int32)
         for k, c in enumerate(letters):
             self.code[ord(c)] = k + 1
         width = len(letters) + 1
         tables, roots, first = [], [], 0
-        for name in self.names:
-            states = SuffixAutomaton(training[name]).next
+        for text in training.values():
+            states = SuffixAutomaton(text).next
             root = np.zeros(width, np.int64)
             for c, to in states[0].items():
                 root[self.code[ord(c)]] = to
             # 2 * (row of the next state) + 1 where a phrase begins with this character.
-            t = np.tile(((first + root) * width * 2 + 1).astype(np.int32), (len(states), 1))
+            t = np.tile((first + root) * width * 2 + 1, (len(states), 1))
             for s, edges in enumerate(states[1:], 1):
                 for c, to in edges.items():
                     t[s, self.code[ord(c)]] = (first + to) * width * 2
-            tables.append(t)
+            # 32 bits, until the table is too long for them.
+            tables.append(t if (first + len(states)) * width * 2 >= 1 << 31 else t.astype(np.int32))
             roots.append(first * width)
             first += len(states)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.roots = np.array(roots, np.int64)
+
+    def start(self, n: int) -> np.ndarray:
+        return np.repeat(self.roots[:, None], n, 1).astype(self.table.dtype)
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        got = self.table[state + code]
+        return got >> 1, got & 1
+
+
+class Sparse:
+    """The automaton of one language of many letters: transitions as a sorted list."""
+
+    def __init__(self, text: str):
+        letters = sorted(set(text))
+        self.code = np.zeros(0x110000, np.int32)
+        for k, c in enumerate(letters):
+            self.code[ord(c)] = k + 1
+        self.width = len(letters) + 1
+        states = SuffixAutomaton(text).next
+        edges = sorted((s * self.width + int(self.code[ord(c)]), to) for s, e in enumerate(states) for c, to in e.items())
+        self.keys = np.array([k for k, _ in edges] + [np.iinfo(np.int64).max], np.int64)
+        self.to = np.array([t for _, t in edges] + [0], np.int64)
+        self.root = np.zeros(self.width, np.int64)
+        for c, to in states[0].items():
+            self.root[self.code[ord(c)]] = to
+
+    def start(self, n: int) -> np.ndarray:
+        return np.zeros((1, n), np.int64)
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = state * self.width + code
+        at = np.searchsorted(self.keys, wanted)
+        there = (self.keys[at] == wanted) & (state > 0)
+        return np.where(there, self.to[at], self.root[code]), ~there
+
+
+class Model:
+    """The automata of all languages."""
+
+    def __init__(self, training: dict[str, str]):
+        few = sorted(n for n, t in training.items() if len(set(t)) <= DENSE_LETTERS)
+        many = sorted(n for n in training if n not in few)
+        order = few + many
+        self.names = sorted(training)
+        self._at = np.array([self.names.index(n) for n in order], np.int64)
+        self._parts = ([Dense({n: training[n] for n in few})] if few else []) + [Sparse(training[n]) for n in many]
         self.bits = np.log2([max(2, len(training[n])) for n in self.names])
 
     def phrase_counts(self, texts: list[str]) -> np.ndarray:
@@ -130,20 +182,25 @@ class Model:
     def _walk(self, lanes: list[str]) -> np.ndarray:
         """Lanes are sorted by falling length. ``[language, lane]``."""
         sizes = np.array([len(x) for x in lanes])
-        chars = np.zeros((sizes[0], len(lanes)), np.int32)
-        flat = self.code[np.frombuffer("".join(lanes).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        flat = np.frombuffer("".join(lanes).encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum(sizes)
         row = np.arange(len(flat)) - np.repeat(ends - sizes, sizes)
-        chars[row, np.repeat(np.arange(len(lanes)), sizes)] = flat
-        state = np.repeat(self.roots[:, None], len(lanes), 1).astype(np.int32)
-        counts = np.zeros(state.shape, np.int32)
+        lane = np.repeat(np.arange(len(lanes)), sizes)
         alive = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
-        for k in range(sizes[0]):
-            n = alive[k]
-            got = self.table[state[:, :n] + chars[k, :n]]
-            counts[:, :n] += got & 1
-            state[:, :n] = got >> 1
-        return counts
+        out = []
+        for part in self._parts:
+            chars = np.zeros((sizes[0], len(lanes)), np.int32)
+            chars[row, lane] = part.code[flat]
+            state = part.start(len(lanes))
+            counts = np.zeros(state.shape, np.int32)
+            for k in range(sizes[0]):
+                n = alive[k]
+                state[:, :n], new = part.step(state[:, :n], chars[k, :n])
+                counts[:, :n] += new
+            out.append(counts)
+        found = np.zeros((len(self.names), len(lanes)), np.int32)
+        found[self._at] = np.concatenate(out)
+        return found
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         clean = [normalise(t) for t in texts]
@@ -170,12 +227,14 @@ def training_text(
         F.xxhash64(F.col("doc_id").cast("string")).alias("h"),
         F.col(text_col).alias("text"),
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
+    # One row a language. Ids count, not rows: of a repeated id one row is taken.
+    counts = {r["lang"]: max(1, r["n"]) for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
         return {}
     limits = {k: min(2**63 - 1, -(2**63) + 2**64 * max_docs // n) for k, n in counts.items()}
     limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
-    picked = rows.filter(F.col("h") <= limit[F.col("lang")])
+    picked = rows.filter(F.col("h") <= limit[F.col("lang")]).withColumn("text", F.substring("text", 1, 2 * chars))
+    picked = picked.groupBy("lang", "h").agg(F.min("text").alias("text"))
     out: dict[str, list[str]] = {}
     size: dict[str, int] = {}
     for r in picked.orderBy("lang", "h", "text").collect():

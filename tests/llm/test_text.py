@@ -152,6 +152,39 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert {r["lang_pred"] for r in langid.predict(odd_docs, {}).collect()} == {"und"}
 
 
+def _chinese(rng, n, letters=3000):
+    """Invented text over the first of the Chinese characters, the frequent ones oftener."""
+    return "".join(chr(0x4E00 + int(letters * rng.random() ** 2)) for _ in range(n))
+
+
+def test_languages_of_many_letters_walk_a_sorted_list():
+    import random
+
+    rng = random.Random(1)
+    training = {"zh": _chinese(rng, 20_000), "ja": _chinese(rng, 5000, 800), "en": "the quick brown fox jumps over the lazy dog " * 40, "el": "και το είναι " * 50}
+    m = langid.Model(training)
+    assert len(m._parts) == 3 and sum(p.keys.nbytes for p in m._parts if isinstance(p, langid.Sparse)) < 4 << 20
+    texts = [training["zh"][300:900], _chinese(rng, 700), "the lazy fox και το", training["ja"][:200] + " quick"]
+    got = m.phrase_counts(texts)
+    for d, t in enumerate(texts):
+        parts = [t[k : k + langid.STRETCH] for k in range(0, len(t), langid.STRETCH)]
+        want = [sum(langid.SuffixAutomaton(training[n]).phrases(x) for x in parts) for n in m.names]
+        assert got[d].tolist() == want
+    assert [p for p, _ in m.predict(texts[:1] + ["the dog jumps"])] == ["zh", "en"]
+
+
+def test_texts_without_a_letter_are_und():
+    m = langid.Model({"en": "abc def", "de": "xyz"})
+    assert [m.predict([t])[0] for t in ("½ ²³ ①", "Ⅷ", "12_3", "", "\u0301", " \n")] == [("und", 0.0)] * 6
+    assert m.predict(["½ abc def abc"])[0][0] == "en"
+
+
+def test_repeated_ids_are_learned_from_once(spark):
+    rows = [(1, f"wort{chr(97 + k % 26)} " * 30, "de") for k in range(500)] + [(2, "word " * 9, "en")]
+    t = langid.training_text(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert t == {"de": ("worta " * 30).strip(), "en": ("word " * 9).strip()}
+
+
 # ------------------------------------------------------------------ simhash
 
 
