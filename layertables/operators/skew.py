@@ -44,7 +44,7 @@ class SkewSpec:
     seed: int = 17
 
 
-# Quantiles taken of a hot key's times; a key uses every n-th of them.
+# Buckets of a key at most.
 MAX_BUCKETS = 1024
 
 
@@ -86,9 +86,11 @@ def hot_key_bounds(
     hot = df.sparkSession.createDataFrame(
         [tuple(r) for r in counts], T.StructType([*key_fields, T.StructField("__lt_n", T.LongType(), False)])
     )
-    pct = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
     per_bucket = max(1, math.ceil(spec.bucket_rows * spec.sample_fraction))
-    step = F.greatest(F.lit(1), F.floor(F.lit(MAX_BUCKETS) * per_bucket / F.col("__lt_n"))).cast("int")
+    # As many quantiles as the hottest key needs; other keys use every n-th of them.
+    grid = min(MAX_BUCKETS, max(2, -(-max(r["__lt_n"] for r in counts) // per_bucket)))
+    pct = [i / grid for i in range(1, grid)]
+    step = F.greatest(F.lit(1), F.floor(F.lit(grid) * per_bucket / F.col("__lt_n"))).cast("int")
     agg = (
         s.join(hot.select(*keys), list(keys), "left_semi")
         .groupBy(*keys)

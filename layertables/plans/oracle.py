@@ -1,9 +1,7 @@
 """ANSI SQL (DuckDB dialect) for every driver query: the same derivations as
-:mod:`layertables.plans.derive` and, for the history merge, the same rule
-written as SQL window functions, so the differential check compares two
-independent executions of one specification. Change classes, key sets and
-as-of answers are written in a *different* form (joins with IS DISTINCT
-FROM) on purpose.
+:mod:`layertables.plans.derive`, and the operators' meaning in another form on
+purpose: the history merge by joins between versions where the operator uses
+windows, change classes, key sets and as-of answers by joins with IS DISTINCT FROM.
 """
 
 from __future__ import annotations
@@ -34,30 +32,43 @@ def merge_sql(
     close_at: str | None = None,
     present: str | None = None,
 ) -> str:
-    """CTEs ending in ``name`` = merge of ``inc`` (with effective_from) into ``hist``."""
+    """CTEs ending in ``name`` = merge of ``inc`` (with effective_from) into ``hist``, stated by
+    joins between versions: what a row's predecessor is, whether it is stored already, what starts next."""
     cols = [*keys, *tracked, *rest]
     c = ", ".join(cols)
     kp = ", ".join(keys)
-    tp = ", ".join(tracked)
     tie = ", ".join(f"{x} ASC NULLS FIRST" for x in [*tracked, *rest])
-    u = f"SELECT {c}, effective_from, {end} AS effective_to, 1 AS src FROM {inc}"
-    if hist:
-        u = f"SELECT {c}, effective_from, effective_to, 0 AS src FROM {hist} UNION ALL {u}"
-    w = f"(PARTITION BY {kp} ORDER BY effective_from, src, effective_to, {tie})"
-    lags = ", ".join(f"lag({t}) OVER {w} AS p_{t}" for t in tracked)
-    diff = " OR ".join(f"{t} IS DISTINCT FROM p_{t}" for t in tracked)
-    to = f"least(effective_to, coalesce(lead(effective_from) OVER {w}, {end}))"
+    same_key = " AND ".join(f"o.{k} = x.{k}" for k in keys)
+    same = " AND ".join(f"o.{t} IS NOT DISTINCT FROM x.{t}" for t in tracked)
+    values = "{" + ", ".join(f"'{t}': o.{t}" for t in tracked) + "}"
+    differs = " OR ".join(f"x.{t} IS DISTINCT FROM p.v.{t}" for t in tracked)
+    stored = f"SELECT {c}, effective_from, effective_to FROM {hist}" if hist else f"SELECT {c}, effective_from, {end} AS effective_to FROM {inc} WHERE FALSE"
+    # Places in the order of a key: by start, stored before new, by end.
+    place = "{{'f': {0}.effective_from, 's': {0}.src, 't': {0}.effective_to}}".format
     ctes = [
-        f"{name}_u AS ({u})",
-        f"{name}_d AS (SELECT * FROM {name}_u QUALIFY src = 0 OR row_number() OVER (PARTITION BY {kp}, effective_from, src ORDER BY effective_to, {tie}) = 1)",
-        f"{name}_r AS (SELECT * FROM {name}_d QUALIFY NOT (src = 1 AND min(src) OVER (PARTITION BY {kp}, effective_from, {tp}) = 0))",
-        # A batch row inside a stored interval ends with it at the latest.
-        f"""{name}_i AS (SELECT * REPLACE (CASE WHEN src = 1 AND inside > effective_from THEN least(effective_to, inside) ELSE effective_to END AS effective_to)
-           FROM (SELECT *, last_value(CASE WHEN src = 0 THEN effective_to END IGNORE NULLS) OVER (PARTITION BY {kp} ORDER BY effective_from, src, effective_to, {tie}
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS inside FROM {name}_r))""",
-        f"{name}_l AS (SELECT *, lag(1) OVER {w} AS p_marker, lag(effective_to) OVER {w} AS p_to, {lags} FROM {name}_i)",
-        f"{name}_k AS (SELECT * FROM {name}_l WHERE src = 0 OR p_marker IS NULL OR {diff} OR p_to < effective_from)",
-        f"{name}_e AS (SELECT {c}, effective_from, {to} AS effective_to FROM {name}_k)",
+        f"{name}_s AS ({stored})",
+        # One batch row a key and start (the tie-break), none that is stored already.
+        f"{name}_b AS (SELECT {c}, effective_from FROM {inc} QUALIFY row_number() OVER (PARTITION BY {kp}, effective_from ORDER BY {tie}) = 1)",
+        f"""{name}_n AS (SELECT row_number() OVER () AS n, x.* FROM {name}_b x
+           WHERE NOT EXISTS (SELECT 1 FROM {name}_s o WHERE {same_key} AND o.effective_from = x.effective_from AND {same}))""",
+        # A new row ends at the latest with the stored version that began last before it, if it is still in force.
+        f"""{name}_inside AS (SELECT x.n, arg_max(o.effective_to, {{'f': o.effective_from, 't': o.effective_to}}) AS inside
+           FROM {name}_n x JOIN {name}_s o ON {same_key} AND o.effective_from <= x.effective_from GROUP BY x.n)""",
+        f"""{name}_u AS (SELECT 0 AS src, 0 AS n, {c}, effective_from, effective_to FROM {name}_s
+           UNION ALL SELECT 1, x.n, {", ".join("x." + k for k in cols)}, x.effective_from,
+                  CASE WHEN i.inside > x.effective_from THEN least(i.inside, {end}) ELSE {end} END
+           FROM {name}_n x LEFT JOIN {name}_inside i ON i.n = x.n)""",
+        # The row just before a new one: the latest to begin, among those of one start the new one, then the one that ends last.
+        f"""{name}_p AS (SELECT x.n, arg_max({{'v': {values}, 't': o.effective_to}}, {place("o")}) AS p
+           FROM {name}_u x JOIN {name}_u o ON {same_key} AND (o.effective_from < x.effective_from OR (o.effective_from = x.effective_from AND o.src < x.src))
+           WHERE x.src = 1 GROUP BY x.n)""",
+        # A new row stays if nothing is before it, or something else, or a gap.
+        f"""{name}_k AS (SELECT x.* FROM {name}_u x LEFT JOIN {name}_p p0 ON p0.n = x.n AND x.src = 1 LEFT JOIN LATERAL (SELECT p0.p.v AS v, p0.p.t AS t) p ON TRUE
+           WHERE x.src = 0 OR p0.n IS NULL OR {differs} OR p.t < x.effective_from)""",
+        # A version ends where the next one starts.
+        f"""{name}_e AS (SELECT {", ".join("x." + k for k in cols)}, x.effective_from, least(any_value(x.effective_to), coalesce(min(o.effective_from), {end})) AS effective_to
+           FROM (SELECT *, row_number() OVER () AS id FROM {name}_k) x LEFT JOIN {name}_k o ON {same_key} AND {place("o")} > {place("x")}
+           GROUP BY x.id, {", ".join("x." + k for k in cols)}, x.effective_from)""",
     ]
     if missing == "keep":
         final = f"SELECT {c}, effective_from, effective_to, effective_to = {end} AS is_current FROM {name}_e"

@@ -227,15 +227,22 @@ def merge_history(
         batch, existing, keys, tracked, missing_keys=missing_keys, close_at=close_at, present_keys=present_keys
     ).write.mode("overwrite").parquet(kept)
     changes = read_table(spark, kept)
-    counts = {r[0]: r[1] for r in changes.groupBy(CHANGE).count().collect()}
-    if not counts:
-        return Merged(run, 0, 0, 0, [])
-
     end = open_end(changes.schema[VALID_TO].dataType)
     was_open, was_closed = F.col(PREVIOUS_TO) == end, F.col(PREVIOUS_TO) < end
-    now_open = F.col(VALID_TO) == end
-    open_b = bucket_of(changes.filter(was_open | now_open))
-    closed_b = bucket_of(changes.filter(was_closed))
+    touches = [
+        F.col(CHANGE),
+        _bucket(keys, n).alias("b"),
+        F.coalesce(was_open | (F.col(VALID_TO) == end), F.lit(False)).alias("o"),
+        F.coalesce(was_closed, F.lit(False)).alias("c"),
+    ]
+    found = changes.groupBy(*touches).count().collect()  # a few rows a bucket
+    if not found:
+        return Merged(run, 0, 0, 0, [])
+    counts: dict[str, int] = {}
+    for r in found:
+        counts[r[CHANGE]] = counts.get(r[CHANGE], 0) + r["count"]
+    open_b = sorted({r["b"] for r in found if r["o"]})
+    closed_b = sorted({r["b"] for r in found if r["c"]})
     # Open versions of changed buckets as they will be: still open, or closed by this run.
     before = stored.filter((F.col(STATE) == OPEN) & F.col(at).isin(open_b)).drop(STATE, RUN, at)
     after = _placed(apply_changes(before, changes.filter(F.col(CHANGE).eqNullSafe(INSERT) | was_open), keys, tracked), keys, n, run)
