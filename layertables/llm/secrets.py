@@ -10,8 +10,11 @@ and only the candidates are matched with the expression. A rule without a
 mandatory trigram matches every document. A block's index is built and used where
 the block is read, so no text is shuffled and nothing outgrows a batch.
 
-Trigrams are taken of lower-cased ASCII letters, on both sides, so that rules that
-ignore case need no wider queries.
+A trigram is three bytes, on both sides: of every character the low byte, A-Z
+lower-cased. So rules that ignore the case of ASCII letters need no wider queries;
+where a rule ignores case beyond ASCII, a letter stands for the bytes of all
+characters that the expression takes for it. Characters that share a byte add
+candidates and lose none.
 
 Defined cases: null text is the empty text; an empty text has no span; ids may be
 null or repeated; other columns pass through :func:`redact` untouched.
@@ -22,6 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 from re import _constants as K
 from re import _parser
 
@@ -33,6 +37,8 @@ from pyspark.sql import functions as F
 from layertables.llm.common import map_rows, small_batches, text_or_empty
 
 MAX_STRINGS = 64
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 @dataclass(frozen=True)
@@ -92,11 +98,30 @@ def _of_strings(strings: set[str]) -> object:
 
 def trigram_query(pattern: str, flags: int = 0) -> object:
     """What a text must hold, in lower-case trigrams, for the pattern to match."""
-    found, rest = _walk(list(_parser.parse(pattern, flags)))
+    parsed = _parser.parse(pattern, flags)
+    found, rest = _walk(list(parsed), parsed.state.flags)
     return _all([rest, _of_strings(found) if found is not None else True])
 
 
-def _walk(items) -> tuple[set[str] | None, object]:
+def _fold(c: str) -> str:
+    """The byte, as a character, that a trigram has of ``c``."""
+    return chr(_LOWER[ord(c) & 0xFF])
+
+
+@cache
+def _cased() -> str:
+    return "".join(c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000 and (c.lower() != c or c.upper() != c))
+
+
+@cache
+def _variants(c: str, flags: int) -> frozenset[str]:
+    """The bytes of all characters that match the literal ``c``."""
+    if not flags & re.IGNORECASE or flags & re.ASCII and c.isascii():
+        return frozenset({_fold(c)})
+    return frozenset(map(_fold, {c, *re.findall(re.escape(c), _cased(), flags & (re.IGNORECASE | re.ASCII))}))
+
+
+def _walk(items, flags: int) -> tuple[set[str] | None, object]:
     """``(strings, query)``: all strings that the part can match, if few, and what
     else must hold."""
     run: set[str] | None = {""}
@@ -110,7 +135,7 @@ def _walk(items) -> tuple[set[str] | None, object]:
 
     exact = True
     for op, arg in items:
-        one = _strings(op, arg)
+        one = _strings(op, arg, flags)
         if isinstance(one, set):
             if run is None:
                 run = {""}
@@ -131,33 +156,33 @@ def _walk(items) -> tuple[set[str] | None, object]:
     return None, _all(queries)
 
 
-def _strings(op, arg) -> set[str] | object:
+def _strings(op, arg, flags: int) -> set[str] | object:
     """The strings an item can match, or a query where they are too many."""
     if op is K.LITERAL:
-        return {chr(arg).lower() if arg < 128 else chr(arg)}
+        return set(_variants(chr(arg), flags))
     if op is K.AT:
         return {""}
     if op is K.IN:
         chars: set[str] = set()
         for kind, v in arg:
             if kind is K.LITERAL:
-                chars.add(chr(v).lower() if v < 128 else chr(v))
+                chars |= _variants(chr(v), flags)
             elif kind is K.RANGE and v[1] - v[0] < 8:
-                chars |= {chr(c).lower() if c < 128 else chr(c) for c in range(v[0], v[1] + 1)}
+                chars = chars.union(*(_variants(chr(c), flags) for c in range(v[0], v[1] + 1)))
             else:
                 return True
         return chars if len(chars) <= 8 else True
     if op is K.SUBPATTERN:
-        found, query = _walk(list(arg[3]))
+        found, query = _walk(list(arg[3]), (flags | arg[1]) & ~arg[2])
         return found if found is not None else query
     if op is K.BRANCH:
-        parts = [_walk(list(x)) for x in arg[1]]
+        parts = [_walk(list(x), flags) for x in arg[1]]
         if all(s is not None for s, _ in parts):
             return set().union(*(s for s, _ in parts))
         return _any(_of_strings(s) if s is not None else q for s, q in parts)
     if op in (K.MAX_REPEAT, K.MIN_REPEAT, K.POSSESSIVE_REPEAT):
         low, high, body = arg
-        found, query = _walk(list(body))
+        found, query = _walk(list(body), flags)
         if found is not None and low == high == 1:
             return found
         if found is not None and (low, high) == (0, 1):
@@ -192,10 +217,6 @@ def _lower_bytes(text: str) -> np.ndarray:
     return u
 
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-
 class BlockIndex:
     """Postings of a block of texts for a vocabulary of trigrams."""
 

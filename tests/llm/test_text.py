@@ -305,6 +305,21 @@ def test_trigram_queries():
     assert index.answer(("or", ("abc", "bcx"))).tolist() == [0, 1] and index.answer(True).tolist() == [0, 1, 2, 3, 4]
 
 
+def test_rules_beyond_ascii_equal_a_full_scan():
+    flags = [0, re.IGNORECASE, re.ASCII, re.IGNORECASE | re.ASCII]
+    patterns = ["Łódź-[0-9]{4}", "école-key", "token-k", "(?i)straße", "(?i:Ключ)=x", "[Łł]ódź", "ſecret", "(?-i:ABC)def", "пароль|密码是", "İstanbul", "µ-key", "[a-cÀ-Â]bcd", "Āāxyz"]
+    texts = ["Łódź-1234 łÓDŹ-1234", "ÉCOLE-KEY école-key", "toKen-\u212a token-k TO\u212aEN-K", "STRASSE straße STRAẞE", "КЛЮЧ=x ключ=X", "łódź",
+             "SECRET ſecret secret", "ABCDEF ABCdef abcdef", "ПАРОЛЬ пароль 密码是", "istanbul İSTANBUL ıstanbul", "Μ-KEY µ-key μ-KEY", "ábcd àbcd Àbcd BBCD", "āāxyz ĀĀXYZ", ""]
+    found = 0
+    for f in flags:
+        rules = tuple(secrets.Rule(f"r{k}", p, f) for k, p in enumerate(patterns))
+        for rule in rules:
+            want = [sorted((m.start(), 0, m.end()) for m in re.compile(rule.pattern, f).finditer(t)) for t in texts]
+            assert secrets.Scanner((rule,)).block(texts) == want, (rule, f)
+            found += sum(map(len, want))
+    assert found > 60
+
+
 def test_redaction(spark, odd_docs):
     df = spark.createDataFrame([(1, "a password=abcdef0123456789abcdef0123 b", 39, 5), (2, "clean", 5, 6), (3, None, None, 7)], "doc_id bigint, text string, n_chars bigint, kind int")
     rows = {r["doc_id"]: r for r in secrets.redact(df).collect()}
