@@ -10,7 +10,9 @@ noisy-or, and the sentences that reach ``threshold`` are then the offending ones
 
 The classifier is fitted on a bounded sample of labelled rows: at most
 ``max_positive`` and ``max_negative`` documents, those with the smallest hash of
-their id. Scoring is one pass over all rows.
+their id, and of a document at most ``max_chars`` characters; of a repeated id the
+least text is learned from. Both bounds hold before anything reaches the driver.
+Scoring is one pass over all rows and whole texts.
 
 Defined cases: null and empty texts have no sentence and score 0; labels other
 than 0 and 1, null ids and ids without a document are not learned from; a
@@ -45,6 +47,7 @@ SIGNIFICANT = 2.5
 POSITIVE_WEIGHT = 2.0
 MAX_POSITIVE = 1000
 MAX_NEGATIVE = 2000
+MAX_CHARS = 1 << 18
 MEMO_WORDS = 1 << 19
 LONG = 40
 # About a word's length: the root of the number of features divides a part's weight.
@@ -225,15 +228,16 @@ def fit(
     learn_from: Column | None = None,
     max_positive: int = MAX_POSITIVE,
     max_negative: int = MAX_NEGATIVE,
+    max_chars: int = MAX_CHARS,
     text_col: str = "text",
 ) -> Model:
     """Learn from documents with a label; ``learn_from`` says which ids may be used."""
     learn_from = F.lit(True) if learn_from is None else learn_from
     sample = sample_labels(labels, learn_from, max_positive, max_negative)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    # The sample has at most max_positive + max_negative rows.
-    got = texts.join(F.broadcast(sample), "doc_id").select("text", "y")
-    rows = got.collect()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.substring(text_or_empty(text_col), 1, max_chars).alias("text"))
+    # The sample has at most max_positive + max_negative rows; one text for each is left before the collect.
+    got = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    rows = got.orderBy("doc_id").collect()
     return learn(([w for _, _, w in sentences(r["text"].lower())] for r in rows), [r["y"] for r in rows])
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -70,6 +71,36 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert toxicity.fit(no_docs, labels).bias == -np.inf
 
 
+def test_repeated_ids_reach_the_fit_once(spark):
+    words = ["calm", "river", "stone", "green", "field", "paper"]
+    docs = [(k, f"{words[k % 6]} {words[k % 5]}. {'vile slur' if k % 2 else words[k % 4]} here.") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, toxic int")
+    schema = "doc_id bigint, text string"
+    once = toxicity.fit(spark.createDataFrame(docs, schema), labels)
+    more = toxicity.fit(spark.createDataFrame(docs + docs[7:8] * 200, schema), labels)
+    assert once.bias == more.bias and (once.weights == more.weights).all() and np.isfinite(once.bias)
+    tail = toxicity.fit(spark.createDataFrame([(k, t + " x" * 500) for k, t in docs], schema), labels, max_chars=20)
+    cut = toxicity.fit(spark.createDataFrame([(k, t[:20]) for k, t in docs], schema), labels)
+    assert tail.bias == cut.bias and (tail.weights == cut.weights).all()
+
+
+def test_whole_table_equals_a_plain_noisy_or(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, learn_from=~toxicity.held_out())
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    weigh = lambda w: (lambda f: sum(float(model.weights[i]) for i in f) / len(f) ** 0.5 if f else 0.0)(toxicity.word_features(w))
+    for r in docs.collect():
+        clean, spans = 1.0, []
+        for a, e, words in toxicity.sentences((r["text"] or "").lower()):
+            p = 1 / (1 + math.exp(-(model.bias + sum(map(weigh, words)))))
+            clean *= 1 - p
+            spans += [(a, e)] * (p >= 0.5)
+        one = got[r["doc_id"]]
+        assert one["score"] == pytest.approx(1 - clean, abs=1e-6) and one["predicted"] == (one["score"] >= 0.5)
+        if one["predicted"] and spans:
+            assert [(s["start"], s["end"]) for s in one["spans"]] == spans
+
+
 def test_long_sentences_are_read_in_parts():
     parts = list(toxicity.sentences("w " * 100))
     assert [len(w) for *_, w in parts] == [32, 32, 32, 4]
