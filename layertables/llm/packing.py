@@ -35,6 +35,8 @@ FIT_STEPS = 150
 FIT_SHARE = 0.9
 SALTS = 64
 SALTED_ROWS = 100_000
+# Repeats of a pattern that one row of the plan stands for.
+PLAN_REPEATS = 100_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -168,10 +170,16 @@ def _residual(left: np.ndarray, size: int) -> list[tuple[list[int], int]]:
         plan.append((lengths, 1 + more))
 
 
+def _salted(pieces: DataFrame, salts: int) -> DataFrame:
+    return pieces.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)))
+
+
 def pack(df: DataFrame, tokenizer_path: str, *, max_tokens: int = MAX_TOKENS, end_id: int = 0, **cols) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     spark = df.sparkSession
-    pieces = written(cut_pieces(df, tokenizer_path, max_tokens=max_tokens, end_id=end_id, **cols), "pieces")
+    cut = cut_pieces(df, tokenizer_path, max_tokens=max_tokens, end_id=end_id, **cols)
+    # A number of its own for every row, fixed once it is written: equal rows are told apart by it.
+    pieces = written(cut.withColumn("row_id", F.monotonically_increasing_id()), "pieces")
     # At most max_tokens rows reach the driver.
     counts = np.zeros(max_tokens + 1, np.int64)
     for r in pieces.groupBy("length").count().collect():
@@ -182,8 +190,9 @@ def pack(df: DataFrame, tokenizer_path: str, *, max_tokens: int = MAX_TOKENS, en
     for lengths, repeats in plan_patterns(counts, max_tokens):
         at = 0
         for v in lengths:
-            for name, value in zip(slots, (v, int(taken[v]), repeats, sequence, at)):
-                slots[name].append(value)
+            for k in range(0, repeats, PLAN_REPEATS):
+                for name, value in zip(slots, (v, int(taken[v]) + k, min(PLAN_REPEATS, repeats - k), sequence + k, at)):
+                    slots[name].append(value)
             taken[v] += repeats
             at += v
         sequence += repeats
@@ -193,13 +202,11 @@ def pack(df: DataFrame, tokenizer_path: str, *, max_tokens: int = MAX_TOKENS, en
         "length", (F.col("first") + F.col("k")).alias("rank"), (F.col("sequence") + F.col("k")).alias("sequence_id"), "offset"
     )
     # As many salts as keep a task's share of the commonest length bounded.
-    salts = max(SALTS, int(counts.max()) // SALTED_ROWS + 1)
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts))
-    salted = pieces.withColumn("salt", salt)
+    salted = _salted(pieces, max(SALTS, int(counts.max()) // SALTED_ROWS + 1))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
     base = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     base = base.select("length", "salt", F.coalesce(before, F.lit(0)).alias("base"))
-    row = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32"))
+    row = F.row_number().over(Window.partitionBy("length", "salt").orderBy("row_id"))
     ranked = salted.withColumn("row", row).join(base, ["length", "salt"])
     ranked = ranked.withColumn("rank", F.col("base") + F.col("row") - 1)
     return ranked.join(places, ["length", "rank"]).select(

@@ -121,3 +121,20 @@ def test_common_length_is_spread(spark):
     rows = packing.pack(df, public_path(NAMES[1])).collect()
     n = rows[0]["length"]
     assert len({r["sequence_id"] for r in rows}) == -(-3000 // (2048 // n))
+
+
+def test_repeated_row_is_spread_and_plan_rows_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PLAN_REPEATS", 7)
+    monkeypatch.setattr(packing, "SALTED_ROWS", 40)
+    seen = []
+    salted = packing._salted
+    monkeypatch.setattr(packing, "_salted", lambda p, n: seen.append(salted(p, n)) or seen[-1])
+    df = spark.range(4000).selectExpr("if(id % 3 = 0, id, null) as doc_id", "if(id % 3 = 0, repeat('a b ', int(id % 90)), 'same words here') as text")
+    rows = packing.pack(df, public_path(NAMES[1])).collect()
+    e = ENCODERS[NAMES[1]]
+    want = []
+    for r in df.collect():
+        ids = e.whole(r["text"]) + np.array([0], "<u4").tobytes()
+        want.append((str(r["doc_id"]), 0, len(ids) // 4, zlib.crc32(ids)))
+    check_packed(rows, sorted(want), 2048)
+    assert seen[0].groupBy("length", "salt").count().agg({"count": "max"}).first()[0] < 200
