@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from layertables.llm.common import shuffle_partitions, small_batches, text_or_empty
+from layertables.llm.common import shuffle_partitions, small_batches, text_or_empty, written
 from layertables.llm.tokens import encoder
 
 WIDTHS = (8, 8, 16)
 RANK_BLOCK = 512
 SEGMENT_TOKENS = 1 << 18
+# As many found segments are sent to the readers of the codes as a list.
+LISTED_SEGMENTS = 100_000
 MAGIC = b"DAC1"
 _DTYPE = {8: np.dtype("u1"), 16: np.dtype("<u2")}
 STORE = "shard int, segment int, start bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, codes binary"
@@ -198,27 +200,39 @@ def tokens_at(spark: SparkSession, path: str, positions: DataFrame, col: str = "
     """``(position, token)`` for positions in the whole store, each once.
 
     A position finds its segment by an equi join on a grid of ``SEGMENT_TOKENS``
-    cells; a segment then meets its own distinct positions only, of which it has
-    as many as ids at most. Positions outside the store give no row."""
+    cells, from the segments' sizes alone. Only the codes of segments that were found are
+    then read: few enough of them (counted) go to the readers as a list, so that no
+    codes are shuffled but theirs. A segment meets its own distinct positions, of which
+    it has as many as ids at most. Positions outside the store give no row."""
     store = read_store(spark, path)
     cell = F.lit(SEGMENT_TOKENS)
-    segs = store.join(F.broadcast(shard_starts(store)), "shard").withColumn("first", F.col("base") + F.col("start"))
+    sizes = store.select("shard", "segment", "start", "n_tokens")
+    segs = sizes.join(F.broadcast(shard_starts(sizes)), "shard").withColumn("first", F.col("base") + F.col("start"))
     segs = segs.withColumn("last", F.col("first") + F.col("n_tokens") - 1)
-    places = segs.select("first", "last", F.explode(F.sequence(F.floor(F.col("first") / cell), F.floor(F.col("last") / cell))).alias("cell"))
+    cells = F.explode(F.sequence(F.floor(F.col("first") / cell), F.floor(F.col("last") / cell))).alias("cell")
+    places = segs.select("shard", "segment", "first", "last", cells)
     wanted = positions.select(F.col(col).cast("bigint").alias("position")).distinct()
     wanted = wanted.withColumn("cell", F.floor(F.col("position") / cell))
-    hit = wanted.join(places, "cell").filter("position between first and last").select("position", F.col("first").alias("of"))
+    hit = wanted.join(places, "cell").filter("position between first and last").select("shard", "segment", "position", "first")
+    hit = written(hit, "hits")
+    found = hit.select("shard", "segment").distinct()
+    codes = store.select("shard", "segment", "codes")
+    if found.count() <= LISTED_SEGMENTS:
+        shards = [r[0] for r in found.select("shard").distinct().collect()]
+        codes = codes.filter(F.col("shard").isin(shards)).join(F.broadcast(found), ["shard", "segment"], "left_semi")
+    else:
+        codes = codes.join(found, ["shard", "segment"], "left_semi")
 
     def pick(left, right):
         import pandas as pd
 
         out = {"position": [], "token": []}
-        for codes, first in zip(left["codes"], left["first"]):
+        for codes in left["codes"]:
             view = DacView(codes)
-            for p in right["position"]:
+            for p, first in zip(right["position"], right["first"]):
                 out["position"].append(p)
                 out["token"].append(view[int(p - first)])
         return pd.DataFrame(out)
 
-    left = segs.select("first", "codes").groupBy("first")
-    return left.cogroup(hit.groupBy("of")).applyInPandas(pick, "position bigint, token bigint")
+    key = ["shard", "segment"]
+    return codes.groupBy(*key).cogroup(hit.groupBy(*key)).applyInPandas(pick, "position bigint, token bigint")

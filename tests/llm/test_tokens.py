@@ -54,6 +54,20 @@ def test_store_returns_every_document(spark, odd_docs, tmp_table):
     assert {tuple(r) for r in token_store.tokens_at(spark, path, df).collect()} == {(p, whole[p]) for p in places if p in whole}
 
 
+@pytest.mark.parametrize("listed", [0, 100])
+def test_lookup_reads_the_codes_of_found_segments_only(spark, tmp_table, monkeypatch, listed):
+    monkeypatch.setattr(token_store, "LISTED_SEGMENTS", listed)
+    path, e = tmp_table("store"), ENCODERS[NAMES[0]]
+    docs = spark.range(60).selectExpr("id as doc_id", "repeat(concat('word', id, ' '), 40) as text")
+    token_store.write_token_store(docs, path, public_path(NAMES[0]), segment_tokens=90, shards=4)
+    ids = [t for r in docs.orderBy("doc_id").collect() for t in [*np.frombuffer(e.whole(r["text"]), "<u4").tolist(), 1]]
+    df = spark.createDataFrame([(p,) for p in (0, 5, len(ids) - 1, len(ids), 5)], "position bigint")
+    got = token_store.tokens_at(spark, path, df)
+    assert sorted(map(tuple, got.collect())) == [(p, ids[p]) for p in (0, 5, len(ids) - 1)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan and "In(shard" in plan) == (listed > 0)
+
+
 def test_store_of_nothing(spark, no_docs, tmp_table):
     path = tmp_table("store")
     token_store.write_token_store(no_docs, path, public_path(NAMES[0]))
