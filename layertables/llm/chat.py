@@ -42,15 +42,15 @@ def _turns(df: DataFrame) -> DataFrame:
 def prefix_hashes(df: DataFrame) -> DataFrame:
     """``conv_id, turn, h, h2, position`` and the lanes of the hash of the prefix
     that ends there; one row for each distinct turn."""
-    t = _turns(df).select("conv_id", "turn", "h", "h2").distinct()
+    t = _turns(df).distinct()
     t = t.withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS))
     in_conv = Window.partitionBy("conv_id").orderBy("block")
     before = in_conv.rowsBetween(Window.unboundedPreceding, -1)
     sizes = t.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
     sizes = sizes.select("conv_id", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("block").eqNullSafe(F.col("b"))
-    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", "h", "h2")
-    t = t.withColumn("row", F.row_number().over(in_block)).join(sizes.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "base"), same)
+    in_block = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
+    t = t.withColumn("row", F.row_number().over(in_block)).drop("role", "text").join(sizes.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "base"), same)
     t = t.withColumn("position", F.col("base") + F.col("row")).drop("c", "b", "base", "row")
     one, two = F.xxhash64("position", "h", "h2"), F.xxhash64("h2", "position", "h")
     low = F.lit(0xFFFFFFFF)
@@ -85,17 +85,15 @@ def format_chats(df: DataFrame) -> DataFrame:
     that a loss is taken of."""
     kept = maximal(df)
     turns = _turns(df).distinct().join(kept.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
-    order = F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("turn"), "h", "h2", "role", "text")))
-    conv = turns.groupBy("conv_id", "n_turns", "n_copies").agg(order.alias("turns"))
-    parts = F.transform("turns", lambda t: _rendered(t.role, t.text))
-    conv = conv.withColumn("parts", parts)
-    size = F.transform("parts", lambda x: F.length(x))
-    # Start of every turn: the sizes of those before it, added up in one pass.
-    step = lambda acc, x: F.struct(F.concat(acc.starts, F.array(acc.end)).alias("starts"), (acc.end + x).alias("end"))
-    starts = F.aggregate(size, F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("end")), step, lambda a: a.starts)
-    head = lambda t: F.length(F.lit(BEGIN)) + F.length(t.role) + len(BREAK)
-    spans = F.transform(
-        F.filter(F.arrays_zip(F.col("turns").alias("t"), starts.alias("s")), lambda z: z.t.role == "assistant"),
-        lambda z: F.struct((z.s + head(z.t)).alias("start"), (z.s + head(z.t) + F.length(z.t.text)).alias("end")),
+    # A conversation's text is one value, so its turns meet in one task: one sort by conversation serves
+    # the running start of every turn and the lists.
+    turns = turns.withColumn("part", _rendered(F.col("role"), F.col("text")))
+    in_conv = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    turns = turns.withColumn("start", F.coalesce(F.sum(F.length("part")).over(in_conv), F.lit(0)))
+    head = F.col("start") + len(BEGIN) + F.length("role") + len(BREAK)
+    turns = turns.withColumn("span", F.struct(head.cast("int").alias("start"), (head + F.length("text")).cast("int").alias("end")))
+    conv = turns.groupBy("conv_id", "n_turns", "n_copies").agg(
+        F.array_sort(F.collect_list(F.struct("start", "part"))).alias("parts"),
+        F.array_sort(F.collect_list(F.when(F.col("role") == "assistant", F.col("span")))).alias("answers"),
     )
-    return conv.select("conv_id", "n_turns", "n_copies", F.array_join("parts", "").alias("text"), spans.alias("answers"))
+    return conv.select("conv_id", "n_turns", "n_copies", F.array_join("parts.part", "").alias("text"), "answers")

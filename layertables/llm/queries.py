@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layertables.llm import ann, chat, cutting_stock, decontam, langid, packing, pii, prefix_trie, runs, secrets, simhash, token_store, toxicity
 from layertables.llm.common import table
@@ -59,7 +60,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_chats(table(spark, sf_dir, "conversations"))
+    chats = chat.format_chats(table(spark, sf_dir, "conversations"))
+    place = lambda x: F.concat_ws(":", x.start.cast("string"), x.end.cast("string"))
+    return chats.withColumn("answers", F.array_join(F.transform("answers", place), ","))
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,5 +138,28 @@ FROM full_node v JOIN below b ON b.d = v.d AND b.k = v.k LEFT JOIN node u ON v.d
 """
 
 
+# Conversations as lists of (role, text); those equal to a proper prefix of another go.
+CHATS_SQL = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations),
+conv AS (SELECT conv_id, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, r, t) AS s FROM turns GROUP BY conv_id),
+proper AS (SELECT DISTINCT s[1:d] AS s FROM conv, unnest(range(1, len(s))) AS g(d)),
+kept AS (
+  SELECT min(conv_id) AS conv_id, count(*) AS n_copies, s FROM conv
+  WHERE NOT EXISTS (SELECT 1 FROM proper WHERE proper.s = conv.s) GROUP BY s),
+part AS (
+  SELECT conv_id, n_copies, d, s[d].r AS r, s[d].t AS t,
+         concat('<|im_start|>', s[d].r, chr(10), s[d].t, '<|im_end|>', chr(10)) AS p
+  FROM kept, unnest(range(1, len(s) + 1)) AS g(d)),
+placed AS (
+  SELECT *, coalesce(sum(length(p)) OVER (PARTITION BY conv_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            + length('<|im_start|>') + length(r) + 1 AS a
+  FROM part)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, CAST(any_value(n_copies) AS BIGINT) AS n_copies,
+       string_agg(p, '' ORDER BY d) AS text,
+       coalesce(string_agg(concat(CAST(a AS BIGINT), ':', CAST(a + length(t) AS BIGINT)), ',' ORDER BY d) FILTER (WHERE r = 'assistant'), '') AS answers
+FROM placed GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_prefix_trie": PREFIX_TRIE_SQL}
+    return {"op9_chats": CHATS_SQL, "op12_prefix_trie": PREFIX_TRIE_SQL}

@@ -47,6 +47,18 @@ def test_odd_rows(spark):
     assert run(spark, []) == {}
 
 
+def test_turns_of_one_number_are_in_order_of_role_and_text(spark):
+    rng = random.Random(5)
+    rows = [(c, rng.choice([None, 0, 1, 2]), rng.choice(["user", "assistant", None]), rng.choice(["a", "bb", "é", "\U0001f600x", ""])) for c in range(30) for _ in range(8)]
+    for r in check(spark, rows).values():
+        head = "<|im_start|>assistant\n"
+        want = []
+        for part in r["text"].split("<|im_end|>\n")[:-1]:
+            if part.startswith(head):
+                want.append(part[len(head) :])
+        assert [r["text"][s["start"] : s["end"]] for s in r["answers"]] == want
+
+
 def test_long_conversation_is_numbered_by_blocks(spark):
     n = 2 * chat.BLOCK_TURNS + 10
     rows = [(1, k, "user", str(k % 7)) for k in range(n)] + [(2, k, "user", str(k % 7)) for k in range(n - 3)] + [(3, k + 5, "user", str(k % 7)) for k in range(9)]
