@@ -13,7 +13,9 @@ positive; an item shorter than ``q`` must occur as it is.
 Texts and items are compared lower-cased, with each run of white space as one
 space. The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters (or one
 item), each a pass over all documents; so what a task holds of it is bounded,
-and no document is ever shuffled.
+and no document is ever shuffled. A text that shares more than ``MATCHES`` q-grams with
+the block (a stock phrase of many items, many times) is compared with parts of the items,
+and with a single item in overlapping stretches of the text: a band lies in one of them as a whole.
 
 Defined cases: null and empty texts and items match nothing; items with equal
 text all count; ids may be null or repeated; other columns pass through
@@ -37,6 +39,8 @@ BLOCK_CHARS = 2_000_000
 TABLE_BITS = 22
 # Characters of text that one pass of the filter looks at.
 PASS_CHARS = 1 << 21
+# Shared q-grams, pairs of a place in the text and one in an item, that are counted at once.
+MATCHES = 1 << 22
 
 
 def normalise(text: str) -> str:
@@ -114,6 +118,8 @@ class Block:
         order = np.argsort(flat, kind="stable")
         self.grams, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.item, self.place = item[order], place[order]
+        # Rows are in order of (q-gram, item).
+        self.rank = np.repeat(np.arange(len(self.grams)), self.count) * len(grams) + self.item
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[_slot(self.grams)] = True
         self.codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) for t in self.texts]
@@ -134,10 +140,39 @@ class Block:
         k[k == len(self.grams)] = 0
         same = self.grams[k] == g
         here, k = here[same], k[same]
-        n = self.count[k]
-        row = np.repeat(self.first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        found: set[tuple[int, int]] = set()
+        self._search(here, k, 0, len(self.sizes), found)
+        return sorted(found)
+
+    def _search(self, here: np.ndarray, k: np.ndarray, a: int, z: int, found: set[tuple[int, int]]) -> None:
+        """Bands of the items ``a..z-1``, from the q-grams ``k`` at the places ``here`` of the text."""
+        items = len(self.sizes)
+        if z - a == items:
+            low, n = self.first[k], self.count[k]
+        else:
+            low = np.searchsorted(self.rank, k * items + a)
+            n = np.searchsorted(self.rank, k * items + z) - low
+            here, k, low, n = (x[n > 0] for x in (here, k, low, n))
+        before = np.concatenate([[0], np.cumsum(n)])
+        if before[-1] <= MATCHES:
+            found.update(self._bands(here, low, n))
+        elif z - a > 1:
+            for part in ((a, (a + z) // 2), ((a + z) // 2, z)):
+                self._search(here, k, *part, found)
+        else:
+            # No band of the item spans as many places of the text.
+            reach = int(self.sizes[a] + 2 * (self.step[a] + self.budget[a])) + Q
+            i = j = 0
+            while j < len(here):
+                j = max(np.searchsorted(before, before[i] + MATCHES, "right") - 1, np.searchsorted(here, here[i] + 2 * reach))
+                found.update(self._bands(here[i:j], low[i:j], n[i:j]))
+                if j < len(here):
+                    i = np.searchsorted(here, here[j] - reach)
+
+    def _bands(self, here: np.ndarray, low: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
+        row = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
         item = self.item[row]
-        # An item whose shared q-grams in the whole text miss the bound has no band that meets it.
+        # An item whose shared q-grams miss the bound has no band that meets it.
         enough = (np.bincount(item, minlength=len(self.sizes)) >= self.bound)[item]
         if not enough.any():
             return []

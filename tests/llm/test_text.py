@@ -400,6 +400,24 @@ def test_filter_and_alignment_equal_brute_force():
         assert {i: d for i, d, _ in block.hits(text)} == want
 
 
+@pytest.mark.parametrize("most", [50, 700, 20_000])
+def test_many_shared_grams_are_counted_in_parts(monkeypatch, most):
+    rng = random.Random(9)
+    stock = "this passage is part of very many items of the benchmark"
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta"]
+    items = [(k, " ".join([rng.choice(words), stock, rng.choice(words), rng.choice(words)])) for k in range(40)] + [(99, "ab " * 30 + "end of it")]
+    block = decontam.Block(items)
+    texts = [" ".join(rng.choice([stock, *words, items[k % 41][1]]) for k in range(120)), stock * 30, "ab " * 400, "", "ab " * 200 + "end of it"]
+    whole = [(block.regions(t), block.hits(t)) for t in map(decontam.normalise, texts)]
+    monkeypatch.setattr(decontam, "MATCHES", most)
+    sizes = []
+    bands = decontam.Block._bands
+    monkeypatch.setattr(decontam.Block, "_bands", lambda self, here, low, n: sizes.append(int(n.sum())) or bands(self, here, low, n))
+    assert [(block.regions(t), block.hits(t)) for t in map(decontam.normalise, texts)] == whole
+    assert sum(map(len, (h for _, h in whole))) > 20 and len(sizes) > 10
+    assert max(sizes) <= max(most, 4 * max(len(t) for _, t in items) * 40)
+
+
 def test_edit_budget_leaves_a_bound():
     for n in range(1, 500):
         k = decontam.edit_budget(n)
