@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as e
 import corpus_pipeline
@@ -48,11 +49,12 @@ def test_columns(spark, name):
         assert sorted(r["doc_id"] for r in rows) == sorted(r[0] for r in docs.select("doc_id").collect())
 
 
-def test_pipeline_equals_a_plain_run(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
+def plain_run(docs, labels, benchmark):
+    """``(doc_id, start, length, crc)`` of the pipeline's pieces, stage by stage in Python, and the documents kept."""
     scorer = toxicity.fit(docs, labels, learn_from=~toxicity.held_out()).scorer()
-    rows = [(r["doc_id"], r["text"]) for r in docs.orderBy("doc_id").collect() if scorer.document(r["text"] or "")[0] < 0.5]
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    rows.sort(key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["h"]))
+    rows = [(r["doc_id"], r["text"]) for r in rows if scorer.document(r["text"] or "")[0] < 0.5]
     fps = [simhash.fingerprint(t or "") for _, t in rows]
     root = list(range(len(rows)))
     for i in range(len(rows)):
@@ -61,7 +63,7 @@ def test_pipeline_equals_a_plain_run(spark):
                 a, b = sorted((root[i], root[j]))
                 root = [a if x == b else x for x in root]
     rows = [r for k, r in enumerate(rows) if root[k] == k]
-    block = decontam.Block([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
+    block = decontam.Block([(r["item_id"], r["text"]) for r in benchmark.collect()])
     rows = [r for r in rows if not block.hits(r[1] or "")]
     scanner, enc = secrets.Scanner(secrets.RULES), PieceEncoder(public_path("byte_bpe_50k.json"))
     want = []
@@ -75,8 +77,35 @@ def test_pipeline_equals_a_plain_run(spark):
         n = len(ids) // 4
         cuts = [0, *range((n - 1) % 2048 + 1, n + 1, 2048)]
         want += [(doc_id, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for a, b in zip(cuts, cuts[1:])]
-    got = [(r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in corpus_pipeline.run(spark, SF).collect()]
-    assert sorted(got) == sorted(want) and 0 < len(rows) < docs.count()
+    return want, rows
+
+
+def packed(spark, sf_dir):
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    return sorted((str(r["doc_id"]), r["start"], r["length"], r["ids_crc32"]) for r in rows)
+
+
+def as_text(want):
+    return sorted((str(d), *r) for d, *r in want)
+
+
+def test_pipeline_equals_a_plain_run(spark):
+    docs, labels, benchmark = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    want, kept = plain_run(docs, labels, benchmark)
+    assert packed(spark, SF) == as_text(want) and 0 < len(kept) < docs.count()
+
+
+def test_pipeline_on_odd_rows_and_empty_tables(spark, odd_docs, no_docs, tmp_table):
+    labels = spark.createDataFrame([(1, 0), (5, 1), (None, 1), (99, None)], "doc_id bigint, toxic int")
+    benchmark = spark.createDataFrame([(1, "another text of the same id"), (2, None), (3, ""), (None, "xyz")], "item_id bigint, text string")
+    for docs in (odd_docs, odd_docs.unionByName(odd_docs), no_docs):
+        for parts in ((labels, benchmark), (labels.limit(0), benchmark.limit(0))):
+            folder = tmp_table("corpus")
+            for name, df in zip(("documents", "labels", "benchmark"), (docs, *parts)):
+                df.write.parquet(f"{folder}/{name}.parquet")
+            want, kept = plain_run(docs, *parts)
+            assert packed(spark, folder) == as_text(want)
+            assert bool(kept) == (docs is not no_docs)
 
 
 def test_stages_keep_the_columns(spark, odd_docs, no_docs):
