@@ -53,10 +53,10 @@ def test_split_merge_shuffles_only_touched_history(spark, tmp_table):
 
 
 def test_no_python_udfs_in_driver_queries(spark):
-    import __spark_entry__ as e
+    from layertables.plans.queries import QUERIES
 
-    for name in ["fact_asof_join", "scd2_snapshot_merge", "scd2_change_log", "clean_rules", "quarantine_summary", "dim_build"]:
-        p = plan(e.queries()[name](spark, SF))
+    for name, query in QUERIES.items():
+        p = plan(query(spark, SF))
         assert not re.search(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF", p), name
 
 
