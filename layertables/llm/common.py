@@ -31,12 +31,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def written_to(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` into the shared folder and read it back; also its path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back: cuts lineage and
     survives the loss of any executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_to(df, name)[0]
+
+
+def unwritten(spark: SparkSession, path: str) -> None:
+    """Remove what :func:`written_to` wrote, once nothing reads it any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def text_or_empty(name: str) -> Column:
