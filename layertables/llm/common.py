@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 
 from layertables.session import scratch_path
 
+#: A key with more than one in so many of the rows is hot; so there are fewer hot keys than this.
+HOT_KEYS = 10_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -50,6 +52,18 @@ def unwritten(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def spread_join(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``small``, which has one row for every ``key`` of ``rows``.
+    The fewer than :data:`HOT_KEYS` rows of ``small`` for hot keys are broadcast, so rows of one key
+    never meet in a task in numbers that grow with its share; all others are shuffled. ``rows`` is
+    read three times and should be written."""
+    most = rows.count() / HOT_KEYS
+    hot = rows.groupBy(key).count().filter(F.col("count") > most).select(key)
+    hot = F.broadcast(written(small.join(F.broadcast(hot), key, "left_semi"), "hot"))
+    rest = rows.join(hot, key, "left_anti").join(small, key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from layertables.llm.common import map_rows, small_batches, text_or_empty, written
+from layertables.llm.common import map_rows, small_batches, spread_join, text_or_empty, written
 from layertables.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -126,19 +126,29 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return _keyed(fps, "u", False).join(_keyed(fps, "v", True), "k").filter(ok).select("u", "v")
 
 
-def group(df: DataFrame, *, text_col="text", shingle_words=SHINGLE_WORDS, max_bits=MAX_BITS, id_cols=("doc_id",)) -> DataFrame:
-    """``id columns, fp, root``: rows with one ``root`` belong together."""
+def _grouped(df: DataFrame, *, text_col="text", shingle_words=SHINGLE_WORDS, max_bits=MAX_BITS, id_cols=("doc_id",)) -> tuple[DataFrame, DataFrame]:
+    """``(id columns, fp)`` of every row and ``(fp, root)`` of every distinct fingerprint."""
     docs = written(fingerprints(df, text_col=text_col, shingle_words=shingle_words, id_cols=id_cols), "fingerprints")
-    found = components(links(docs.select("fp").distinct(), max_bits))
-    named = docs.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    return named.withColumn("root", F.coalesce("root", "fp"))
+    distinct = docs.select("fp").distinct()
+    found = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    roots = distinct.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return docs, written(roots, "roots")
+
+
+def group(df: DataFrame, **options) -> DataFrame:
+    """``id columns, fp, root``: rows with one ``root`` belong together."""
+    docs, roots = _grouped(df, **options)
+    return spread_join(docs, roots, "fp")
 
 
 def near_duplicates(df: DataFrame, **options) -> DataFrame:
     """``doc_id, fingerprint, component_id``."""
-    rows = group(df, **options)
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "root").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    docs, roots = _grouped(df, **options)
+    # Rows are combined by fingerprint first, so that roots meet distinct fingerprints only.
+    roots = written(roots.join(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp"), "least")
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = written(spread_join(roots, least, "root").select("fp", "component_id"), "named")
+    return spread_join(docs, named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(df: DataFrame, **options) -> DataFrame:
@@ -146,11 +156,14 @@ def keep_one(df: DataFrame, **options) -> DataFrame:
     with the smallest id (ties: the smallest hash of its text)."""
     t = options.get("text_col", "text")
     named = df.withColumn("_id", F.col("doc_id").cast("bigint")).withColumn("_h", F.xxhash64(t))
-    rows = group(named.select("_id", "_h", t), id_cols=("_id", "_h"), **options)
-    first = rows.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_h")).alias("best"))
-    kept = first.select(F.col("best._id").alias("_kid"), F.col("best._h").alias("_kh"))
-    same = F.coalesce(F.col("_id"), F.lit(-(2**63))) == F.coalesce(F.col("_kid"), F.lit(-(2**63)))
-    joined = named.join(kept, same & (F.col("_h") == F.col("_kh")) & F.col("_id").eqNullSafe(F.col("_kid")))
-    # Repeated rows (same id and text) are in one partition after the join.
-    row = F.row_number().over(Window.partitionBy("_h", "_id").orderBy("_h"))
-    return joined.withColumn("_row", row).filter("_row = 1").select(*df.columns)
+    docs, roots = _grouped(named.select("_id", "_h", t), id_cols=("_id", "_h"), **options)
+    best = docs.groupBy("fp").agg(F.min(F.struct(F.col("_id").isNull().alias("_n"), "_id", "_h")).alias("best"))
+    kept = best.join(roots, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.*")
+    # A null id as a number beside its mark, for a plain equi join.
+    keys = ["_h", "_n", "_id"]
+    plain = F.coalesce("_id", F.lit(0).cast("bigint"))
+    named = named.withColumn("_n", F.col("_id").isNull()).withColumn("_id", plain)
+    kept = kept.withColumn("_id", plain).select(*keys).distinct()
+    # Of repeated rows (same id and text) every task hands on one at most; the join has the window's partitioning.
+    row = F.row_number().over(Window.partitionBy(*keys).orderBy("_h"))
+    return named.withColumn("_row", row).filter("_row = 1").join(kept, keys, "left_semi").select(*df.columns)
