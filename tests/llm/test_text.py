@@ -440,3 +440,15 @@ def test_blocks_of_the_benchmark_agree(spark, odd_docs):
     benchmark = spark.createDataFrame(rows, "item_id bigint, text string")
     parts = list(decontam.blocks(benchmark, block_chars=100))
     assert len(parts) > 2 and [i for p in parts for i, _ in p] == list(range(6))
+
+
+def test_hot_keys_meet_their_rows_by_broadcast(spark, monkeypatch):
+    from layertables.llm import common
+
+    monkeypatch.setattr(common, "HOT_KEYS", 4)
+    data = [(k, 7 if k % 3 else k) for k in range(60)]
+    rows = common.written(spark.createDataFrame(data, "doc_id bigint, fp bigint"), "rows")
+    small = spark.createDataFrame([(f, f * 10) for f in {f for _, f in data}], "fp bigint, root bigint")
+    got = sorted(map(tuple, common.spread_join(rows, small, "fp").select("doc_id", "fp", "root").collect()))
+    assert got == [(k, f, f * 10) for k, f in data]
+    assert common.spread_join(rows.limit(0), small, "fp").collect() == []
