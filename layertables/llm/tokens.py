@@ -13,11 +13,16 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO_PIECES = 1 << 19
 MEMO_CHARS = 64
+# Characters of texts whose words are gathered at once.
+GROUP_CHARS = 1 << 22
 # White space that the cut below does not use, and characters that regular
 # expression engines class differently: such texts are encoded whole.
 UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
@@ -26,6 +31,8 @@ UNUSUAL = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\
 _LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]++(?=[ .,;:!?])"
 PIECE = re.compile(rf"[ \n\r\t]*+(?:{_LETTERS}|[^ \n\r\t]++)|[ \n\r\t]++")
 WORD = re.compile(rf"{_LETTERS}|[^ \n\r\t]++")
+# The cut of WORD as a space between its pieces, for Arrow (whose expressions look at no characters behind).
+WORD_END = ("(^|[ \n\r\t])([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?])", r"\1\2 \3")
 BEYOND_LATIN = re.compile("[^\x00-\xff]")
 PROBE = "It's 12 áb  c.\n\n DÉF's   \t x1y2!? <|endoftext|> \n\r z'll 中文 é "
 
@@ -41,7 +48,7 @@ class PieceEncoder:
         self._tok.encode_special_tokens = True
         self._memo: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
-        drops_space = self.whole("a b") == self.whole("a") + self.whole("b") and self.whole(" \n ") == b""
+        self._drops_space = drops_space = self.whole("a b") == self.whole("a") + self.whole("b") and self.whole(" \n ") == b""
         self._cut = (WORD if drops_space else PIECE).findall
         # Where case does not count, "The" and "the" are one piece.
         self._any_case = self.whole("AB Ä'S ÞÝ") == self.whole("ab ä's þý")
@@ -57,8 +64,41 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return [self.whole(t) for t in texts]
-        cut = [None if UNUSUAL.search(t) else self._cut(self._one_case(t)) for t in texts]
-        wanted = set().union(*filter(None, cut))
+        usual = [not UNUSUAL.search(t) for t in texts]
+        kept = [t for t, u in zip(texts, usual) if u]
+        done = iter(self._by_word(kept) if self._drops_space else self._joined([self._cut(self._one_case(t)) for t in kept]))
+        return [next(done) if u else self.whole(t) for t, u in zip(texts, usual)]
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        """Where space has no ids a text is its words in a row: the distinct pieces of a group of texts
+        are looked up once, and the texts' ids are gathered from theirs."""
+        out: list[bytes] = []
+        sizes = np.cumsum([len(t) for t in texts]) // GROUP_CHARS
+        for group in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(sizes)) + 1):
+            part = pa.array([self._one_case(texts[i]) for i in group], pa.large_string())
+            part = pc.ascii_split_whitespace(pc.replace_substring_regex(part, *WORD_END))
+            pieces = part.flatten().dictionary_encode()
+            distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+            ids = self._looked_up(set(distinct), lambda get: list(map(get, distinct)))
+            pool = np.frombuffer(b"".join(ids), "<u4")
+            n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            code = pieces.indices.to_numpy()
+            each = n[code]
+            ends = np.cumsum(each)
+            # Where the ids of a piece are in the pool, less where they go.
+            shift = (np.cumsum(n) - n)[code] - (ends - each)
+            total = int(ends[-1]) if len(ends) else 0
+            got = pool[np.repeat(shift, each) + np.arange(total)].tobytes()
+            at = 4 * np.concatenate([[0], ends])[part.offsets.to_numpy()]
+            out += [got[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        return out
+
+    def _joined(self, cut: list[list[str]]) -> list[bytes]:
+        """The ids of every list of pieces."""
+        return self._looked_up(set().union(*cut), lambda get: [b"".join(map(get, c)) for c in cut])
+
+    def _looked_up(self, wanted: set[str], use: Callable[[Callable[[str], bytes]], list[bytes]]) -> list[bytes]:
+        """What ``use`` makes of a look-up of the ids of the ``wanted`` pieces."""
         # Two generations: pieces in use move to the young one, the rest go with the old one.
         if len(self._memo) >= MEMO_PIECES:
             self._old, self._memo = self._memo, {}
@@ -70,8 +110,7 @@ class PieceEncoder:
             part = new[at : at + (1 << 14)]
             got = self._tok.encode_batch_fast(part, add_special_tokens=False)
             memo.update(zip(part, (array("I", e.ids).tobytes() for e in got)))
-        get = memo.__getitem__
-        out = [self.whole(t) if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        out = use(memo.__getitem__)
         for p in new:
             if len(p) > MEMO_CHARS:
                 del memo[p]

@@ -21,6 +21,24 @@ def test_pieces_equal_whole_text(name, texts):
     assert e.encode(texts) == [e.whole(t) for t in texts]
 
 
+def test_distinct_pieces_are_looked_up_once_a_group_of_texts(monkeypatch):
+    e = PieceEncoder(public_path(NAMES[0]))
+    asked = []
+
+    class Memo(dict):
+        def __getitem__(self, p):
+            asked.append(p)
+            return super().__getitem__(p)
+
+    e._memo = Memo()
+    texts = ["The cat, the dog. A-b,c x1y,z the the", "", "the cat\x0b", "dog. DOG, é!"] * 200
+    assert e.encode(texts) == [e.whole(t) for t in texts]
+    assert len(asked) == len(set(asked)) < 20
+    # Groups end anywhere between texts.
+    monkeypatch.setattr("layertables.llm.tokens.GROUP_CHARS", 50)
+    assert e.encode(texts) == [e.whole(t) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=1500))
 def test_codes_round_trip_and_random_access(ids):
