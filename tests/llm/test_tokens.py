@@ -1,12 +1,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from layertables.llm import packing, token_store
-from layertables.llm.tokens import PieceEncoder, public_path
+from layertables.llm.tokens import PieceEncoder, pieces_of, public_path
 
 NAMES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 ENCODERS = {n: PieceEncoder(public_path(n)) for n in NAMES}
@@ -39,6 +40,42 @@ def test_distinct_pieces_are_looked_up_once_a_group_of_texts(monkeypatch):
     assert e.encode(texts) == [e.whole(t) for t in texts]
 
 
+def test_new_pieces_are_given_to_the_tokenizer_together(monkeypatch):
+    e = PieceEncoder(public_path(NAMES[1]))
+    tok, given_texts, asked = e._tok, [], []
+
+    class Counting:
+        def __getattr__(self, name):
+            got = getattr(tok, name)
+            return (lambda texts, **kw: given_texts.extend(texts) or got(texts, **kw)) if "batch" in name else got
+
+    class Memo(dict):
+        def __getitem__(self, p):
+            asked.append(p)
+            return super().__getitem__(p)
+
+    e._tok, e._memo = Counting(), Memo()
+    odd = ["", " \n", "x", "it's.Then A1b.c, dé.é×.÷; 中。文 中.e\u0301. \r\n\t\U0001f600\U0001f600! ", "end \n", " b", "'s"]
+    texts = odd + [" ".join(f"Wört{k}x{i}é, ñ{k * i}'ll" for k in range(40)) for i in range(30)] + odd
+    want = [e.whole(t) for t in texts]
+    assert e.encode(texts) == want
+    assert len(asked) == len(set(asked)) > 1000 and len(given_texts) < 100
+    # Any number of pieces together, groups ending anywhere between texts, and a full memo.
+    for joined, group, memo in ((1, 50, 1 << 19), (7, 1, 20), (10**6, 1000, 1)):
+        monkeypatch.setattr("layertables.llm.tokens.JOINED", joined)
+        monkeypatch.setattr("layertables.llm.tokens.GROUP_CHARS", group)
+        monkeypatch.setattr("layertables.llm.tokens.MEMO_PIECES", memo)
+        e._memo, e._old = {}, {}
+        assert e.encode(texts) == want
+
+
+def test_cut_of_a_slice_equals_that_of_a_copy():
+    texts = pa.array(["skipped. é", "Déjà vu. ", "", " \n", "a.b ×. é.c"], pa.large_string())
+    pieces, first = pieces_of(texts[1:])
+    assert pieces.to_pylist() == ["Déjà", " vu", ".", " ", " \n", "a", ".b", " ×.", " é", ".c"]
+    assert first.tolist() == [0, 4, 4, 5, 10]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=1500))
 def test_codes_round_trip_and_random_access(ids):
