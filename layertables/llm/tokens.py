@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,7 @@ class PieceEncoder:
         self._old: dict[str, bytes] = {}
         drops_space = self.whole("a b") == self.whole("a") + self.whole("b") and self.whole(" \n ") == b""
         self._cut = words_of if drops_space else pieces_of
+        self._gap = " " if drops_space else ""
         # Where case does not count, "The" and "the" are one piece.
         self._any_case = self.whole("AB Ä'S ÞÝ") == self.whole("ab ä's þý")
         pieces = self._cut(pa.array([PROBE], pa.large_string()))[0].to_pylist()
@@ -141,17 +144,24 @@ class PieceEncoder:
                 del memo[p]
         return out
 
+    def _apart(self, piece: str) -> bool:
+        """Whether the tokenizer keeps the piece apart from others like it in one text: words with a space
+        between (not those that NFC changes, so that places in the text stay), or pieces that begin with white space and end without."""
+        if self._gap:
+            return unicodedata.is_normalized("NFC", piece)
+        return piece.startswith(SPACE) and not piece.endswith(SPACE)
+
     def _ids_of(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of each piece by the tokenizer. Pieces that begin with white space and end without are
-        given to it as one text, which is cut where they meet, and told apart by where their ids begin in it."""
-        spaced = [p for p in pieces if p.startswith(SPACE) and not p.endswith(SPACE)]
-        alone = list(set(pieces).difference(spaced)) if spaced else pieces
+        """The ids of each piece by the tokenizer. Pieces that stay apart are given to it as one text, which
+        is cut where they meet, and told apart by where their ids begin in it."""
+        joined = list(filter(self._apart, pieces))
+        alone = list(set(pieces).difference(joined)) if len(joined) < len(pieces) else []
         got = self._tok.encode_batch_fast(alone, add_special_tokens=False)
         ids = dict(zip(alone, (array("I", e.ids).tobytes() for e in got)))
-        parts = [spaced[k : k + JOINED] for k in range(0, len(spaced), JOINED)]
-        for part, e in zip(parts, self._tok.encode_batch(["".join(p) for p in parts], add_special_tokens=False)):
-            begin = np.fromiter((a for a, _ in e.offsets), np.int64, len(e))
-            at = (4 * np.searchsorted(begin, np.cumsum([len(p) for p in part]))).tolist()
+        parts = [joined[k : k + JOINED] for k in range(0, len(joined), JOINED)]
+        for part, e in zip(parts, self._tok.encode_batch([self._gap.join(p) for p in parts], add_special_tokens=False)):
+            begin = np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(e))[::2]
+            at = (4 * np.searchsorted(begin, np.cumsum([len(p) + len(self._gap) for p in part]))).tolist()
             run = array("I", e.ids).tobytes()
             ids.update((p, run[a:b]) for p, a, b in zip(part, [0, *at], at))
         return ids

@@ -69,6 +69,30 @@ def test_new_pieces_are_given_to_the_tokenizer_together(monkeypatch):
         assert e.encode(texts) == want
 
 
+def test_new_words_are_given_to_the_tokenizer_together(monkeypatch):
+    e = PieceEncoder(public_path(NAMES[0]))
+    tok, given_texts = e._tok, []
+
+    class Counting:
+        def __getattr__(self, name):
+            got = getattr(tok, name)
+            return (lambda texts, **kw: given_texts.extend(texts) or got(texts, **kw)) if "batch" in name else got
+
+    e._tok = Counting()
+    odd = ["", " \n", "x", "it's.Then A1b.c, dé.é×.÷; 中。文 中.e\u0301 \u0301e \u0958x \u1112\u1161\u11ab. İΣ \U0001f600\U0001f600! ", "a\x00 \x00b", "'s 's", "\u0323\u0307a\u0307\u0323 b"]
+    texts = odd + [" ".join(f"Wört{k}x{i}é, ñ{k * i}'ll" for k in range(40)) for i in range(30)] + odd
+    want = [e.whole(t) for t in texts]
+    assert e.encode(texts) == want
+    assert len(e._memo) > 1000 and len(given_texts) < 100
+    # Any number of words together, groups ending anywhere between texts, and a full memo.
+    for joined, group, memo in ((1, 50, 1 << 19), (7, 1, 20), (10**6, 1000, 1)):
+        monkeypatch.setattr("layertables.llm.tokens.JOINED", joined)
+        monkeypatch.setattr("layertables.llm.tokens.GROUP_CHARS", group)
+        monkeypatch.setattr("layertables.llm.tokens.MEMO_PIECES", memo)
+        e._memo, e._old = {}, {}
+        assert e.encode(texts) == want
+
+
 def test_cut_of_a_slice_equals_that_of_a_copy():
     texts = pa.array(["skipped. é", "Déjà vu. ", "", " \n", "a.b ×. é.c"], pa.large_string())
     pieces, first = pieces_of(texts[1:])
