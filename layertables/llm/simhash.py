@@ -123,7 +123,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     for length in (3, 4):
         masks = F.array(*[F.lit(_mask(i, length)) for i in range(5)])
         ok = ok & (F.bit_count(x.bitwiseAND(F.element_at(masks, first))) <= length * max_bits // 5)
-    return _keyed(fps, "u", False).join(_keyed(fps, "v", True), "k").filter(ok).select("u", "v")
+    # A row of fps gives 5 rows here and up to 70 there, which Spark's estimate of size does not count: never broadcast.
+    return _keyed(fps, "u", False).join(_keyed(fps, "v", True).hint("merge"), "k").filter(ok).select("u", "v")
 
 
 def _grouped(df: DataFrame, *, text_col="text", shingle_words=SHINGLE_WORDS, max_bits=MAX_BITS, id_cols=("doc_id",)) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +132,8 @@ def _grouped(df: DataFrame, *, text_col="text", shingle_words=SHINGLE_WORDS, max
     docs = written(fingerprints(df, text_col=text_col, shingle_words=shingle_words, id_cols=id_cols), "fingerprints")
     distinct = docs.select("fp").distinct()
     found = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
-    roots = distinct.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # The merge hints here and below: a table of files under Spark's threshold is several times as large in a broadcast.
+    roots = distinct.join(found.hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     return docs, written(roots, "roots")
 
 
@@ -145,7 +147,7 @@ def near_duplicates(df: DataFrame, **options) -> DataFrame:
     """``doc_id, fingerprint, component_id``."""
     docs, roots = _grouped(df, **options)
     # Rows are combined by fingerprint first, so that roots meet distinct fingerprints only.
-    roots = written(roots.join(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp"), "least")
+    roots = written(roots.join(docs.groupBy("fp").agg(F.min("doc_id").alias("least")).hint("merge"), "fp"), "least")
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     named = written(spread_join(roots, least, "root").select("fp", "component_id"), "named")
     return spread_join(docs, named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -257,6 +257,24 @@ def test_links_lose_nothing(spark):
         simhash.links(df, 5)
 
 
+def broadcasts(df):
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in x]
+
+
+def test_tables_that_grow_are_not_broadcast(spark):
+    from layertables.llm import common
+
+    # Tiny in bytes, as Spark sees the files of a table a hundred times smaller than its keys in a broadcast.
+    fps = common.written(spark.range(300).selectExpr("xxhash64(id) as fp"), "fps")
+    links = simhash.links(fps)
+    assert broadcasts(links) == []
+    links.collect()
+    assert broadcasts(links) == []
+    docs = common.written(spark.range(300).selectExpr("id as doc_id", "concat('text ', id, ' of some words') as text"), "docs")
+    # Of the last step only rows of hot keys are broadcast: those joined and those left out.
+    assert len(broadcasts(simhash.near_duplicates(docs))) == 2
+
+
 def test_groups_of_odd_rows(odd_docs, no_docs):
     rows = odd_docs.select("doc_id", "text").collect()
     fps = [brute_fingerprint(r["text"]) for r in rows]
