@@ -209,6 +209,7 @@ def pack(df: DataFrame, tokenizer_path: str, *, max_tokens: int = MAX_TOKENS, en
     row = F.row_number().over(Window.partitionBy("length", "salt").orderBy("row_id"))
     ranked = salted.withColumn("row", row).join(base, ["length", "salt"])
     ranked = ranked.withColumn("rank", F.col("base") + F.col("row") - 1)
-    return ranked.join(places, ["length", "rank"]).select(
+    # Spark takes the places for a table of the plan's size; they are as many as the pieces, so never broadcast.
+    return ranked.join(places.hint("merge"), ["length", "rank"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

@@ -160,7 +160,7 @@ def keep_one(df: DataFrame, **options) -> DataFrame:
     named = df.withColumn("_id", F.col("doc_id").cast("bigint")).withColumn("_h", F.xxhash64(t))
     docs, roots = _grouped(named.select("_id", "_h", t), id_cols=("_id", "_h"), **options)
     best = docs.groupBy("fp").agg(F.min(F.struct(F.col("_id").isNull().alias("_n"), "_id", "_h")).alias("best"))
-    kept = best.join(roots, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.*")
+    kept = best.join(roots.hint("merge"), "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.*")
     # A null id as a number beside its mark, for a plain equi join.
     keys = ["_h", "_n", "_id"]
     plain = F.coalesce("_id", F.lit(0).cast("bigint"))
@@ -168,4 +168,4 @@ def keep_one(df: DataFrame, **options) -> DataFrame:
     kept = kept.withColumn("_id", plain).select(*keys).distinct()
     # Of repeated rows (same id and text) every task hands on one at most; the join has the window's partitioning.
     row = F.row_number().over(Window.partitionBy(*keys).orderBy("_h"))
-    return named.withColumn("_row", row).filter("_row = 1").join(kept, keys, "left_semi").select(*df.columns)
+    return named.withColumn("_row", row).filter("_row = 1").join(kept.hint("merge"), keys, "left_semi").select(*df.columns)

@@ -273,6 +273,7 @@ def test_tables_that_grow_are_not_broadcast(spark):
     docs = common.written(spark.range(300).selectExpr("id as doc_id", "concat('text ', id, ' of some words') as text"), "docs")
     # Of the last step only rows of hot keys are broadcast: those joined and those left out.
     assert len(broadcasts(simhash.near_duplicates(docs))) == 2
+    assert broadcasts(simhash.keep_one(docs)) == []
 
 
 def test_groups_of_odd_rows(odd_docs, no_docs):

@@ -216,6 +216,16 @@ def test_common_length_is_spread(spark):
     assert len({r["sequence_id"] for r in rows}) == -(-3000 // (2048 // n))
 
 
+def test_places_are_not_broadcast(spark):
+    # A plan of one row has as many places as there are pieces.
+    df = spark.range(3000).selectExpr("id as doc_id", "'same words here' as text")
+    packed = packing.pack(df, public_path(NAMES[1]))
+    for rows in (None, 3000):
+        assert rows is None or len(packed.collect()) == rows
+        plan = packed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "rank" in x]
+
+
 def test_repeated_row_is_spread_and_plan_rows_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(packing, "PLAN_REPEATS", 7)
     monkeypatch.setattr(packing, "SALTED_ROWS", 40)
